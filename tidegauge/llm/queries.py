@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidegauge.llm import dac, mixing, simhash
+from tidegauge.llm import dac, mixing, simhash, suffix
 from tidegauge.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -25,9 +25,14 @@ def op5_mixing(spark, d):
     return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op7_suffix_array(spark, d):
+    return suffix.deduplicate(table(spark, d, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op4_token_ids": op4_token_ids,
     "op5_mixing": op5_mixing,
+    "op7_suffix_array": op7_suffix_array,
 }
 ORACLE_SQL = {"op5_mixing": mixing.ORACLE}
