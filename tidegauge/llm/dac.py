@@ -33,7 +33,7 @@ RANK_BITS = 512
 FILE_TOKENS = 1 << 22
 END_ID = 0
 #: Words that an encoder remembers in each of its two generations.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 600_000
 
 
 class Encoder:
@@ -61,7 +61,7 @@ class Encoder:
         if got is None:
             got = self.old.get(w)
             if got is None:
-                if len(w) > 2 and w[-1] in ".,!?;:" and w[-2].isascii() and w[-2].isalnum():
+                if len(w) > 2 and w[-1] in ".,!?;:" and w[-2].isalpha():
                     got = self.word(w[:-1]) + self.word(w[-1])
                 else:
                     got = self.of(w)
