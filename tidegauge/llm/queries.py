@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidegauge.llm import dac, mixing, simhash, suffix
+from tidegauge.llm import ann, chat, dac, decontam, mixing, simhash, suffix, toxicity
 from tidegauge.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -16,6 +16,17 @@ def op1_simhash(spark, d):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op2_toxicity(spark, d):
+    docs = table(spark, d, "documents")
+    found = toxicity.score(docs, toxicity.fit(docs, table(spark, d, "labels")))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted.alias("predicted"), "neighbours", "cosines")
+
+
+def op3_decontamination(spark, d):
+    return decontam.find(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def op4_token_ids(spark, d):
     return dac.read_back(dac.write(table(spark, d, "documents"), public_tokenizers.path(TOKENIZER)))
 
@@ -25,14 +36,28 @@ def op5_mixing(spark, d):
     return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op6_nearest(spark, d):
+    return ann.search(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op7_suffix_array(spark, d):
     return suffix.deduplicate(table(spark, d, "documents"))
 
 
+def op10_chat(spark, d):
+    odd = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string")
+    return chat.digests(table(spark, d, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_toxicity": op2_toxicity,
+    "op3_decontamination": op3_decontamination,
     "op4_token_ids": op4_token_ids,
     "op5_mixing": op5_mixing,
+    "op6_nearest": op6_nearest,
     "op7_suffix_array": op7_suffix_array,
+    "op10_chat": op10_chat,
 }
 ORACLE_SQL = {"op5_mixing": mixing.ORACLE}
