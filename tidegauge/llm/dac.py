@@ -32,8 +32,9 @@ MAGIC = int.from_bytes(b"tgDAC\x00\x00\x01", "little")
 RANK_BITS = 512
 FILE_TOKENS = 1 << 22
 END_ID = 0
+_STOPS = frozenset(".,!?;:")
 #: Words that an encoder remembers in each of its two generations.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 750_000
 
 
 class Encoder:
@@ -56,19 +57,20 @@ class Encoder:
         return np.array(self.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def word(self, w: str) -> bytes:
-        """``w`` has no white space but perhaps one leading space."""
-        got = self.new.get(w)
+        """The ids of a space and ``w``, or of w[1:] alone where w starts with a line feed; no other white space."""
+        got = self.old.get(w)
         if got is None:
-            got = self.old.get(w)
-            if got is None:
-                if len(w) > 2 and w[-1] in ".,!?;:" and w[-2].isalpha():
-                    got = self.word(w[:-1]) + self.word(w[-1])
-                else:
-                    got = self.of(w)
-            if len(self.new) >= CACHE_WORDS:
-                self.old, self.new = self.new, {}
-            if len(w) < 64:
-                self.new[w] = got
+            got = self.new.get(w)
+        if got is None:
+            if w[-1:] in _STOPS and w[-2:-1].isalpha():
+                got = self.word(w[:-1]) + self.word("\n" + w[-1])
+            else:
+                got = self.of(w[1:] if w[:1] == "\n" else " " + w)
+        if len(self.new) >= CACHE_WORDS:
+            self.old = self.new
+            self.new = {}
+        if len(w) < 64:
+            self.new[w] = got
         return got
 
     def text(self, text: str) -> bytes:
@@ -76,14 +78,16 @@ class Encoder:
             return b""
         if "<|" in text or not _plain(text):
             return self.of(text)
-        known, word, out = self.new.get, self.word, []
+        out = []
         for k, line in enumerate(text.split("\n")):
             if k:
                 out.append(self.line_end)
-            for j, w in enumerate(line.split(" ")):
-                if j:
-                    w = " " + w
-                out.append(known(w) or word(w))
+            words = line.split(" ")
+            words[0] = "\n" + words[0]
+            got = list(map(self.new.get, words))
+            if None in got:
+                got = [self.word(w) if x is None else x for x, w in zip(got, words, strict=True)]
+            out += got
         return b"".join(out)
 
 
