@@ -60,12 +60,16 @@ def _delete_quietly(spark: SparkSession, path: str) -> None:
 
 
 class Saved:
-    """A DataFrame written to the shared folder and read back: its lineage is cut, and lost executors cost nothing."""
+    """A DataFrame written to the shared folder and read back: its lineage is cut, and lost executors cost nothing.
 
-    def __init__(self, df: DataFrame, kind: str = "table"):
+    With ``few_files`` a task writes the partitions it is given one after the other into one file, at most four files for
+    each core of the cluster; so many small partitions don't become as many small files.
+    """
+
+    def __init__(self, df: DataFrame, kind: str = "table", few_files: bool = True):
         self.spark = df.sparkSession
         self.path = new_path(self.spark, kind)
-        df.write.parquet(self.path)
+        (df.coalesce(4 * self.spark.sparkContext.defaultParallelism) if few_files else df).write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:

@@ -233,7 +233,7 @@ def write(docs: DataFrame, tokenizer: str, base: str | None = None, end_id: int
     base = base or new_path(spark, "tokens")
     ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     rows = ordered.mapInArrow(partial(_write, base=base, tokenizer=tokenizer, end_id=end_id, file_tokens=file_tokens), "part long, seq long, uri string, n_docs long, n_tokens long")
-    files = Saved(rows, "files").df
+    files = Saved(rows, "files", few_files=False).df  # files are named after their task
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     return files.select("uri", "n_docs", "n_tokens", F.coalesce(F.sum("n_tokens").over(before), F.lit(0).cast("long")).alias("start"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidegauge.llm import ann, chat, dac, decontam, mixing, simhash, suffix, toxicity
+from tidegauge.llm import ann, chat, dac, decontam, licenses, mixing, quality, simhash, suffix, toxicity
 from tidegauge.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -44,6 +44,14 @@ def op7_suffix_array(spark, d):
     return suffix.deduplicate(table(spark, d, "documents"))
 
 
+def op8_licenses(spark, d):
+    return licenses.scan(table(spark, d, "documents"))
+
+
+def op9_quality(spark, d):
+    return quality.score(table(spark, d, "documents")).withColumn("keep", (F.col("score") >= 0.5).cast("int"))
+
+
 def op10_chat(spark, d):
     odd = "\\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string")
@@ -58,6 +66,8 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_nearest": op6_nearest,
     "op7_suffix_array": op7_suffix_array,
+    "op8_licenses": op8_licenses,
+    "op9_quality": op9_quality,
     "op10_chat": op10_chat,
 }
 ORACLE_SQL = {"op5_mixing": mixing.ORACLE}

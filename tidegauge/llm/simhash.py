@@ -143,11 +143,30 @@ def _across(members: DataFrame, found: DataFrame, radius: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFrame:
-    """``(doc_id, fp, component_id)`` for every row; linked are fingerprints within ``radius`` differing bits."""
+    """``(doc_id, fp, component_id, root)`` for every row; linked are fingerprints within ``radius`` differing bits.
+
+    ``root`` is the least fingerprint of the component and names it even where it has no id.
+    """
     each = Saved(fingerprints(docs, width), "fingerprints").df
     fps = Saved(each.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct").df
     roots = components(fps.select("fp"), radius)
     at = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = at.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = at.join(least, "root").select("fp", "component_id")
-    return each.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = at.join(least, "root").select("fp", "component_id", "root")
+    return each.join(classes, "fp").select("doc_id", "fp", "component_id", "root")
+
+
+def _tagged(batches, text: int, width: int):
+    for b in batches:
+        got = np.fromiter((fingerprint((x.as_py() or "").encode(), width) for x in b.column(text)), np.uint64, b.num_rows).view(np.int64)
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got)], names=[*b.schema.names, "_fp"])
+
+
+def keep_one(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFrame:
+    """One row of each near-duplicate group, all columns: of its least id, then of its least fingerprint."""
+    found = near_duplicates(docs, radius, width)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.fp").alias("_kept"))
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "_fp long"])
+    rows = docs.mapInArrow(partial(_tagged, text=docs.columns.index("text"), width=width), schema)
+    kept = rows.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_fp") == F.col("_kept")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_fp"]).drop("_fp")

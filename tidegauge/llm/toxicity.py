@@ -221,8 +221,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_term
                 n_docs = r.n
             else:
                 frequency[r.term] = r.n
-    examples = sample.select("doc_id", "y", "text").mapInArrow(partial(_counts, vocabulary=vocabulary), "doc_id long, y int, terms array<long>, counts array<long>").toPandas() if chosen else None
-    rows = [] if examples is None else sorted(((int(i), int(y), dict(zip(t.tolist(), c.tolist(), strict=True))) for i, y, t, c in examples.itertuples(index=False)), key=lambda r: (r[0], sorted(r[2].items())))
+    examples = sample.select("doc_id", "y", "text").mapInArrow(partial(_counts, vocabulary=vocabulary), "doc_id long, y int, terms array<long>, counts array<long>").collect() if chosen else []
+    rows = sorted(((i, y, dict(zip(t, c, strict=True))) for i, y, t, c in examples), key=lambda r: (r[0], sorted(r[2].items())))
     return Model(vocabulary, frequency, n_docs, rows, (float(totals.get(0, 0)), float(totals.get(1, 0))), k)
 
 
