@@ -45,13 +45,17 @@ TEMPLATES = {
 }
 
 
-def shingles(text: str) -> Column:
-    """Hashes of the five-word shingles of a text column, in order."""
-    words = F.split(F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]++", " ")), " ", -1)
-    return F.transform(
-        F.slice(words, 1, F.greatest(F.size(words) - (WIDTH - 1), F.lit(0))),
-        lambda w, i: F.xxhash64(w, *(F.get(words, i + k) for k in range(1, WIDTH))),
-    )
+def with_shingles(rows: DataFrame, text: str, name: str) -> DataFrame:
+    """``rows`` with the hashes of the five-word shingles of a text column, in order.
+
+    The lambda sees its own element only: a reference to the array of words in it would be evaluated for every element
+    wherever the optimizer moves the expression.
+    """
+    plain = F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]++", " "))
+    rows = rows.withColumn("_words", F.split(plain, " ", -1))
+    n = F.greatest(F.size("_words") - (WIDTH - 1), F.lit(0))
+    five = F.arrays_zip(*[F.slice("_words", k + 1, n).alias(f"w{k}") for k in range(WIDTH)])
+    return rows.withColumn(name, F.transform(five, lambda x: F.xxhash64(*[x[f"w{k}"] for k in range(WIDTH)]))).drop("_words")
 
 
 def _signature(hashes: Column) -> Column:
@@ -74,7 +78,7 @@ def templates(spark: SparkSession, texts: dict[str, str] = TEMPLATES) -> DataFra
     """``(license, t, size)``: a template's distinct shingles and its class."""
     rows = F.array(*[F.struct(F.lit(k).alias("license"), F.lit(v).alias("text")) for k, v in texts.items()])
     t = spark.range(1).select(F.explode(rows).alias("x")).select("x.license", "x.text")
-    t = t.select("license", F.array_distinct(shingles("text")).alias("t"), F.size(shingles("text")).alias("s"))
+    t = with_shingles(t, "text", "hs").select("license", F.array_distinct("hs").alias("t"), F.size("hs").alias("s"))
     return t.select("license", "t", F.pow(F.lit(2), F.ceil(F.log2(F.col("s")))).cast("int").alias("size"))
 
 
@@ -93,9 +97,9 @@ def scan(docs: DataFrame, texts: dict[str, str] = TEMPLATES, share: float = SHAR
     bitmap = F.lit([b - (1 << 64) if b >> 63 else b for b in bits])
     all_shingles = F.lit(each)
     maybe = lambda h: F.getbit(F.get(bitmap, F.shiftright(h, 6).bitwiseAND(F.lit((1 << (_BITS - 6)) - 1)).cast("int")), h.bitwiseAND(F.lit(63)).cast("int")) == 1
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), shingles("text").alias("hs"))
+    found = with_shingles(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "text", "hs").drop("text")
     place = F.transform("hs", lambda h, i: F.when(maybe(h) & F.array_contains(all_shingles, h), i))
-    found = found.withColumn("at", F.array_compact(place)).where(F.size("at") > 0)
+    found = found.withColumn("at", F.array_compact(place))
     windows = [_windows(size) for size in sorted({r.size for r in rows})]
     found = found.select("doc_id", "hs", F.explode(F.concat(*windows)).alias("w"))
     found = found.select("doc_id", "w.size", "w.start", F.slice("hs", F.col("w.start") + 1, F.col("w.long")).alias("w")).where(F.size("w") > 0)
