@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from tidegauge.llm.common import Saved
 
 GROUP_ROWS = 8192
+#: Distances computed at once.
+PAIRS = 1 << 15
 SEED = 20240229
 _FOUND = "query_id long, vec_id long, score double"
 
@@ -52,16 +54,19 @@ class Hash:
         self.tables, self.rotations = tables, rotations
 
     def turned(self, x: np.ndarray, table: int, rotation: int) -> np.ndarray:
-        y = np.zeros((len(x), self.size))
-        y[:, : self.dim] = x
+        """Butterflies run down the first axis, so that each step is one pass over contiguous rows."""
+        y = np.zeros((self.size, len(x)))
+        y[: self.dim] = x.T
         for signs in self.signs[table, rotation]:
-            y *= signs
+            y *= signs[:, None]
             h = 1
             while h < self.size:
-                z = y.reshape(len(y), -1, 2, h)
-                y = np.stack([z[:, :, 0] + z[:, :, 1], z[:, :, 0] - z[:, :, 1]], axis=2).reshape(len(y), -1)
+                z = y.reshape(-1, 2, h, y.shape[1])
+                low = z[:, 0] - z[:, 1]
+                z[:, 0] += z[:, 1]
+                z[:, 1] = low
                 h *= 2
-        return y / self.size**1.5
+        return y.T / self.size**1.5
 
     def buckets(self, x: np.ndarray, table: int) -> np.ndarray:
         out = np.zeros(len(x), np.int64)
@@ -101,14 +106,16 @@ def _flat(b: pa.RecordBatch, dim: int):
     return ids, x
 
 
-def _entries(batches, maker, dim: int):
+def _hashed(batches, maker, dim: int):
+    """The rows with their bucket in every table."""
     h = Hash(**maker)
     for b in batches:
         ids, x = _flat(b, dim)
         if len(ids):
             u = _unit(x)
-            for t in range(h.tables):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), t)), pa.array(h.buckets(u, t)), b.column(0), b.column(1)], names=["t", "bucket", "vec_id", "v"])
+            own = np.stack([h.buckets(u, t) for t in range(h.tables)], axis=1)
+            at = pa.array(np.arange(len(ids) + 1, dtype=np.int32) * h.tables)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(at, pa.array(own.ravel()))], names=["vec_id", "v", "buckets"])
 
 
 def _probes(batches, maker, dim: int, n: int):
@@ -123,27 +130,21 @@ def _probes(batches, maker, dim: int, n: int):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(p.size, t)), pa.array(p.ravel()), b.column(0).take(at), b.column(1).take(at)], names=["t", "bucket", "query_id", "q"])
 
 
-def _best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> pa.Table:
+def _best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> list[np.ndarray]:
     """The k first of each query by score and id, each pair once."""
     order = np.lexsort((vec, score, query))
     q, v, s = query[order], vec[order], score[order]
-    new = np.r_[True, q[1:] != q[:-1]] if len(q) else np.zeros(0, bool)
-    start = np.flatnonzero(new)
-    rank = np.arange(len(q)) - np.repeat(start, np.diff(np.r_[start, len(q)]))
-    keep = rank < k
-    return pa.Table.from_arrays([pa.array(q[keep]), pa.array(v[keep]), pa.array(s[keep])], names=["query_id", "vec_id", "score"])
-
-
-def _none() -> pa.Table:
-    return pa.Table.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=["query_id", "vec_id", "score"])
+    once = np.r_[True, (q[1:] != q[:-1]) | (v[1:] != v[:-1]) | (s[1:] != s[:-1])][: len(q)]
+    q, v, s = q[once], v[once], s[once]
+    start = np.flatnonzero(np.r_[True, q[1:] != q[:-1]][: len(q)])
+    keep = np.arange(len(q)) - np.repeat(start, np.diff(np.r_[start, len(q)])) < k
+    return [q[keep], v[keep], s[keep]]
 
 
 def _meet(k: int, dim: int, by_bucket: bool):
     """For one group: each query against the entries of the buckets that it probes (or all)."""
 
     def call(left, right):
-        if not left.num_rows or not right.num_rows:
-            return _none()
         ids, qid = (t[c].combine_chunks().to_numpy(zero_copy_only=False) for t, c in ((left, "vec_id"), (right, "query_id")))
         x, q = (_matrix(t[c].combine_chunks(), dim) for t, c in ((left, "v"), (right, "q")))
         if by_bucket:
@@ -152,27 +153,25 @@ def _meet(k: int, dim: int, by_bucket: bool):
             a, b = np.searchsorted(key[order], probe), np.searchsorted(key[order], probe, side="right")
         else:
             order, a, b = np.arange(len(ids)), np.zeros(len(qid), np.int64), np.full(len(qid), len(ids))
-        out = []
-        for j in np.flatnonzero(b > a):
-            at = order[a[j] : b[j]]
-            at = at[ids[at] != qid[j]]
-            s = np.sqrt(((x[at] - q[j]) ** 2).sum(axis=1))
-            if len(s) > k:
-                near = np.flatnonzero(s <= np.partition(s, k - 1)[k - 1])
-                at, s = at[near], s[near]
-            out.append((np.full(len(at), qid[j]), ids[at], s))
-        if not out:
-            return _none()
-        query, vec, score = (np.concatenate(y) for y in zip(*out, strict=True))
-        pair = np.unique(np.rec.fromarrays([query, score, vec]), return_index=False) if by_bucket else None
-        return _best(pair.f0, pair.f2, pair.f1, k) if by_bucket else _best(query, vec, score, k)
+        found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        cuts = np.flatnonzero(np.diff(np.cumsum(b - a) // PAIRS, prepend=0)) + 1
+        for at in np.split(np.arange(len(qid)), cuts):
+            n = b[at] - a[at]
+            j = np.repeat(at, n)
+            e = order[np.repeat(a[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            e, j = e[ids[e] != qid[j]], j[ids[e] != qid[j]]
+            if len(e):
+                s = np.sqrt(((x[e] - q[j]) ** 2).sum(axis=1))
+                found = _best(*(np.concatenate(y) for y in zip(found, (qid[j], ids[e], s), strict=True)), k)
+        return pa.Table.from_arrays([pa.array(y) for y in found], names=["query_id", "vec_id", "score"])
 
     return call
 
 
 def usable(vectors: DataFrame) -> DataFrame:
     """``(vec_id, v)`` of the vectors that take part."""
-    v = F.col("embedding").cast("array<double>")
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    v = F.col("embedding").cast(kind if kind == "array<float>" else "array<double>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & v.isNotNull() & fine)
 
@@ -187,12 +186,14 @@ def search(vectors: DataFrame, is_query, k: int = 10, **options: int) -> DataFra
     dim, n = sizes
     chosen = settings(n) | options
     maker = {"dim": dim, "rotations": chosen["rotations"], "tables": chosen["tables"]}
+    kind = rows.schema["v"].dataType.simpleString()
     rows = Saved(rows.where(F.size("v") == dim), "vectors").df
     first = Window.partitionBy("v").orderBy("vec_id")
     index = rows.withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1).drop("r")
     queries = rows.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).dropDuplicates()
-    entries = index.mapInArrow(partial(_entries, maker=maker, dim=dim), "t long, bucket long, vec_id long, v array<double>")
-    probes = queries.mapInArrow(partial(_probes, maker=maker, dim=dim, n=chosen["probes"]), "t long, bucket long, query_id long, q array<double>")
+    hashed = Saved(index.mapInArrow(partial(_hashed, maker=maker, dim=dim), f"vec_id long, v {kind}, buckets array<long>"), "hashed").df
+    entries = hashed.select("vec_id", "v", F.posexplode("buckets").alias("t", "bucket")).withColumn("t", F.col("t").cast("long"))
+    probes = queries.mapInArrow(partial(_probes, maker=maker, dim=dim, n=chosen["probes"]), f"t long, bucket long, query_id long, q {kind}")
     groups = max(1, -(-n * maker["tables"] // GROUP_ROWS))
     large = Saved(entries.groupBy("t", "bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP_ROWS // 2), "large").df
     large = large.select("t", "bucket", F.ceil(F.col("n") / (GROUP_ROWS // 2)).cast("long").alias("parts"))
