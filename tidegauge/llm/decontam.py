@@ -31,7 +31,7 @@ RATE = 0.1
 BLOCK_CHARS = 4_000_000
 TABLE_BITS = 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-_SPACE = re.compile(r"\s")
+_SPACE = re.compile(r"[^\S ]")
 
 
 def normal(text: str | None) -> str:
@@ -71,6 +71,7 @@ class Items:
         self.m = m
         self.edits = np.maximum(0, np.minimum((rate * m + 1e-9).astype(np.int64), (m - Q) // Q))
         self.least = m - Q + 1 - self.edits * Q
+        self.step, self.overlap, self.per_step = (self.edits + 1).astype(np.int32), self.edits.astype(np.int32), 1.0 / (self.edits + 1)
         self.short = [k for k in range(len(rows)) if m[k] < Q]
         grams = [_grams(_codes(t)) for t in texts]
         item = np.repeat(np.arange(len(rows)), [len(g) for g in grams])
@@ -78,6 +79,7 @@ class Items:
         flat = np.concatenate(grams or [np.zeros(0, np.uint64)])
         order = np.argsort(flat, kind="stable")
         self.item, self.place, flat = item[order].astype(np.int32), place[order].astype(np.int32), flat[order]
+        self.shifted = self.place - m[self.item].astype(np.int32)
         new = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]]) if len(flat) else np.zeros(0, np.int64)
         self.gram, self.first = flat[new], np.r_[new, len(flat)]
         slot = (self.gram >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
@@ -101,18 +103,18 @@ class Items:
         same = self.gram[gram] == value
         at, gram = at[same], gram[same]
         n = self.first[gram + 1] - self.first[gram]
-        post = np.repeat(self.first[gram] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        post = np.repeat((self.first[gram] - np.cumsum(n) + n).astype(np.int32), n) + np.arange(n.sum(), dtype=np.int32)
         item = self.item[post]
-        step = self.edits[item] + 1
-        diagonal = np.repeat(at, n) - self.place[post] + self.m[item]
-        band = diagonal // step
-        again = (diagonal - band * step < self.edits[item]) & (band > 0)
+        diagonal = np.repeat(at.astype(np.int32), n) - self.shifted[post]
+        band = ((diagonal + 0.5) * self.per_step[item]).astype(np.int32)
+        again = (diagonal - band * self.step[item] < self.overlap[item]) & (band > 0)
         width = (len(codes) + self.m) // (self.edits + 1) + 2
         base = np.cumsum(np.r_[0, width])
-        key = np.concatenate([base[item] + band, (base[item] + band - 1)[again]])
+        key = base[item] + band
+        key = np.concatenate([key, key[again] - 1])
         if base[-1] <= max(1 << 16, 4 * len(key)):
             count = np.bincount(key, minlength=base[-1])
-            keys = np.flatnonzero(count)
+            keys = np.flatnonzero(count >= self.least.min())
             count = count[keys]
         else:
             keys, count = np.unique(key, return_counts=True)
