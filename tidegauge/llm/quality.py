@@ -16,6 +16,7 @@ import re
 import zlib
 from collections import Counter
 from functools import partial
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,7 @@ ROUNDS = 100
 STEPS = 150
 GOOD, BAD, NONE = 1, 0, 2
 _LETTERS, _UPPER = re.compile(r"[^\W\d_]"), re.compile(r"[A-ZÀ-ÖØ-Þ]")
+_PLAIN = re.compile(r"[^\W_]")
 _ODD = re.compile(r"[^\w\s.,;:!?'\"()\-|]")
 _RUN = re.compile(r"(.)\1+", re.S)
 _LOWERS, _UPPERS, _DIGITS = re.compile(r"[a-zß-öø-ÿ]+"), re.compile(r"[A-ZÀ-ÖØ-Þ]+"), re.compile(r"\d+")
@@ -40,17 +42,18 @@ def _vote(value: float, good, bad) -> int:
 
 
 def votes(text: str | None) -> tuple[int, ...]:
-    """Length, capitals, exclamation marks, odd characters, bars, word length, sentence ends, repeated words, repeated lines."""
+    """Length, capitals, exclamation marks, odd characters, bars, word length, sentence ends, distinct words, distinct lines,
+    words that follow themselves, share of letters and digits."""
     text = text or ""
     words = text.split()
     n = len(words)
     if not n:
-        return (BAD, *[NONE] * 8)
+        return (BAD, *[NONE] * 10)
     letters = len(_LETTERS.findall(text)) or 1
     ends = sum(1 for w in words if w[-1] in ".!?")
     lines = [x for x in text.split("\n") if x.strip()]
     return (
-        _vote(n, lambda x: x >= 30, lambda x: x < 8),
+        _vote(n, lambda x: x >= 30, lambda x: x < 3),
         _vote(len(_UPPER.findall(text)) / letters, lambda x: x < 0.15, lambda x: x > 0.4),
         _vote(text.count("!") / n, lambda x: x < 0.02, lambda x: x > 0.15),
         _vote(len(_ODD.findall(text)) / len(text), lambda x: x < 0.01, lambda x: x > 0.04),
@@ -59,18 +62,21 @@ def votes(text: str | None) -> tuple[int, ...]:
         _vote(ends / n, lambda x: 0.02 <= x <= 0.35, lambda x: n >= 30 and not 0.005 <= x <= 0.6),
         _vote(len(set(words)) / n if 50 <= n <= 2000 else 0.45, lambda x: x > 0.5, lambda x: x < 0.3),
         _vote(len(set(lines)) / len(lines) if len(lines) > 3 else 0.75, lambda x: x > 0.9, lambda x: x < 0.6),
+        _vote(sum(map(eq, words, words[1:])) / n, lambda x: x < 0.05, lambda x: x > 0.2),
+        _vote(len(_PLAIN.findall(text)) / sum(map(len, words)), lambda x: x > 0.95, lambda x: x < 0.92),
     )
 
 
-N_LABELLERS = 9
+N_LABELLERS = 11
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features: word shapes and pairs of them, weighted by the root of their share."""
+    """Hashed features: word shapes and pairs of them (marked where the word is the same), by the root of their share."""
+    words = (text or "").split()
     shape = _DIGITS.sub("0", _UPPERS.sub("A", _LOWERS.sub("a", text or "")))
     shapes = [w[:8] for w in _RUN.sub(r"\1\1", shape).split()]
     count = Counter(shapes)
-    count.update(map("\x00".join, zip(shapes, shapes[1:], strict=False)))
+    count.update(map("{}\x00{}{}".format, shapes, shapes[1:], map(eq, words, words[1:])))
     if not count:
         return np.zeros(0, np.int64), np.zeros(0)
     at = np.array([zlib.crc32(s.encode()) & ((1 << BITS) - 1) for s in count], np.int64)
@@ -91,23 +97,31 @@ def _patterns(batches):
 
 
 def label_model(counts: dict[int, int], rounds: int = ROUNDS) -> tuple[dict[int, float], np.ndarray]:
-    """Each pattern's probability of a good text, and ``[labeller, good or bad, vote]`` probabilities."""
+    """Each pattern's probability of a good text, and every labeller's accuracies: of its bad votes among bad texts, and of
+    its silence among good ones.
+
+    Latent classes: the good texts and one kind of bad texts for each labeller, so that labellers who see the same kind of
+    fault don't outvote the others. Expectation-maximisation starts from texts with no bad vote as good ones, and from each
+    labeller's bad votes as its kind, and fits the classes' shares and each labeller's bad votes in each. How far a kind
+    counts as bad follows from overlap: the share of its texts on which a second labeller agrees, twice that and at most 1.
+    """
     pattern = np.array(sorted(counts), np.int64)
     n = np.array([counts[p] for p in pattern.tolist()], float)
-    v = np.stack([pattern // 3**k % 3 for k in range(N_LABELLERS)], axis=1)
-    good = (v == GOOD).sum(axis=1) - 2.0 * (v == BAD).sum(axis=1)
-    post = 1 / (1 + np.exp(-good))
-    table = np.full((N_LABELLERS, 2, 3), 1 / 3)
+    bad = np.stack([pattern // 3**k % 3 == BAD for k in range(N_LABELLERS)], axis=1).astype(float)
+    post = np.concatenate([(bad.sum(axis=1, keepdims=True) == 0), bad], axis=1) + 1e-3
+    post /= post.sum(axis=1, keepdims=True)
     for _ in range(rounds):
-        share = np.clip((n @ post) / n.sum(), 1e-3, 1 - 1e-3)
-        log = np.full(len(pattern), np.log(share / (1 - share)))
-        for k in range(N_LABELLERS):
-            for y, p in ((1, post), (0, 1 - post)):
-                table[k, y] = np.bincount(v[:, k], n * p, 3) + 0.5
-                table[k, y] /= table[k, y].sum()
-            log += np.log(table[k, 1, v[:, k]] / table[k, 0, v[:, k]])
-        post = 1 / (1 + np.exp(-np.clip(log, -30, 30)))
-    return dict(zip(pattern.tolist(), post.tolist(), strict=True)), table
+        mass = n @ post
+        rate = np.clip(((n[:, None] * post).T @ bad + 0.01) / (mass[:, None] + 1), 1e-4, 1 - 1e-4)
+        log = np.log(mass / n.sum() + 1e-12) + bad @ np.log(rate).T + (1 - bad) @ np.log(1 - rate).T
+        post = np.exp(log - log.max(axis=1, keepdims=True))
+        post /= post.sum(axis=1, keepdims=True)
+    agreed = (n * (bad.sum(axis=1) > 1)) @ post / np.maximum(n @ post, 1e-9)
+    weight = np.minimum(1, 2 * agreed)
+    weight[0] = 0
+    worse = post @ weight
+    accuracy = np.stack([(n * worse) @ bad / max(n @ worse, 1e-9), (n * (1 - worse)) @ (1 - bad) / max(n @ (1 - worse), 1e-9)], axis=1)
+    return dict(zip(pattern.tolist(), (1 - worse).tolist(), strict=True)), accuracy
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, steps: int = STEPS) -> tuple[np.ndarray, float]:
