@@ -2,7 +2,7 @@
 
 Terms are words and the first four and five letters of words (lower case). A bounded sample of labelled rows (at most
 ``PER_CLASS`` of each label, least id hashes first) gives the examples and, by a likelihood-ratio test against the label,
-the vocabulary of at most ``MAX_TERMS`` terms. Document frequencies are counted over all documents. The examples, ordered
+the vocabulary of at most ``MAX_TERMS`` terms that are at least ``MIN_LIFT`` times likelier under one label. Document frequencies are counted over all documents. The examples, ordered
 so that alike ones are neighbours, form an inverted index whose postings lie in blocks; each term keeps the greatest
 weight in each block. A query's terms bound every block's cosines from above; blocks are scored from the highest bound
 down until no bound reaches the k-th best cosine, so the neighbours are exact.
@@ -33,6 +33,8 @@ from tidegauge.llm.common import Saved, bounded_batches
 PER_CLASS = 4000
 MAX_TERMS = 4096
 MIN_G2 = 15.0
+#: How many times likelier under one label than under the other a term must be; common words that merely lean are left out.
+MIN_LIFT = 3.0
 NEIGHBOURS = 15
 BLOCK = 32
 THRESHOLD = 0.7
@@ -211,7 +213,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_term
         share = (a + b) / (n1 + n0)
         part = lambda x, m, p: F.when(x > 0, x * F.log(x / (m * p))).otherwise(0.0)
         g2 = 2 * (part(a, n1, share) + part(b, n0, share) + part(n1 - a, n1, 1 - share) + part(n0 - b, n0, 1 - share))
-        chosen = [r.term for r in per.select("term", g2.alias("g2")).where(F.col("g2") >= MIN_G2).orderBy(F.desc("g2"), "term").limit(max_terms).collect()]
+        lift = F.abs(F.log((a + 0.5) / (n1 + 1)) - F.log((b + 0.5) / (n0 + 1)))
+        chosen = [r.term for r in per.select("term", g2.alias("g2"), lift.alias("lift")).where((F.col("g2") >= MIN_G2) & (F.col("lift") >= float(np.log(MIN_LIFT)))).orderBy(F.desc("g2"), "term").limit(max_terms).collect()]
     vocabulary = Vocabulary(sorted(chosen))
     frequency, n_docs = np.zeros(len(chosen)), 0
     if chosen:
