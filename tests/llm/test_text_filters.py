@@ -182,17 +182,22 @@ def test_quality_against_labels(spark):
     assert auc > 0.95 and (got.keep[y] == 1).mean() > 0.95 and (got.keep[~y] == 0).mean() > 0.8
 
 
-def test_label_model_finds_good_and_poor_labellers():
+def test_label_model_keeps_kinds_of_faults_apart():
+    """Two kinds of bad texts, each seen by its own two labellers, and a labeller that fires at random."""
     rng = np.random.default_rng(0)
-    y = rng.random(20000) < 0.7
+    kind = rng.choice(3, 20000, p=[0.8, 0.12, 0.08])
+    fires = rng.random((20000, quality.N_LABELLERS)) < 0.002
+    for k, pair in ((1, (0, 1)), (2, (2, 3))):
+        fires[:, pair] |= (kind == k)[:, None] & (rng.random((20000, 2)) < 0.9)
+    fires[:, 5] |= rng.random(20000) < 0.02
     counts = {}
-    for good in y:
-        v = [int(good) if rng.random() < a else int(not good) for a in (0.95, 0.9, 0.9, 0.85, 0.55, 0.5)] + [quality.NONE] * 5
-        p = quality._pattern(tuple(v))
+    for row in fires:
+        p = quality._pattern(tuple(quality.BAD if x else quality.GOOD for x in row))
         counts[p] = counts.get(p, 0) + 1
-    post, t = quality.label_model(counts)
-    assert t[:4].min() > 0.75 and abs(t[5].sum() - 1) < 0.25 and t[0].sum() > t[3].sum() > t[4].sum()
-    assert post[quality._pattern((1,) * 6 + (quality.NONE,) * 5)] > 0.9 and post[quality._pattern((0,) * 4 + (1,) * 2 + (quality.NONE,) * 5)] < 0.1
+    post, accuracy = quality.label_model(counts)
+    of = lambda *bad: post[quality._pattern(tuple(quality.BAD if k in bad else quality.GOOD for k in range(quality.N_LABELLERS)))]
+    assert of() > 0.95 and of(0, 1) < 0.05 and of(2, 3) < 0.05 and of(2) < 0.3 and of(5) > 0.7
+    assert accuracy[:, 1].min() > 0.97 and accuracy[0, 0] > 0.4 > accuracy[5, 0]
 
 
 def test_quality_odd_inputs(spark):
