@@ -141,9 +141,9 @@ def c02(spark, d):
     return C.row_counts(T.candles_ord(spark, d))
 
 
-@query("c03_monthly_counts", f"with {MONTHS} select ts_id, month, rows_amount, cast(month(month) as int) month_number, cast(case when month(month) = 2 then day(last_day(month)) end as int) leap from m where month > date_trunc('month', lo) and month < date_trunc('month', hi)")
+@query("c03_monthly_counts", f"with {MONTHS} select ts_id, month, rows_amount, cast(month(month) as int) month_number, cast(case when month(month) = 2 then day(last_day(month)) end as double) leap from m where month > date_trunc('month', lo) and month < date_trunc('month', hi)")
 def c03(spark, d):
-    return C.monthly_counts(T.candles_ord(spark, d))
+    return C.monthly_counts(T.candles_ord(spark, d)).withColumn("leap", F.col("leap").cast("double"))
 
 
 @query("c04_expected_rows", "select distinct cast(date_trunc('month', o_orderdate) as timestamp) m, cast(day(last_day(o_orderdate)) * 24 as int) h1, cast(case when month(o_orderdate) = 2 then 9 else 10 end as int) d3 from orders")
@@ -385,7 +385,7 @@ def g08(spark, d):
     return C.grid(c, "1h").exceptAll(c.select("ts_id", "open_time"))
 
 
-@query("g09_last_five", f"with {_LACKS} select ts_id, list(month_where_lacks order by month_where_lacks) [-5:] as months from l group by 1")
+@query("g09_last_five", f"with {_LACKS} select ts_id, array_to_string(list(strftime(month_where_lacks, '%Y-%m') order by month_where_lacks)[-5:], ',') as months from l group by 1")
 def g09(spark, d):
     found = C.lacks(T.candles_ord(spark, d)).groupBy("ts_id").agg(F.sort_array(F.collect_list("month_where_lacks")).alias("m"))
-    return found.select("ts_id", F.when(F.size("m") > 5, F.slice("m", -5, 5)).otherwise(F.col("m")).alias("months"))
+    return found.select("ts_id", F.when(F.size("m") > 5, F.slice("m", -5, 5)).otherwise(F.col("m")).alias("m")).select("ts_id", F.array_join(F.transform("m", lambda t: F.date_format(t, "yyyy-MM")), ",").alias("months"))
