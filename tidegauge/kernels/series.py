@@ -256,7 +256,8 @@ def spectral_periods(x: np.ndarray, top: int = 5) -> list[tuple[int, float]]:
     peaks, _ = find_peaks(p, height=0.2 * p.max(), prominence=0.06 * p.max())
     out: dict[int, float] = {}
     for k in peaks[np.argsort(-p[peaks])][:top]:
-        raw = 1 / f[k]
+        a, b, c = np.log(p[k - 1 : k + 2] + 1e-300)
+        raw = 1 / (f[1] * (k + 0.5 * (a - c) / (a - 2 * b + c)))  # the vertex of the parabola through the peak
         period = round(raw)
         if 2 <= period <= _max_period(n):
             penalty = 1 - min(3 * abs(raw - period) / period, 0.7)

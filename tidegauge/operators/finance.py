@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidegauge.operators.calendar import forward_fill
 from tidegauge.operators.joins import align, row_window
 from tidegauge.operators.stats import clip, mad
-from tidegauge.operators.windows import BY_TIME, forward_returns, lag, ratio, returns, rolling_correlation, rows
+from tidegauge.operators.windows import by_time, forward_returns, lag, ratio, returns, rolling_correlation, rows
 
 #: Least rows, windows and limits.
 MIN_ROWS, WINDOW, ISOLATED, MAX_LAG, FILL, MAD_CUT, VR_LAGS = 100, 50, 0.3, 20, 5, 3.0, (2, 5, 10)
@@ -46,7 +46,7 @@ def market_beta(pairs: DataFrame) -> DataFrame:
 def lead_lag(pairs: DataFrame, max_lag: int = MAX_LAG) -> DataFrame:
     """The lag with the strongest correlation, positive where the reference leads, as a share of ``max_lag``."""
     ks = range(-max_lag, max_lag + 1)
-    p = pairs.withColumns({f"_r{k + max_lag}": F.lag("reference", k).over(BY_TIME) for k in ks})
+    p = pairs.withColumns({f"_r{k + max_lag}": F.lag("reference", k).over(by_time()) for k in ks})
     s = p.groupBy("ts_id").agg(*[F.corr("target", f"_r{k + max_lag}").alias(f"_c{k + max_lag}") for k in ks])
     best = F.greatest(*[F.struct(F.abs(F.col(f"_c{k + max_lag}")).alias("a"), F.lit(-abs(k)).alias("near"), F.lit(k).alias("k")) for k in ks])
     return s.select("ts_id", (best["k"] / max_lag).alias("lead_lag"), best["a"].alias("strength"))
@@ -141,7 +141,7 @@ def event_validation(df: DataFrame, is_event, c: str, reference: str, k: int = 3
     r = returns(df.withColumn("_hit", is_event), c, "r").where("r IS NOT NULL")
     m = mad(r, "r")
     r = r.join(m, "ts_id").withColumn("score", F.when(F.col("mad") > 0, 0.6745 * F.abs(F.col("r") - F.col("median")) / F.col("mad")).otherwise(0.0))
-    r = r.withColumn("near", F.max("score").over(BY_TIME.rowsBetween(-k, k)))
+    r = r.withColumn("near", F.max("score").over(by_time().rowsBetween(-k, k)))
     ref = r.where(F.col("ts_id") == reference).select("open_time", F.col("near").alias("near_reference"))
     hit = r.where(F.col("_hit") & (F.col("ts_id") != reference)).join(ref, "open_time")
     return hit.select("ts_id", "open_time", "near", "near_reference", ((F.col("near") > own) & (F.col("near_reference") > other)).alias("is_valid"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.operators.windows import BY_TIME, lag, ratio, returns, sample_kurtosis, sample_skewness
+from tidegauge.operators.windows import by_time, lag, ratio, returns, sample_kurtosis, sample_skewness
 
 #: Thresholds and weights of the outlier masks.
 Z_LIMIT, IQR_FACTOR, MAD_LIMIT, MAD_SCALE, CONSENSUS = 3.5, 1.3, 3.5, 0.6745, 0.5
@@ -43,7 +43,7 @@ def volatility(mean: Column, std: Column) -> Column:
 
 def trend_and_noise(df: DataFrame, c: str) -> DataFrame:
     """Volatility, trend strength (relative slope times R squared) and noise level (deviation of second differences)."""
-    df = df.withColumn("_i", F.row_number().over(BY_TIME) - 1).withColumn("_d", F.col(c) - 2 * lag(c, 1) + lag(c, 2))
+    df = df.withColumn("_i", F.row_number().over(by_time()) - 1).withColumn("_d", F.col(c) - 2 * lag(c, 1) + lag(c, 2))
     y, x = F.col(c), F.col("_i").cast("double")
     s = df.groupBy("ts_id").agg(
         F.avg(c).alias("m"), F.stddev(c).alias("s"), F.regr_slope(y, x).alias("slope"), F.regr_r2(y, x).alias("r2"), F.stddev("_d").alias("sd")
@@ -104,9 +104,9 @@ def outlier_summary(df: DataFrame) -> DataFrame:
 
 def outlier_statistics(df: DataFrame, c: str) -> DataFrame:
     """Variance of outliers against the rest, mean distance to the rest's median, spread of the gaps between outliers."""
-    df = df.withColumn("_i", F.row_number().over(BY_TIME))
+    df = df.withColumn("_i", F.row_number().over(by_time()))
     normal = df.where(~F.col("is_outlier")).groupBy("ts_id").agg(F.variance(c).alias("vn"), F.median(c).alias("mn"))
-    hit = df.where("is_outlier").withColumn("_gap", F.col("_i") - F.lag("_i").over(BY_TIME))
+    hit = df.where("is_outlier").withColumn("_gap", F.col("_i") - F.lag("_i").over(by_time()))
     out = hit.join(normal, "ts_id").groupBy("ts_id").agg(
         F.variance(c).alias("vo"), F.first("vn").alias("vn"), F.avg(F.abs(F.col(c) - F.col("mn"))).alias("mean_distance"), F.stddev_pop("_gap").alias("gap_std")
     )
@@ -133,7 +133,7 @@ def significant_lags(df: DataFrame, c: str, max_lag: int, top: int, z: float = 1
     """Autocorrelations of the first lags over z / sqrt(n), the strongest first; one pass of lags in one window."""
     mean = df.groupBy("ts_id").agg(F.avg(c).alias("_m"), F.count(c).alias("_n"), F.var_pop(c).alias("_v"))
     x = df.join(mean, "ts_id").withColumn("_x", F.col(c) - F.col("_m"))
-    x = x.withColumns({f"_l{k}": F.col("_x") * F.lag("_x", k).over(BY_TIME) for k in range(1, max_lag + 1)})
+    x = x.withColumns({f"_l{k}": F.col("_x") * F.lag("_x", k).over(by_time()) for k in range(1, max_lag + 1)})
     s = x.groupBy("ts_id", "_n", "_v").agg(*[F.sum(f"_l{k}").alias(f"_s{k}") for k in range(1, max_lag + 1)])
     rows = F.array(*[F.struct(F.lit(k).alias("lag"), ratio(F.col(f"_s{k}"), (F.col("_n") - k) * F.col("_v")).alias("acf")) for k in range(1, max_lag + 1)])
     s = s.select("ts_id", "_n", F.explode(rows).alias("r")).select("ts_id", "_n", "r.lag", "r.acf")

@@ -14,16 +14,21 @@ WINDOWS = {"1h": (3, 6, 12, 24), "12h": (2, 4, 6, 14), "1d": (3, 7, 14, 30), "3d
 DEFAULT_LAGS, DEFAULT_WINDOWS = (1, 2, 3, 4, 5), (3, 5, 7)
 UNRELIABLE_SHARE = 0.15
 
-BY_TIME = Window.partitionBy("ts_id").orderBy("open_time")
-WHOLE = Window.partitionBy("ts_id")
+
+def by_time():
+    return Window.partitionBy("ts_id").orderBy("open_time")
+
+
+def whole():
+    return Window.partitionBy("ts_id")
 
 
 def rows(n: int):
-    return BY_TIME.rowsBetween(-(n - 1), 0)
+    return by_time().rowsBetween(-(n - 1), 0)
 
 
 def lag(c: str, k: int = 1) -> Column:
-    return F.lag(c, k).over(BY_TIME)
+    return F.lag(c, k).over(by_time())
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -67,7 +72,7 @@ def rolling(df: DataFrame, c: str, sizes) -> DataFrame:
 
 def rolling_trend(df: DataFrame, c: str, sizes) -> DataFrame:
     """Slope over each full window; -1 throughout where the window is over 15 % of the series."""
-    df = df.withColumn("_i", F.row_number().over(BY_TIME)).withColumn("_n", F.count(F.lit(1)).over(WHOLE))
+    df = df.withColumn("_i", F.row_number().over(by_time())).withColumn("_n", F.count(F.lit(1)).over(whole()))
     out = {}
     for n in sizes:
         w = rows(n)
@@ -99,7 +104,7 @@ def add_features(df: DataFrame, c: str, code: str, holidays: DataFrame | None =
 
 def rolling_median_filter(df: DataFrame, c: str, half: int, threshold: float = 3.0) -> DataFrame:
     """Values over ``threshold`` rolling MADs from the centred rolling median give way to it."""
-    w = BY_TIME.rowsBetween(-half, half)
+    w = by_time().rowsBetween(-half, half)
     df = df.withColumn("_median", F.percentile(c, F.lit(0.5)).over(w)).withColumn("_off", F.abs(F.col(c) - F.col("_median")))
     df = df.withColumn("_mad", F.percentile("_off", F.lit(0.5)).over(w))
     clean = F.when((F.col("_mad") > 0) & (F.col("_off") > threshold * F.col("_mad")), F.col("_median")).otherwise(F.col(c))
@@ -117,17 +122,17 @@ def overlapping_sums(df: DataFrame, c: str, ks) -> DataFrame:
 
 
 def forward_returns(df: DataFrame, c: str, horizons=(1, 5, 10, 20)) -> DataFrame:
-    return df.withColumns({f"fwd_{h}": ratio(F.lead(c, h).over(BY_TIME), F.col(c)) - 1 for h in horizons})
+    return df.withColumns({f"fwd_{h}": ratio(F.lead(c, h).over(by_time()), F.col(c)) - 1 for h in horizons})
 
 
 def around(df: DataFrame, c: str, k: int) -> DataFrame:
     """Arrays of the k values before and after each row."""
-    before, after = BY_TIME.rowsBetween(-k, -1), BY_TIME.rowsBetween(1, k)
+    before, after = by_time().rowsBetween(-k, -1), by_time().rowsBetween(1, k)
     return df.withColumns({"pre": F.collect_list(c).over(before), "post": F.collect_list(c).over(after)})
 
 
 def cumulative(df: DataFrame, c: str) -> DataFrame:
-    return df.withColumn("cumulative", F.sum(c).over(BY_TIME.rowsBetween(Window.unboundedPreceding, 0)))
+    return df.withColumn("cumulative", F.sum(c).over(by_time().rowsBetween(Window.unboundedPreceding, 0)))
 
 
 def scaler_parameters(df: DataFrame, c: str) -> DataFrame:
@@ -196,7 +201,7 @@ def train_test(df: DataFrame, c: str, lags: int, share: float = 0.8, fit_on_all:
     The scaler is fitted on the training rows unless ``fit_on_all``.
     """
     df = df.withColumns({f"lag_{k}": lag(c, k) for k in range(1, lags + 1)}).dropna()
-    df = df.withColumn("_i", F.row_number().over(BY_TIME)).withColumn("_n", F.count(F.lit(1)).over(WHOLE))
+    df = df.withColumn("_i", F.row_number().over(by_time())).withColumn("_n", F.count(F.lit(1)).over(whole()))
     df = df.withColumn("is_train", F.col("_i") <= F.floor(F.col("_n") * share)).drop("_i", "_n")
     ends = (df if fit_on_all else df.where("is_train")).groupBy("ts_id").agg(F.min(c).alias("lo"), F.max(c).alias("hi"))
     shift, width = _scale("minmax")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.operators import windows as W
 from tidegauge.plans.registry import query
-from tidegauge.plans.relational import EVT, r6
+from tidegauge.plans.relational import EVT, rounded
 from tidegauge.sources import tables as T
 
 BASE = f"{EVT}, x as (select ts_id, open_time, open y from candles_evt)"
@@ -21,11 +21,11 @@ def base(spark, d):
     return T.candles_evt(spark, d).select("ts_id", "open_time", F.col("open").alias("y"))
 
 
-def _out(df, *columns, digits: int = 6):
+def _out(df, *columns, digits: int = 9):
     return df.select("ts_id", "open_time", *[F.round(c, digits).alias(c) for c in columns])
 
 
-def _sql(name: str, columns: dict[str, str], src: str = BASE, frm: str = "x", digits: int = 6):
+def _sql(name: str, columns: dict[str, str], src: str = BASE, frm: str = "x", digits: int = 9):
     return query(name, f"with {src} select ts_id, open_time, " + ", ".join(f'round({v}, {digits}) "{k}"' for k, v in columns.items()) + f" from {frm}")
 
 
@@ -179,8 +179,8 @@ def m01f(spark, d):
     f"""with {BASE}, l as (select *, lag(y, 1) over ({O}) lag_1, lag(y, 2) over ({O}) lag_2 from x), f as (select * from l where lag_1 is not null and lag_2 is not null),
     n as (select *, row_number() over ({O}) <= floor(count(*) over (partition by ts_id) * 0.8) is_train from f),
     e as (select ts_id, min(y) lo, max(y) hi from n where is_train group by 1)
-    select ts_id, open_time, round(lag_1, 6) lag_1, round(lag_2, 6) lag_2, is_train, round((y - lo) / case when hi = lo then 1 else hi - lo end, 6) scaled from n join e using (ts_id)""",
+    select ts_id, open_time, round(lag_1, 9) lag_1, round(lag_2, 9) lag_2, is_train, round((y - lo) / case when hi = lo then 1 else hi - lo end, 9) scaled from n join e using (ts_id)""",
 )
 def m04(spark, d):
     t = W.train_test(base(spark, d), "y", 2)
-    return r6(t.select("ts_id", "open_time", "lag_1", "lag_2", "is_train", "scaled"), "lag_1", "lag_2", "scaled")
+    return rounded(t.select("ts_id", "open_time", "lag_1", "lag_2", "is_train", "scaled"), "lag_1", "lag_2", "scaled")

@@ -8,7 +8,7 @@ from tidegauge.operators import finance as N
 from tidegauge.operators import stats as S
 from tidegauge.plans.features import BASE, O, base, over
 from tidegauge.plans.registry import query
-from tidegauge.plans.relational import r6
+from tidegauge.plans.relational import rounded
 
 REF = "crypto_view_1h"
 RAW = f"{BASE}, q as (select ts_id, open_time, y / nullif(lag(y) over ({O}), 0) - 1 r from x), s as (select ts_id, median(r) med, mad(r) mad from q group by 1)"
@@ -19,14 +19,14 @@ def pairs(spark, d):
     return N.aligned_returns(base(spark, d), REF, "y")
 
 
-@query("n09_clean_returns", f"with {CLEAN} select ts_id, open_time, round(target, 6) target, round(reference, 6) reference from p")
+@query("n09_clean_returns", f"with {CLEAN} select ts_id, open_time, round(target, 9) target, round(reference, 9) reference from p")
 def n09(spark, d):
-    return r6(pairs(spark, d), "target", "reference")
+    return rounded(pairs(spark, d), "target", "reference")
 
 
-@query("e13_market_beta", f"with {CLEAN} select ts_id, cast(count(*) as bigint) n, round(covar_samp(target, reference), 6) covariance, round(case when count(*) >= 100 then covar_samp(target, reference) / var_samp(reference) end, 6) beta, round(case when count(*) >= 100 then corr(target, reference) end, 6) correlation from p group by 1")
+@query("e13_market_beta", f"with {CLEAN} select ts_id, cast(count(*) as bigint) n, round(covar_samp(target, reference), 9) covariance, round(case when count(*) >= 100 then covar_samp(target, reference) / var_samp(reference) end, 9) beta, round(case when count(*) >= 100 then corr(target, reference) end, 9) correlation from p group by 1")
 def e13(spark, d):
-    return r6(N.market_beta(pairs(spark, d)), "covariance", "beta", "correlation")
+    return rounded(N.market_beta(pairs(spark, d)), "covariance", "beta", "correlation")
 
 
 _LL = ", ".join(f"abs(corr(target, r{k + 20})) c{k + 20}" for k in range(-20, 21))
@@ -34,82 +34,82 @@ _LAGGED = ", ".join(f"{'lag' if k >= 0 else 'lead'}(reference, {abs(k)}) over ({
 _ALL = " union all ".join(f"select ts_id, {k} k, c{k + 20} a from m" for k in range(-20, 21))
 
 
-@query("n10_lead_lag", f"with {CLEAN}, l as (select *, {_LAGGED} from p), m as (select ts_id, {_LL} from l group by 1), u as ({_ALL}) select ts_id, round(arg_max(k, (a, -abs(k), k)) / 20.0, 6) lead_lag, round(max(a), 6) strength from u group by 1")
+@query("n10_lead_lag", f"with {CLEAN}, l as (select *, {_LAGGED} from p), m as (select ts_id, {_LL} from l group by 1), u as ({_ALL}) select ts_id, round(arg_max(k, (a, -abs(k), k)) / 20.0, 9) lead_lag, round(max(a), 9) strength from u group by 1")
 def n10(spark, d):
-    return r6(N.lead_lag(pairs(spark, d)), "lead_lag", "strength")
+    return rounded(N.lead_lag(pairs(spark, d)), "lead_lag", "strength")
 
 
 _RC = f"{CLEAN}, rc as (select *, case when var_samp(target) over {over(50)} > 1e-8 and var_samp(reference) over {over(50)} > 1e-8 and count(*) over {over(50)} = 50 then corr(target, reference) over {over(50)} end c, stddev_samp(reference) over {over(50)} vol from p)"
 
 
-@query("n11_contagion", f"with {_RC}, k as (select * from rc where c is not null), t as (select ts_id, quantile_cont(vol, 0.75) cut from k group by 1), a as (select ts_id, avg(case when vol > cut then c end) crisis, avg(case when vol <= cut then c end) tranquil, avg(case when vol > cut then vol * vol end) vc, avg(case when vol <= cut then vol * vol end) vt from k join t using (ts_id) group by 1), z as (select *, crisis / sqrt(1 + (vc / vt - 1) * (1 - crisis * crisis)) adjusted from a) select ts_id, round(crisis, 6) crisis, round(tranquil, 6) tranquil, round(adjusted, 6) adjusted, round(adjusted - tranquil, 6) contagion from z")
+@query("n11_contagion", f"with {_RC}, k as (select * from rc where c is not null), t as (select ts_id, quantile_cont(vol, 0.75) cut from k group by 1), a as (select ts_id, avg(case when vol > cut then c end) crisis, avg(case when vol <= cut then c end) tranquil, avg(case when vol > cut then vol * vol end) vc, avg(case when vol <= cut then vol * vol end) vt from k join t using (ts_id) group by 1), z as (select *, crisis / sqrt(1 + (vc / vt - 1) * (1 - crisis * crisis)) adjusted from a) select ts_id, round(crisis, 9) crisis, round(tranquil, 9) tranquil, round(adjusted, 9) adjusted, round(adjusted - tranquil, 9) contagion from z")
 def n11(spark, d):
-    return r6(N.contagion(pairs(spark, d)), "crisis", "tranquil", "adjusted", "contagion")
+    return rounded(N.contagion(pairs(spark, d)), "crisis", "tranquil", "adjusted", "contagion")
 
 
-@query("n12_isolation", f"with {_RC} select ts_id, round(avg((abs(c) < 0.3)::int), 6) isolation_ratio, round(1 / (1 + stddev_samp(c) / abs(avg(c))), 6) stability from rc where c is not null group by 1")
+@query("n12_isolation", f"with {_RC} select ts_id, round(avg((abs(c) < 0.3)::int), 9) isolation_ratio, round(1 / (1 + stddev_samp(c) / abs(avg(c))), 9) stability from rc where c is not null group by 1")
 def n12(spark, d):
-    return r6(N.isolation(pairs(spark, d)), "isolation_ratio", "stability")
+    return rounded(N.isolation(pairs(spark, d)), "isolation_ratio", "stability")
 
 
 _R = f"{BASE}, q as (select ts_id, open_time, y / nullif(lag(y) over ({O}), 0) - 1 r from x), w as (select * from q where r is not null)"
 
 
-@query("n14_variance_ratio_noise", f"with {_R}, v as (select *, " + ", ".join(f"case when count(r) over {over(k)} = {k} then sum(r) over {over(k)} end s{k}" for k in (2, 5, 10)) + " from w) select ts_id, round(greatest(0, 1 - (" + " + ".join(f"var_samp(s{k}) / ({k} * var_samp(r))" for k in (2, 5, 10)) + ") / 3), 6) noise from v group by 1")
+@query("n14_variance_ratio_noise", f"with {_R}, v as (select *, " + ", ".join(f"case when count(r) over {over(k)} = {k} then sum(r) over {over(k)} end s{k}" for k in (2, 5, 10)) + " from w) select ts_id, round(greatest(0, 1 - (" + " + ".join(f"var_samp(s{k}) / ({k} * var_samp(r))" for k in (2, 5, 10)) + ") / 3), 9) noise from v group by 1")
 def n14(spark, d):
-    return r6(N.variance_ratio_noise(base(spark, d), "y"), "noise")
+    return rounded(N.variance_ratio_noise(base(spark, d), "y"), "noise")
 
 
-@query("n15_roll_spread", f"with {_R}, l as (select *, lag(r) over ({O}) p from w) select ts_id, round(least(1, greatest(0, -2 * corr(r, p)) / 0.1), 6) roll_spread from l group by 1")
+@query("n15_roll_spread", f"with {_R}, l as (select *, lag(r) over ({O}) p from w) select ts_id, round(least(1, greatest(0, -2 * corr(r, p)) / 0.1), 9) roll_spread from l group by 1")
 def n15(spark, d):
-    return r6(N.roll_spread(base(spark, d), "y"), "roll_spread")
+    return rounded(N.roll_spread(base(spark, d), "y"), "roll_spread")
 
 
 _FP = f"{BASE}, f as (select *, " + ", ".join(f"lead(y, {h}) over ({O}) / nullif(y, 0) - 1 f{h}" for h in (1, 5, 10, 20)) + " from x), g as (select * from f where hour(open_time) = 12 and f20 is not null), u as (" + " union all ".join(f"select ts_id, open_time, {h} horizon, f{h} ret from g" for h in (1, 5, 10, 20)) + ")"
 
 
-@query("n01_forward_panel", f"with {_FP} select ts_id, open_time, cast(horizon as int) horizon, round(ret, 6) ret from u")
+@query("n01_forward_panel", f"with {_FP} select ts_id, open_time, cast(horizon as int) horizon, round(ret, 9) ret from u")
 def n01(spark, d):
-    return r6(N.forward_panel(base(spark, d), F.hour("open_time") == 12, "y"), "ret")
+    return rounded(N.forward_panel(base(spark, d), F.hour("open_time") == 12, "y"), "ret")
 
 
-@query("n02_predictive_power", f"with {_FP} select ts_id, cast(horizon as int) horizon, cast(count(*) as bigint) n, round(avg(ret), 6) mean, round(stddev_samp(ret), 6) std, round(avg((ret > 0)::int), 6) hit_rate, round(avg(ret) / stddev_samp(ret), 6) information_ratio, round(avg(ret) / stddev_samp(ret) * sqrt(count(*)), 6) t_statistic from u group by 1, 2 having count(*) >= 20")
+@query("n02_predictive_power", f"with {_FP} select ts_id, cast(horizon as int) horizon, cast(count(*) as bigint) n, round(avg(ret), 9) mean, round(stddev_samp(ret), 9) std, round(avg((ret > 0)::int), 9) hit_rate, round(avg(ret) / stddev_samp(ret), 9) information_ratio, round(avg(ret) / stddev_samp(ret) * sqrt(count(*)), 9) t_statistic from u group by 1, 2 having count(*) >= 20")
 def n02(spark, d):
     panel = N.forward_panel(base(spark, d), F.hour("open_time") == 12, "y")
-    return r6(N.predictive_power(panel, least=20), "mean", "std", "hit_rate", "information_ratio", "t_statistic")
+    return rounded(N.predictive_power(panel, least=20), "mean", "std", "hit_rate", "information_ratio", "t_statistic")
 
 
-@query("n03_alpha_score", f"with {_R} select ts_id, round(tanh(avg(r) / stddev_samp(r)), 6) score from w group by 1")
+@query("n03_alpha_score", f"with {_R} select ts_id, round(tanh(avg(r) / stddev_samp(r)), 9) score from w group by 1")
 def n03(spark, d):
     s = S.return_stats(base(spark, d), "y")
-    return r6(s.select("ts_id", N.alpha_score(F.col("returns_mean"), F.col("returns_volatility")).alias("score")), "score")
+    return rounded(s.select("ts_id", N.alpha_score(F.col("returns_mean"), F.col("returns_volatility")).alias("score")), "score")
 
 
-@query("n04_alpha_potential", "select event_id, round(least(1, greatest(-1, 0.5 * case event_type when 'view' then 1.0 when 'click' then -1.0 else 0.5 end * tanh(2 * abs(value / 100)) / (1 + exp(-(value / 50 - 3))))), 6) potential from events")
+@query("n04_alpha_potential", "select event_id, round(least(1, greatest(-1, 0.5 * case event_type when 'view' then 1.0 when 'click' then -1.0 else 0.5 end * tanh(2 * abs(value / 100)) / (1 + exp(-(value / 50 - 3))))), 9) potential from events")
 def n04(spark, d):
     from tidegauge.sources.tables import table
 
     e = table(spark, d, "events")
     kind = F.when(F.col("event_type") == "view", "momentum").when(F.col("event_type") == "click", "mean_reversion").otherwise("other")
-    return r6(e.select("event_id", N.alpha_potential(F.lit(0.5), kind, F.col("value") / 100, F.col("value") / 50).alias("potential")), "potential")
+    return rounded(e.select("event_id", N.alpha_potential(F.lit(0.5), kind, F.col("value") / 100, F.col("value") / 50).alias("potential")), "potential")
 
 
 @query("n05_mean_reversion")
 def n05(spark, d):
-    return r6(N.mean_reversion(base(spark, d), F.hour("open_time") == 12, "y", 5), "strength")
+    return rounded(N.mean_reversion(base(spark, d), F.hour("open_time") == 12, "y", 5), "strength")
 
 
 @query("n06_momentum")
 def n06(spark, d):
-    return r6(N.momentum(base(spark, d), F.hour("open_time") == 12, "y", 5), "persistence")
+    return rounded(N.momentum(base(spark, d), F.hour("open_time") == 12, "y", 5), "persistence")
 
 
 _EV = f"{RAW}, z as (select q.ts_id, open_time, case when mad > 0 then 0.6745 * abs(r - med) / mad else 0 end score from q join s using (ts_id) where r is not null), nr as (select *, max(score) over ({O} rows between 3 preceding and 3 following) near from z)"
 
 
-@query("n13_event_validation", f"with {_EV} select a.ts_id, a.open_time, round(a.near, 6) near, round(b.near, 6) near_reference, a.near > 2 and b.near > 1.5 is_valid from nr a join nr b on b.open_time = a.open_time and b.ts_id = '{REF}' where hour(a.open_time) = 12 and a.ts_id <> '{REF}'")
+@query("n13_event_validation", f"with {_EV} select a.ts_id, a.open_time, round(a.near, 9) near, round(b.near, 9) near_reference, a.near > 2 and b.near > 1.5 is_valid from nr a join nr b on b.open_time = a.open_time and b.ts_id = '{REF}' where hour(a.open_time) = 12 and a.ts_id <> '{REF}'")
 def n13(spark, d):
-    return r6(N.event_validation(base(spark, d), F.hour("open_time") == 12, "y", REF), "near", "near_reference")
+    return rounded(N.event_validation(base(spark, d), F.hour("open_time") == 12, "y", REF), "near", "near_reference")
 
 
 @query("n17_regime", f"with {BASE}, t as (select *, row_number() over ({O}) - 1 i, lag(y) over ({O}) p from x), s as (select ts_id, stddev_samp(y) / abs(avg(y)) v, least(1, greatest(0, least(1, 100 * abs(regr_slope(y, i)) / (abs(avg(y)) + 1e-10)) * regr_r2(y, i))) tr, corr(y, p) a from t group by 1), w as (select *, 0.7 * a + 0.3 * tr pe from s) select ts_id, case when v > 0.5 and tr > 0.4 then 'volatile_trending' when v > 0.5 then 'volatile' when tr > 0.4 and pe > 0.55 then 'trending' when pe < 0.45 then case when v < 0.15 then 'quiet' else 'mean_reverting' end else 'normal' end regime from w")

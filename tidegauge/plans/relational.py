@@ -21,22 +21,22 @@ m as (select c.ts_id, cast(date_trunc('month', open_time) as timestamp) as month
       from candles_ord c join ends using (ts_id) group by 1, 2)"""
 
 
-def r6(df, *columns):
+def rounded(df, *columns):
     """Round so that both engines' last bits don't matter."""
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+    return df.withColumns({c: F.round(c, 9) for c in columns})
 
 
 # --- scans -----------------------------------------------------------------------------------------------------------
 
 
-@query("a02_full_scan", f"with {EVT} select ts_id, open_time, round(open, 6) open, round(close, 6) \"close\" from candles_evt")
+@query("a02_full_scan", f"with {EVT} select ts_id, open_time, round(open, 9) open, round(close, 9) \"close\" from candles_evt")
 def a02(spark, d):
-    return r6(S.full_scan(T.candles_evt(spark, d)).select("ts_id", "open_time", "open", "close"), "open", "close")
+    return rounded(S.full_scan(T.candles_evt(spark, d)).select("ts_id", "open_time", "open", "close"), "open", "close")
 
 
-@query("a03_time_range", f"with {EVT} select ts_id, open_time, round(open, 6) open from candles_evt where open_time >= timestamp '2024-01-05' and open_time < timestamp '2024-01-08'")
+@query("a03_time_range", f"with {EVT} select ts_id, open_time, round(open, 9) open from candles_evt where open_time >= timestamp '2024-01-05' and open_time < timestamp '2024-01-08'")
 def a03(spark, d):
-    return r6(S.time_range(T.candles_evt(spark, d), datetime(2024, 1, 5), datetime(2024, 1, 8)).select("ts_id", "open_time", "open"), "open")
+    return rounded(S.time_range(T.candles_evt(spark, d), datetime(2024, 1, 5), datetime(2024, 1, 8)).select("ts_id", "open_time", "open"), "open")
 
 
 @query("a04_catalogue", f"with {EVT} select ts_id, split_part(ts_id, '_', 1) instrument_type, split_part(ts_id, '_', 2) currency, split_part(ts_id, '_', 3) interval_code, true is_active from (select distinct ts_id from candles_evt)")
@@ -53,19 +53,19 @@ def a06(spark, d):
     "a13_replace_range",
     f"""with {EVT}, new as (select ts_id, open_time, -1.0::double open from candles_evt where open_time between timestamp '2024-01-10' and timestamp '2024-01-12' and hour(open_time) % 2 = 0),
     s as (select ts_id, min(open_time) a, max(open_time) b from new group by 1)
-    select c.ts_id, c.open_time, round(c.open, 6) open from candles_evt c left join s using (ts_id) where a is null or open_time not between a and b
+    select c.ts_id, c.open_time, round(c.open, 9) open from candles_evt c left join s using (ts_id) where a is null or open_time not between a and b
     union all select ts_id, open_time, open from new""",
 )
 def a13(spark, d):
     c = T.candles_evt(spark, d).select("ts_id", "open_time", "open")
     span = F.col("open_time").between(F.lit(datetime(2024, 1, 10)).cast("timestamp_ntz"), F.lit(datetime(2024, 1, 12)).cast("timestamp_ntz"))
     new = c.where(span & (F.hour("open_time") % 2 == 0)).withColumn("open", F.lit(-1.0))
-    return r6(C.replace_range(c, new), "open")
+    return rounded(C.replace_range(c, new), "open")
 
 
-@query("a22_train_scan", f"with {EVT} select ts_id, open_time, round(open, 6) open from candles_evt where ts_id = 'crypto_view_1h'")
+@query("a22_train_scan", f"with {EVT} select ts_id, open_time, round(open, 9) open from candles_evt where ts_id = 'crypto_view_1h'")
 def a22(spark, d):
-    return r6(S.one_series(T.candles_evt(spark, d), "view", "1h").select("ts_id", "open_time", "open"), "open")
+    return rounded(S.one_series(T.candles_evt(spark, d), "view", "1h").select("ts_id", "open_time", "open"), "open")
 
 
 # --- casts -----------------------------------------------------------------------------------------------------------
@@ -224,7 +224,7 @@ def c13m(spark, d):
 
 
 def _line(c):
-    return f"""round(v0_{c} + (coalesce(v1_{c}, v0_{c}) - v0_{c}) * coalesce(date_diff('second', t0, open_time) / nullif(date_diff('second', t0, t1), 0)::double, 0), 6) "{c}\""""
+    return f"""round(v0_{c} + (coalesce(v1_{c}, v0_{c}) - v0_{c}) * coalesce(date_diff('second', t0, open_time) / nullif(date_diff('second', t0, t1), 0)::double, 0), 9) "{c}\""""
 
 
 _AROUND = ", ".join(f'last_value("{c}" ignore nulls) over b v0_{c}, first_value("{c}" ignore nulls) over a v1_{c}' for c in C.NUMERIC)
@@ -241,7 +241,7 @@ _AROUND = ", ".join(f'last_value("{c}" ignore nulls) over b v0_{c}, first_value(
       cast(open_time + interval 3599 second as timestamp) close_time, 'interpolated' source from w where missing""",
 )
 def c14(spark, d):
-    return r6(C.gap_fill(T.candles_evt(spark, d), "1h"), *C.NUMERIC)
+    return rounded(C.gap_fill(T.candles_evt(spark, d), "1h"), *C.NUMERIC)
 
 
 @query("c15_freshness", f"with {EVT} select ts_id, max(open_time) max_time, max(open_time) = timestamp '2024-01-30 23:00:00' is_fresh from candles_evt group by 1")
@@ -266,9 +266,9 @@ def c19(spark, d):
     return C.next_start(c.where("ts_id <> 'crypto_view_1h'"), c.select("ts_id").distinct())
 
 
-@query("c20_dashboard_sum", f"with {EVT} select open_time, round(sum(open), 6) total from candles_evt group by 1")
+@query("c20_dashboard_sum", f"with {EVT} select open_time, round(sum(open), 9) total from candles_evt group by 1")
 def c20(spark, d):
-    return r6(T.candles_evt(spark, d).groupBy("open_time").agg(F.sum("open").alias("total")), "total").orderBy("open_time")
+    return rounded(T.candles_evt(spark, d).groupBy("open_time").agg(F.sum("open").alias("total")), "total").orderBy("open_time")
 
 
 _HOLES = f"{EVT}, h as (select ts_id, open_time, case when hour(open_time) % 5 = 0 then null else open end x, row_number() over (partition by ts_id order by open_time) i from candles_evt)"
@@ -283,35 +283,35 @@ def _holes(spark, d):
     f"""with {_HOLES}, w as (select *, last_value(x ignore nulls) over b v0, first_value(x ignore nulls) over a v1, last_value(case when x is not null then i end ignore nulls) over b i0,
       first_value(case when x is not null then i end ignore nulls) over a i1 from h
       window b as (partition by ts_id order by open_time rows between unbounded preceding and current row), a as (partition by ts_id order by open_time rows between current row and unbounded following))
-    select ts_id, open_time, round(case when x is not null then x else coalesce(v0 + (v1 - v0) * (i - i0) / (i1 - i0), v0, v1) end, 6) x from w""",
+    select ts_id, open_time, round(case when x is not null then x else coalesce(v0 + (v1 - v0) * (i - i0) / (i1 - i0), v0, v1) end, 9) x from w""",
 )
 def c21(spark, d):
-    return r6(C.interpolate_rows(_holes(spark, d), "x"), "x")
+    return rounded(C.interpolate_rows(_holes(spark, d), "x"), "x")
 
 
-@query("c22_forward_fill", f"with {_HOLES} select ts_id, open_time, round(last_value(x ignore nulls) over (partition by ts_id order by open_time rows between 5 preceding and current row), 6) x from h")
+@query("c22_forward_fill", f"with {_HOLES} select ts_id, open_time, round(last_value(x ignore nulls) over (partition by ts_id order by open_time rows between 5 preceding and current row), 9) x from h")
 def c22(spark, d):
-    return r6(C.forward_fill(_holes(spark, d), "x", 5), "x")
+    return rounded(C.forward_fill(_holes(spark, d), "x", 5), "x")
 
 
 # --- joins -----------------------------------------------------------------------------------------------------------
 
 
-@query("d01_full_outer", f"with {_GRID} select g.ts_id, cast(g.open_time as timestamp) open_time, round(open, 6) open from grid g left join candles_evt c on c.ts_id = g.ts_id and c.open_time = g.open_time")
+@query("d01_full_outer", f"with {_GRID} select g.ts_id, cast(g.open_time as timestamp) open_time, round(open, 9) open from grid g left join candles_evt c on c.ts_id = g.ts_id and c.open_time = g.open_time")
 def d01(spark, d):
     c = T.candles_evt(spark, d)
-    return r6(C.grid(c, "1h").join(c.select("ts_id", "open_time", "open"), ["ts_id", "open_time"], "full"), "open")
+    return rounded(C.grid(c, "1h").join(c.select("ts_id", "open_time", "open"), ["ts_id", "open_time"], "full"), "open")
 
 
-@query("d04_two_keys", "select o_orderkey, l_linenumber, round(l_quantity, 6) q from orders join lineitem on l_orderkey = o_orderkey and l_shipdate = o_orderdate")
+@query("d04_two_keys", "select o_orderkey, l_linenumber, round(l_quantity, 9) q from orders join lineitem on l_orderkey = o_orderkey and l_shipdate = o_orderdate")
 def d04(spark, d):
     o, li = T.table(spark, d, "orders"), T.table(spark, d, "lineitem")
-    return r6(o.join(li, (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("l_shipdate") == F.col("o_orderdate"))).select("o_orderkey", "l_linenumber", F.col("l_quantity").alias("q")), "q")
+    return rounded(o.join(li, (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("l_shipdate") == F.col("o_orderdate"))).select("o_orderkey", "l_linenumber", F.col("l_quantity").alias("q")), "q")
 
 
-@query("d06_align_series", f"with {EVT} select c.ts_id, c.open_time, round(c.close, 6) target, round(r.close, 6) reference from candles_evt c join candles_evt r on r.open_time = c.open_time and r.ts_id = 'crypto_view_1h' where c.ts_id <> 'crypto_view_1h'")
+@query("d06_align_series", f"with {EVT} select c.ts_id, c.open_time, round(c.close, 9) target, round(r.close, 9) reference from candles_evt c join candles_evt r on r.open_time = c.open_time and r.ts_id = 'crypto_view_1h' where c.ts_id <> 'crypto_view_1h'")
 def d06(spark, d):
-    return r6(J.align(T.candles_evt(spark, d), "crypto_view_1h", "close"), "target", "reference")
+    return rounded(J.align(T.candles_evt(spark, d), "crypto_view_1h", "close"), "target", "reference")
 
 
 @query("d07_common_times", f"with {EVT} select open_time from candles_evt where ts_id = 'crypto_view_1h' intersect select open_time from candles_evt where ts_id = 'crypto_click_1h'")
@@ -323,16 +323,16 @@ def d07(spark, d):
 _NUMBERED = f"{EVT}, n as (select ts_id, open_time, close, row_number() over (partition by ts_id order by open_time) i from candles_evt), ev as (select ts_id, open_time event_time, i ei from n where hour(open_time) = 12)"
 
 
-@query("d08_row_window", f"with {_NUMBERED} select ev.ts_id, event_time, cast(i - ei as int) \"offset\", round(close, 6) value from ev join n on n.ts_id = ev.ts_id and n.i between ei - 3 and ei + 3")
+@query("d08_row_window", f"with {_NUMBERED} select ev.ts_id, event_time, cast(i - ei as int) \"offset\", round(close, 9) value from ev join n on n.ts_id = ev.ts_id and n.i between ei - 3 and ei + 3")
 def d08(spark, d):
     c = T.candles_evt(spark, d)
-    return r6(J.row_window(c, F.hour("open_time") == 12, "close", 3), "value")
+    return rounded(J.row_window(c, F.hour("open_time") == 12, "close", 3), "value")
 
 
-@query("d09_exact_lookup", f"with {EVT} select event_id, round(c.close, 6) price from events e join candles_evt c on c.ts_id = 'crypto_'||e.event_type||'_1h' and c.open_time = date_trunc('hour', e.ts)")
+@query("d09_exact_lookup", f"with {EVT} select event_id, round(c.close, 9) price from events e join candles_evt c on c.ts_id = 'crypto_'||e.event_type||'_1h' and c.open_time = date_trunc('hour', e.ts)")
 def d09(spark, d):
     e = _twice(spark, d).select("ts_id", "open_time", "event_id")
-    return r6(e.join(T.candles_evt(spark, d), ["ts_id", "open_time"]).select("event_id", F.col("close").alias("price")), "price")
+    return rounded(e.join(T.candles_evt(spark, d), ["ts_id", "open_time"]).select("event_id", F.col("close").alias("price")), "price")
 
 
 @query("d12_correlated_minimum", f"with {ORD}, {ENDS.format(t='candles_ord')} select ts_id, cast(count(*) as bigint) n from candles_ord join ends using (ts_id) where open_time >= lo + interval 1 month group by 1")
@@ -343,11 +343,11 @@ def d12(spark, d):
     return late.groupBy("ts_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("dx_asof", f"with {EVT} select e.event_id, round(c.close, 6) value from (select * from events where event_type = 'error') e asof left join (select * from candles_evt where ts_id = 'crypto_view_1h') c on e.ts >= c.open_time")
+@query("dx_asof", f"with {EVT} select e.event_id, round(c.close, 9) value from (select * from events where event_type = 'error') e asof left join (select * from candles_evt where ts_id = 'crypto_view_1h') c on e.ts >= c.open_time")
 def dx_asof(spark, d):
     e = T.table(spark, d, "events").where("event_type = 'error'").select("event_id", F.col("ts").alias("open_time"), F.lit("crypto_view_1h").alias("ts_id"))
     c = T.candles_evt(spark, d).where("ts_id = 'crypto_view_1h'").select("ts_id", "open_time", F.col("close").alias("value"))
-    return r6(J.as_of(e, c, "value").select("event_id", "value"), "value")
+    return rounded(J.as_of(e, c, "value").select("event_id", "value"), "value")
 
 
 @query("dx_range_join", f"with {EVT}, s as (select event_id, ts a, ts + interval 5 hour b from events where event_type = 'signup') select event_id, cast(count(*) as bigint) n from s join candles_evt c on c.ts_id = 'crypto_view_1h' and c.open_time between a and b group by 1")
@@ -365,13 +365,13 @@ def g04(spark, d):
     return T.candles_evt(spark, d).groupBy("ts_id").agg(F.max_by("open_time", F.struct("volume", "open_time")).alias("open_time"))
 
 
-@query("g05_top_k_deviant", f"with {EVT}, x as (select ts_id, open_time, abs(close - avg(close) over (partition by ts_id)) dev from candles_evt) select ts_id, open_time, round(dev, 6) dev from x qualify row_number() over (partition by ts_id order by dev desc, open_time) <= 10")
+@query("g05_top_k_deviant", f"with {EVT}, x as (select ts_id, open_time, abs(close - avg(close) over (partition by ts_id)) dev from candles_evt) select ts_id, open_time, round(dev, 9) dev from x qualify row_number() over (partition by ts_id order by dev desc, open_time) <= 10")
 def g05(spark, d):
     c = T.candles_evt(spark, d)
     mean = c.groupBy("ts_id").agg(F.avg("close").alias("mu"))
     c = c.join(mean, "ts_id").select("ts_id", "open_time", F.abs(F.col("close") - F.col("mu")).alias("dev"))
     w = Window.partitionBy("ts_id").orderBy(F.desc("dev"), "open_time")
-    return r6(c.withColumn("rn", F.row_number().over(w)).where("rn <= 10").drop("rn"), "dev")
+    return rounded(c.withColumn("rn", F.row_number().over(w)).where("rn <= 10").drop("rn"), "dev")
 
 
 @query("g07_distinct", "select distinct event_type from events")

@@ -8,7 +8,7 @@ from tidegauge.operators import analysis as A
 from tidegauge.operators import calendar as C
 from tidegauge.plans.features import base
 from tidegauge.plans.registry import query
-from tidegauge.plans.relational import EVT, r6
+from tidegauge.plans.relational import EVT, rounded
 from tidegauge.sources import tables as T
 from tidegauge.streaming import candles as X
 
@@ -49,15 +49,15 @@ def l15(spark, d):
     return A.replace_outliers(base(spark, d), "y", "lof")
 
 
-@query("q02_tumbling_candles", f"with {EVT} select ts_id, open_time, round(open, 6) open, round(high, 6) high, round(low, 6) low, round(\"close\", 6) \"close\", round(volume, 6) volume, number_of_trades from candles_evt")
+@query("q02_tumbling_candles", f"with {EVT} select ts_id, open_time, round(open, 9) open, round(high, 9) high, round(low, 9) low, round(\"close\", 9) \"close\", round(volume, 9) volume, number_of_trades from candles_evt")
 def q02(spark, d):
     c = X.tumbling_candles(X.ticks(T.table(spark, d, "events"), None))
-    return r6(c, "open", "high", "low", "close", "volume")
+    return rounded(c, "open", "high", "low", "close", "volume")
 
 
-@query("q03_sliding_volume", "with s as (select 'crypto_'||event_type||'_1h' ts_id, date_trunc('hour', ts) - to_hours(cast(k as int)) \"start\", abs(value) v from events, range(24) r(k)) select ts_id, cast(\"start\" as timestamp) \"start\", round(sum(v), 6) volume from s group by 1, 2")
+@query("q03_sliding_volume", "with s as (select 'crypto_'||event_type||'_1h' ts_id, date_trunc('hour', ts) - to_hours(cast(k as int)) \"start\", abs(value) v from events, range(24) r(k)) select ts_id, cast(\"start\" as timestamp) \"start\", round(sum(v), 9) volume from s group by 1, 2")
 def q03(spark, d):
-    return r6(X.sliding_volume(X.ticks(T.table(spark, d, "events"), None)), "volume")
+    return rounded(X.sliding_volume(X.ticks(T.table(spark, d, "events"), None)), "volume")
 
 
 @query("q03_sessions", "with e as (select 'crypto_'||event_type||'_1h' ts_id, ts, coalesce(ts >= lag(ts) over (partition by event_type order by ts) + interval 2 hour, true)::int new from events), s as (select *, sum(new) over (partition by ts_id order by ts rows unbounded preceding) g from e) select ts_id, min(ts) \"start\", cast(max(ts) + interval 2 hour as timestamp) stop, cast(count(*) as bigint) n from s group by ts_id, g")
