@@ -173,3 +173,16 @@ def component_shares(df: DataFrame) -> DataFrame:
         "ts_id", *[v.alias(f"{x}_share") for x, v in share.items()], strength("v_residual", "v_sr").alias("seasonal_strength"), strength("v_residual", "v_ds").alias("trend_strength"),
         error.alias("reconstruction_error"), quality.alias("quality"),
     )
+
+
+def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
+    """Correlation of average ranks."""
+    rank = lambda c: F.rank().over(Window.partitionBy("ts_id").orderBy(c)) + (F.count(F.lit(1)).over(Window.partitionBy("ts_id", c)) - 1) / 2
+    return df.select("ts_id", rank(x).alias("_a"), rank(y).alias("_b")).groupBy("ts_id").agg(F.corr("_a", "_b").alias("rho"))
+
+
+def detrend(df: DataFrame, c: str) -> DataFrame:
+    """What a line by row number leaves."""
+    df = df.withColumn("_i", (F.row_number().over(by_time()) - 1).cast("double"))
+    line = df.groupBy("ts_id").agg(F.regr_slope(F.col(c), F.col("_i")).alias("_b"), F.regr_intercept(F.col(c), F.col("_i")).alias("_a"))
+    return df.join(line, "ts_id").withColumn("detrended", F.col(c) - F.col("_a") - F.col("_b") * F.col("_i")).drop("_i", "_a", "_b")

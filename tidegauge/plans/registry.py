@@ -26,7 +26,7 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from tidegauge.plans import features, finance, relational, series, statistics  # noqa: F401
+    from tidegauge.plans import features, finance, relational, series, stages, statistics  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
