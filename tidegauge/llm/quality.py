@@ -33,6 +33,7 @@ GOOD, BAD, NONE = 1, 0, 2
 _LETTERS, _UPPER = re.compile(r"[^\W\d_]+"), re.compile(r"[A-ZÀ-ÖØ-Þ]+")
 _PLAIN = re.compile(r"[^\W_]+")
 _ODD = re.compile(r"[^\w\s.,;:!?'\"()\-|]+")
+_END = re.compile(r"[.!?](?!\S)")
 _RUN = re.compile(r"(.)\1+", re.S)
 _LOWERS, _UPPERS, _DIGITS = re.compile(r"[a-zß-öø-ÿ]+"), re.compile(r"[A-ZÀ-ÖØ-Þ]+"), re.compile(r"\d+")
 
@@ -55,7 +56,7 @@ def votes(text: str | None) -> tuple[int, ...]:
     if not n:
         return (BAD, *[NONE] * 10)
     letters = _chars(_LETTERS, text) or 1
-    ends = sum(1 for w in words if w[-1] in ".!?")
+    ends = len(_END.findall(text))
     lines = [x for x in text.split("\n") if x.strip()]
     return (
         _vote(n, lambda x: x >= 30, lambda x: x < 3),
@@ -81,7 +82,8 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     shape = _DIGITS.sub("0", _UPPERS.sub("A", _LOWERS.sub("a", text or "")))
     shapes = [w[:8] for w in _RUN.sub(r"\1\1", shape).split()]
     count = Counter(shapes)
-    count.update(map("{}\x00{}{}".format, shapes, shapes[1:], map(eq, words, words[1:])))
+    pairs = Counter(zip(shapes, shapes[1:], map(eq, words, words[1:]), strict=False))
+    count.update({f"{a}\x00{b}{same}": n for (a, b, same), n in pairs.items()})
     if not count:
         return np.zeros(0, np.int64), np.zeros(0)
     at = np.array([zlib.crc32(s.encode()) & ((1 << BITS) - 1) for s in count], np.int64)
