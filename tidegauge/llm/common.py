@@ -20,6 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(wanted: str, df: DataFrame) -> str:
+    """A column name like ``wanted`` that ``df`` doesn't have, whatever the case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Lower the session's Arrow batch size to ``ARROW_ROWS`` if it is larger."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import Saved
+from tidegauge.llm.common import Saved, unused
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -72,10 +72,11 @@ def plan(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = C
     return sums.select("source", "source_size", "target", "floor", "fraction", F.least(*off)["seed"].alias("seed"))
 
 
-def copies(doc_id: str = "doc_id") -> Column:
-    """How often a row joined with its source's plan is emitted."""
-    draw = F.element_at(F.array(*_draws(doc_id)), (F.col("seed") + 1).cast("int"))
-    return (F.col("floor") + F.when(draw < F.col("fraction"), 1).otherwise(0)).cast("long")
+def copies(doc_id: str = "d.doc_id", plan_: str = "p") -> Column:
+    """How often a row ``d`` joined with its source's plan ``p`` is emitted."""
+    floor, fraction, seed = (F.col(f"{plan_}.{c}") for c in ("floor", "fraction", "seed"))
+    draw = F.element_at(F.array(*_draws(doc_id)), (seed + 1).cast("int"))
+    return (floor + F.when(draw < fraction, 1).otherwise(0)).cast("long")
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -94,11 +95,11 @@ def decide(docs: DataFrame, **options) -> DataFrame:
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixture itself: the rows of ``docs``, each as often as its source's plan says."""
     p = Saved(plan(Saved(measured(docs), "sizes").df, **options), "plan").df
-    p = p.select(F.col("source").alias("_source"), "floor", "fraction", "seed")
-    fields = [F.col(f"d.{c}") for c in docs.columns]
-    joined = docs.alias("d").join(p.alias("p"), F.col("d.source").eqNullSafe(F.col("_source")))
-    joined = joined.withColumn("_n", copies("d.doc_id").cast("int")).where("_n > 0")
-    return joined.select(*fields, F.explode(F.array_repeat(F.lit(0), F.col("_n"))).alias("_copy")).select(*docs.columns)
+    n, one = unused("_copies", docs), unused("_copy", docs)
+    fields = [F.col(f"d.`{c}`") for c in docs.columns]
+    joined = docs.alias("d").join(p.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")))
+    joined = joined.select(*fields, copies().cast("int").alias(n)).where(F.col(n) > 0)
+    return joined.select("*", F.explode(F.array_repeat(F.lit(0), F.col(n))).alias(one)).drop(n, one)
 
 
 ORACLE = """with sizes as (

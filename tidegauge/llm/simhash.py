@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import Saved, bounded_batches, connected_components
+from tidegauge.llm.common import Saved, bounded_batches, connected_components, unused
 
 BITS = 64
 BLOCK = 256
@@ -156,17 +156,19 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFra
     return each.join(classes, "fp").select("doc_id", "fp", "component_id", "root")
 
 
-def _tagged(batches, text: int, width: int):
+def _tagged(batches, text: int, width: int, name: str):
     for b in batches:
         got = np.fromiter((fingerprint((x.as_py() or "").encode(), width) for x in b.column(text)), np.uint64, b.num_rows).view(np.int64)
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got)], names=[*b.schema.names, "_fp"])
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got)], names=[*b.schema.names, name])
 
 
 def keep_one(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFrame:
     """One row of each near-duplicate group, all columns: of its least id, then of its least fingerprint."""
     found = near_duplicates(docs, radius, width)
-    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.fp").alias("_kept"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "_fp long"])
-    rows = docs.mapInArrow(partial(_tagged, text=docs.columns.index("text"), width=width), schema)
-    kept = rows.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_fp") == F.col("_kept")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_fp"]).drop("_fp")
+    fp = unused("_fp", docs)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("k")).select(F.col("k.doc_id").alias("id"), F.col("k.fp").alias("fp"))
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"{fp} long"])
+    rows = docs.mapInArrow(partial(_tagged, text=docs.columns.index("text"), width=width, name=fp), schema)
+    d, k = rows.alias("d"), first.alias("k")
+    kept = d.join(k, F.col("d.doc_id").eqNullSafe(F.col("k.id")) & (F.col(f"d.{fp}") == F.col("k.fp")), "left_semi")
+    return kept.dropDuplicates(["doc_id", fp]).drop(fp)
