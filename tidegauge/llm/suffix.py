@@ -45,6 +45,7 @@ SPAN = LENGTH - K + 1
 CHUNK_BYTES = 1 << 21
 BUCKET_BYTES = 1 << 24
 PARTITION_BYTES = 1 << 25
+CHUNKS_A_TASK = 8
 HOT = 2048
 RECORD = LENGTH + SPAN - 1 + 3
 NO_DOC = np.iinfo(np.int64).max
@@ -424,10 +425,12 @@ def deduplicate(docs: DataFrame, full: bool = False, hot: int = HOT) -> DataFram
     if buckets >= 1 << 20:
         raise ValueError("raise BUCKET_BYTES for an input of this size")
     base = new_path(spark, f"chunks-{uuid.uuid4().hex}")
-    sent = texts.mapInArrow(partial(_pack, base=base, buckets=buckets), "uri string, bucket long, data binary")
+    tasks = max(8, -(-total // (CHUNKS_A_TASK * CHUNK_BYTES)))  # by the text behind the rows: the rows themselves are small
+    sent = texts.mapInArrow(partial(_pack, base=base, buckets=buckets), "uri string, bucket long, data binary").repartition(buckets, "bucket")
     kinds = Saved(sent.groupBy("bucket").applyInArrow(_table(_shared, hot=hot), "uri string, bucket long, data binary"), "kinds").df
-    runs = kinds.groupBy("uri").applyInArrow(_keyed(_send, buckets=buckets, parts=parts), "part long, uri string, run binary")
-    answers = Saved(runs.groupBy("part").applyInArrow(_table(_merge), "part long, uri string, run binary"), "answers").df
+    kinds = kinds.repartition(tasks, "uri")
+    runs = kinds.groupBy("uri").applyInArrow(_keyed(_send, buckets=buckets, parts=parts), "part long, uri string, run binary").repartition(parts, "part")
+    answers = Saved(runs.groupBy("part").applyInArrow(_table(_merge), "part long, uri string, run binary"), "answers").df.repartition(tasks, "uri")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if full else "")
     return kinds.groupBy("uri").cogroup(answers.groupBy("uri")).applyInArrow(_keyed_pair(_finish, buckets=buckets, parts=parts, full=full), schema)
 
