@@ -54,7 +54,7 @@ def test_periods():
     assert A.detect(np.ones(100))["status"] == "not_detected"
 
 
-@pytest.mark.parametrize("method", ["stl", "robust_stl", "mstl", "fourier", "ssa", "additive_regression"])
+@pytest.mark.parametrize("method", ["stl", "robust_stl", "mstl", "fourier", "ssa", "additive_regression", "smoothed"])
 def test_decompositions_add_up_and_find_the_season(method):
     y = SINE + 0.01 * T
     t, s, r = A.run_method(y, method, 24)
@@ -133,3 +133,9 @@ def test_normal_quantile_and_quantile_scaler(spark):
     ps = [1e-7, 0.001, 0.02, 0.3, 0.5, 0.77, 0.98, 0.9999]
     got = spark.createDataFrame([(p,) for p in ps], "p double").select(W.normal_quantile(F.col("p")).alias("z")).collect()
     assert np.allclose([r.z for r in got], [NormalDist().inv_cdf(p) for p in ps], rtol=1e-8, atol=1e-8)
+
+
+def test_shape_legacy_and_smoothing():
+    assert K.qq_correlation(WHITE) > 0.99 and K.qq_correlation(np.exp(2 * WHITE)) < 0.8
+    assert K.is_multimodal(np.r_[WHITE, WHITE + 12]) and K.legacy_period(SINE) <= 24
+    assert K.smoothing_search(10 + WALK)[0] > 0.8 > 0.3 > K.smoothing_search(10 + WHITE)[0]

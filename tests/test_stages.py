@@ -73,3 +73,31 @@ def test_retry():
     assert f() == "ok" and waits == [0.5, 1.0]
     with pytest.raises(OSError):
         snapshots.retry(times=2, wait=waits.append)(lambda: (_ for _ in ()).throw(OSError()))()
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from tidegauge.plans import cli
+
+    (tmp_path / "c.json").write_text('[{"kind": "add", "table": "raw", "column": "x", "before": null, "after": "int"}]')
+    at = str(tmp_path / "reg")
+    cli.main(["migrate", at, str(tmp_path / "c.json"), "--dry-run"])
+    cli.main(["migrate", at, str(tmp_path / "c.json")])
+    cli.main(["status", at])
+    assert "version 1" in capsys.readouterr().out
+    cli.main(["rollback", at])
+    cli.main(["list"])
+    out = capsys.readouterr().out
+    assert "drop raw.x int -> None" in out and "c05_lacks" in out
+
+
+def test_adjusted_p_values(spark):
+    from tidegauge.operators import finance as N
+
+    rows = [("a", h, 50, t) for h, t in ((1, 3.0), (5, 2.1), (10, 0.4), (20, -2.4))]
+    got = {r.horizon: r for r in N.with_p_values(spark.createDataFrame(rows, "ts_id string, horizon int, n long, t_statistic double")).collect()}
+    p = sorted((got[h].p_value, h) for h in got)
+    want, least = {}, 1.0
+    for rank in range(len(p), 0, -1):
+        least = min(least, p[rank - 1][0] * len(p) / rank)
+        want[p[rank - 1][1]] = least
+    assert {h: r.p_adjusted for h, r in got.items()} == pytest.approx(want) and got[1].p_value == pytest.approx(0.00425, abs=2e-4)

@@ -571,3 +571,57 @@ def canonical(x: np.ndarray) -> dict[str, float]:
         "c22_centroid_freq": float(f[np.searchsorted(np.cumsum(p), p.sum() / 2)] * 2 * math.pi), "c22_low_freq_power": float(p[: max(1, len(p) // 5)].sum() / max(p.sum(), 1e-300)),
         "c22_embedding_dist": float(dist.std(ddof=1) / max(dist.mean(), 1e-12)) if len(dist) > 1 else 0.0, "c22_transition_variance": float(np.trace(np.cov(m.T))), "c22_dfa": float(slope),
     }
+
+
+# --- shape of the distribution, legacy period rules, smoothing -------------------------------------------------------
+
+
+def qq_correlation(x: np.ndarray) -> float:
+    """Correlation with the normal quantiles of the median ranks."""
+    from statistics import NormalDist
+
+    n = len(x)
+    m = (np.arange(1, n + 1) - 0.3175) / (n + 0.365)
+    m[-1] = 0.5 ** (1 / n)
+    m[0] = 1 - m[-1]
+    return float(np.corrcoef(np.sort(x), [NormalDist().inv_cdf(v) for v in m])[0, 1])
+
+
+def is_multimodal(x: np.ndarray) -> bool:
+    """More than one prominent peak in the histogram."""
+    h, _ = np.histogram(x, bins="auto")
+    return len(find_peaks(np.r_[0, h, 0].astype(float), prominence=0.1 * h.max())[0]) > 1
+
+
+def legacy_period(x: np.ndarray) -> int:
+    """The lesser of the first lag with autocorrelation over 0.3 and the strongest frequency's period, two at least."""
+    a = acf(x, min(len(x) - 1, 365), adjusted=False)
+    over = np.flatnonzero(a[1:] > 0.3)
+    p = np.abs(np.fft.rfft(x - x.mean())) ** 2
+    k = int(np.argmax(p[1:])) + 1
+    return max(2, min(int(over[0]) + 1 if len(over) else len(x), round(len(x) / k)))
+
+
+def smoothing_search(x: np.ndarray, grid=tuple(i / 20 for i in range(1, 20))) -> tuple[float, float]:
+    """The exponential-smoothing weight with the least sMAPE of one-step forecasts, and that sMAPE."""
+    best = (float("inf"), 0.0)
+    for a in grid:
+        level, total = x[0], 0.0
+        for v in x[1:]:
+            both = abs(v) + abs(level)
+            total += 2 * abs(v - level) / both if both else 0.0
+            level += a * (v - level)
+        best = min(best, (100 * total / (len(x) - 1), a))
+    return best[1], best[0]
+
+
+def smoothed_trend(y: np.ndarray, period: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Trend by a uniform filter of one period, season by place in the period: what stands in for heavier models."""
+    w = max(3, min(period, len(y) // 2))
+    pad = np.pad(y, (w // 2, w - 1 - w // 2), mode="edge")
+    t = _moving(pad, w)
+    d = y - t
+    k = np.arange(len(y)) % max(period, 1)
+    s = np.array([d[k == i].mean() for i in range(max(period, 1))])[k] if period > 1 else np.zeros(len(y))
+    s = s - s.mean()
+    return t, s, y - t - s

@@ -111,6 +111,8 @@ def run_method(x: np.ndarray, method: str, period: int) -> tuple[np.ndarray, np.
         return K.fourier(x, period)[:3]
     if method == "ssa":
         return K.ssa(x, period)
+    if method == "smoothed":
+        return K.smoothed_trend(x, period)
     if method == "additive_regression":
         return K.ridge_seasonal(x, [float(period)], [max(1, min(10, period // 2))])
     raise ValueError(f"no method {method!r}")
@@ -157,3 +159,6 @@ register_kernel("periodicity", lambda x: (d := detect(x)) | {"detection": d["sta
 register_kernel("whiteness", lambda x: {"ljung_box_p": K.ljung_box(x)}, "ljung_box_p double")
 register_kernel("boxcox", lambda x: dict(zip(("lam", "shift"), K.boxcox_fit(x), strict=True)), "lam double, shift double")
 register_kernel("canonical", lambda x: {"features": K.canonical(x)}, "features map<string,double>")
+register_kernel("shape", lambda x: {"qq_correlation": K.qq_correlation(x), "is_multimodal": K.is_multimodal(x)}, "qq_correlation double, is_multimodal boolean")
+register_kernel("legacy_period", lambda x: {"period": K.legacy_period(x)}, "period int")
+register_kernel("smoothing_search", lambda x: dict(zip(("alpha", "smape"), K.smoothing_search(x), strict=True)), "alpha double, smape double")

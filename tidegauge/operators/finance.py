@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.kernels.series import t_two_sided
 from tidegauge.operators.calendar import forward_fill
 from tidegauge.operators.joins import align, row_window
 from tidegauge.operators.stats import clip, mad
@@ -158,3 +160,54 @@ def regime(volatility, trend, acf1, asset: str = "crypto"):
         .when(persistence < PERSISTENCE_LIMITS[0], F.when(volatility < lo, "quiet").otherwise("mean_reverting"))
         .otherwise("normal")
     )
+
+
+def cross_asset(df: DataFrame, reference: str, c: str) -> DataFrame:
+    """Beta, lead and lag, contagion and isolation of every series against the reference: one row each."""
+    p = aligned_returns(df, reference, c)
+    out = market_beta(p)
+    for other in (lead_lag(p), contagion(p), isolation(p)):
+        out = out.join(other, "ts_id", "left")
+    return out
+
+
+def validation_summary(panel: DataFrame) -> DataFrame:
+    """Of each series' forward returns: how many, share above zero, mean, worst and best."""
+    return panel.groupBy("ts_id").agg(
+        F.count(F.lit(1)).alias("n"), F.avg((F.col("ret") > 0).cast("int")).alias("success_rate"), F.avg("ret").alias("mean"), F.min("ret").alias("worst"), F.max("ret").alias("best")
+    )
+
+
+def session_effect(df: DataFrame, c: str, is_open) -> DataFrame:
+    """Deviation of returns within sessions over that outside."""
+    r = returns(df.withColumn("_open", is_open), c, "r").where("r IS NOT NULL")
+    s = r.groupBy("ts_id").agg(F.stddev(F.when(F.col("_open"), F.col("r"))).alias("inside"), F.stddev(F.when(~F.col("_open"), F.col("r"))).alias("outside"))
+    return s.select("ts_id", "inside", "outside", ratio(F.col("inside"), F.col("outside")).alias("session_effect"))
+
+
+def tick_clustering(df: DataFrame, c: str, tick: float) -> DataFrame:
+    """Share of values on whole ticks beyond the tenth that chance gives."""
+    last = F.abs(F.round(F.col(c) / tick)) % 10
+    return df.groupBy("ts_id").agg(F.greatest(F.lit(0.0), (F.avg((last == 0).cast("int")) - 0.1) / 0.9).alias("clustering"))
+
+
+def volatility_regimes(df: DataFrame, c: str, n: int = WINDOW) -> DataFrame:
+    """Rolling deviation of returns and whether it is in the top quarter."""
+    r = returns(df.select("ts_id", "open_time", c), c, "r").where("r IS NOT NULL")
+    r = r.withColumn("vol", F.when(F.count("r").over(rows(n)) == n, F.stddev("r").over(rows(n))))
+    cut = r.groupBy("ts_id").agg(F.percentile("vol", F.lit(0.75)).alias("cut"))
+    return r.join(cut, "ts_id").where("vol IS NOT NULL").select("ts_id", "open_time", "vol", (F.col("vol") > F.col("cut")).alias("is_high"))
+
+
+def with_p_values(power: DataFrame) -> DataFrame:
+    """Two-sided t-test p-values and their Benjamini-Hochberg adjustment within each series."""
+    @F.pandas_udf("double")
+    def p_value(t: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(a) else t_two_sided(float(a), float(b) - 1) for a, b in zip(t, n, strict=True)], dtype="float64")
+
+    out = power.withColumn("p_value", p_value("t_statistic", F.col("n").cast("double")))
+    up = Window.partitionBy("ts_id").orderBy("p_value", "horizon")
+    m = F.count("p_value").over(Window.partitionBy("ts_id"))
+    out = out.withColumn("_q", F.col("p_value") * m / F.row_number().over(up))
+    down = up.rowsBetween(0, Window.unboundedFollowing)
+    return out.withColumn("p_adjusted", F.least(F.lit(1.0), F.min("_q").over(down))).drop("_q")

@@ -120,3 +120,36 @@ def n17(spark, d):
     acf = b.withColumn("p", lag("y")).groupBy("ts_id").agg(F.corr("y", "p").alias("a"))
     s = S.trend_and_noise(b, "y").join(acf, "ts_id")
     return s.select("ts_id", N.regime(F.col("volatility"), F.col("trend_strength"), F.col("a")).alias("regime"))
+
+
+@query("n08_cross_asset")
+def n08(spark, d):
+    return N.cross_asset(base(spark, d), REF, "y")
+
+
+@query("n07_validation_summary", f"with {_FP} select ts_id, cast(count(*) as bigint) n, round(avg((ret > 0)::int), 9) success_rate, round(avg(ret), 9) mean, round(min(ret), 9) worst, round(max(ret), 9) best from u group by 1")
+def n07(spark, d):
+    panel = N.forward_panel(base(spark, d), F.hour("open_time") == 12, "y")
+    return rounded(N.validation_summary(panel), "success_rate", "mean", "worst", "best")
+
+
+@query("n16_session_effect", f"with {_R}, z as (select *, hour(open_time) >= 9 and hour(open_time) < 16 o from w) select ts_id, round(stddev_samp(case when o then r end), 9) inside, round(stddev_samp(case when not o then r end), 9) outside, round(stddev_samp(case when o then r end) / stddev_samp(case when not o then r end), 9) session_effect from z group by 1")
+def n16(spark, d):
+    h = F.hour("open_time")
+    return rounded(N.session_effect(base(spark, d), "y", (h >= 9) & (h < 16)), "inside", "outside", "session_effect")
+
+
+@query("n16_tick_clustering", f"with {BASE} select ts_id, round(greatest(0, (avg((abs(round(y / 0.5)) % 10 = 0)::int) - 0.1) / 0.9), 9) clustering from x group by 1")
+def n16t(spark, d):
+    return rounded(N.tick_clustering(base(spark, d), "y", 0.5), "clustering")
+
+
+@query("f13_volatility_regimes", f"with {_R}, v as (select *, case when count(r) over {over(50)} = 50 then stddev_samp(r) over {over(50)} end vol from w), t as (select ts_id, quantile_cont(vol, 0.75) cut from v group by 1) select ts_id, open_time, round(vol, 9) vol, vol > cut is_high from v join t using (ts_id) where vol is not null")
+def f13(spark, d):
+    return rounded(N.volatility_regimes(base(spark, d), "y"), "vol")
+
+
+@query("n02_p_values")
+def n02p(spark, d):
+    panel = N.forward_panel(base(spark, d), F.hour("open_time") == 12, "y")
+    return N.with_p_values(N.predictive_power(panel, least=2))

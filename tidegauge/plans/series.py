@@ -26,7 +26,7 @@ def _kernel(key: str, name: str):
 
 for _key, _name in (
     ("i01_stationarity", "stationarity"), ("i06_acf", "acf"), ("i07_canonical", "canonical"), ("j01_acf_periods", "acf_periods"), ("j02_spectral_periods", "spectral_periods"),
-    ("j03_wavelet_periods", "wavelet_periods"), ("j08_period_consensus", "periodicity"), ("k15_whiteness", "whiteness"), ("k17_boxcox", "boxcox"),
+    ("j03_wavelet_periods", "wavelet_periods"), ("j08_period_consensus", "periodicity"), ("k15_whiteness", "whiteness"), ("k17_boxcox", "boxcox"), ("e09_shape", "shape"), ("j15_legacy_period", "legacy_period"), ("o02_smoothing_search", "smoothing_search"),
 ):
     _kernel(_key, _name)
 
@@ -35,7 +35,7 @@ def _method(key: str, method: str | None):
     query(key)(lambda spark, d: A.decompose(filled(spark, d), "y", method, None if method is None else 24))
 
 
-for _key, _name in (("k01_fourier", "fourier"), ("k02_ssa", "ssa"), ("k03_mstl", "mstl"), ("k04_stl", "stl"), ("k04_robust_stl", "robust_stl"), ("k07_additive_regression", "additive_regression"), ("k13_decompose", None)):
+for _key, _name in (("k01_fourier", "fourier"), ("k02_ssa", "ssa"), ("k03_mstl", "mstl"), ("k04_stl", "stl"), ("k04_robust_stl", "robust_stl"), ("k07_additive_regression", "additive_regression"), ("k06_smoothed", "smoothed"), ("k13_decompose", None)):
     _method(_key, _name)
 
 
