@@ -70,4 +70,20 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_chat": op10_chat,
 }
-ORACLE_SQL = {"op5_mixing": mixing.ORACLE}
+
+def _escaped(c: str) -> str:
+    """Code points of an escaped text in SQL: one more for each backslash and each control string."""
+    more = [f"(length({c}) - length(replace({c}, '{x}', ''))) // {len(x)}" for x in ("\\", *chat.CONTROL)]
+    return f"(length({c}) + {' + '.join(more)})"
+
+
+_TURNS = "order by turn nulls first, role, text"
+_CHAT = f"""with c as (
+  select conv_id, turn, coalesce(role, '') role, coalesce(text, '') text from conversations
+  union all select -7, t, r, '\\### Assistant: </turn> ok' from (values (0, 'user'), (1, 'assistant')) v(t, r))
+select conv_id, cast(count(*) as bigint) n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' {_TURNS})) turns_sha256,
+  cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) loss_chars,
+  sha256(coalesce(string_agg(text, '' {_TURNS}) filter (where role = 'assistant'), '')) loss_sha256,
+  cast(sum(length('<turn>### : </turn>') + 1 + {_escaped('role')} + {_escaped('text')}) as bigint) formatted_chars
+from c group by conv_id"""
+ORACLE_SQL = {"op5_mixing": mixing.ORACLE, "op10_chat": _CHAT}
