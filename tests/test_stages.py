@@ -101,3 +101,16 @@ def test_adjusted_p_values(spark):
         least = min(least, p[rank - 1][0] * len(p) / rank)
         want[p[rank - 1][1]] = least
     assert {h: r.p_adjusted for h, r in got.items()} == pytest.approx(want) and got[1].p_value == pytest.approx(0.00425, abs=2e-4)
+
+
+def test_regime_confidence(spark):
+    from math import erf, sqrt
+
+    from tidegauge.operators import finance as N
+
+    for v, t, a, z, n in ((0.3, 0.02, 0.1, 0.4, 200), (0.15, 0.5, -0.9, 0.0, 50), (0.9, 0.2, 0.3, 1.0, 8), (0.2, 0.1, 0.5, 0.2, 3)):
+        got = one(spark, N.regime_confidence(F.lit(v), F.lit(t), F.lit(a), F.lit(z), F.lit(n)).alias("c")).c
+        vol = erf(min(abs(v - 0.15), abs(v - 0.5)) / max(v / sqrt(2 * n), 1e-6) / sqrt(2))
+        trend = erf(sqrt(t * n / 2)) if n > 10 else min(max(abs(t - 0.1), abs(t - 0.4)) / 0.1, 1)
+        auto = erf(abs(a) * sqrt(n / 2)) if n > 3 else abs(a)
+        assert got == pytest.approx(0.35 * vol + 0.35 * trend + 0.2 * auto + 0.1 * (1 - z), abs=1e-6)

@@ -211,3 +211,25 @@ def with_p_values(power: DataFrame) -> DataFrame:
     out = out.withColumn("_q", F.col("p_value") * m / F.row_number().over(up))
     down = up.rowsBetween(0, Window.unboundedFollowing)
     return out.withColumn("p_adjusted", F.least(F.lit(1.0), F.min("_q").over(down))).drop("_q")
+
+
+def erf(x):
+    """The error function of values from 0 up, by a rational approximation (absolute error under 1.5e-7), in the JVM."""
+    # Coefficients of the published approximation.
+    t = 1 / (1 + 0.3275911 * x)
+    poly = ((((1.061405429 * t - 1.453152027) * t + 1.421413741) * t - 0.284496736) * t + 0.254829592) * t
+    return 1 - poly * F.exp(-x * x)
+
+
+def regime_confidence(volatility, trend, acf1, noise, n, asset: str = "crypto"):
+    """How sure a regime is: distance of the volatility from its limits, significance of trend and autocorrelation, signal.
+
+    For few rows (ten for the trend, three for the autocorrelation) the plain distances stand in for the tests.
+    """
+    lo, hi = VOLATILITY_LIMITS.get(asset, DEFAULT_VOLATILITY)
+    spread = F.greatest(volatility / F.sqrt(2.0 * n), F.lit(1e-6))
+    by_volatility = erf(F.least(F.abs(volatility - lo), F.abs(volatility - hi)) / spread / 2**0.5)
+    far = F.greatest(F.abs(trend - TREND_LIMITS[0]), F.abs(trend - TREND_LIMITS[1]))
+    by_trend = F.when(n > 10, erf(F.sqrt(trend * n / 2))).otherwise(F.least(far / 0.1, F.lit(1.0)))
+    by_acf = F.when(n > 3, erf(F.abs(acf1) * F.sqrt(n / 2))).otherwise(F.abs(acf1))
+    return clip(0.35 * clip(by_volatility) + 0.35 * clip(by_trend) + 0.20 * clip(by_acf) + 0.10 * clip(1 - noise))

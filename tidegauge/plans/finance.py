@@ -153,3 +153,14 @@ def f13(spark, d):
 def n02p(spark, d):
     panel = N.forward_panel(base(spark, d), F.hour("open_time") == 12, "y")
     return N.with_p_values(N.predictive_power(panel, least=2))
+
+
+@query("n18_regime_confidence")
+def n18(spark, d):
+    from tidegauge.operators.windows import lag
+
+    b = base(spark, d)
+    acf = b.withColumn("p", lag("y")).groupBy("ts_id").agg(F.corr("y", "p").alias("a"), F.count(F.lit(1)).alias("n"))
+    s = S.trend_and_noise(b, "y").join(acf, "ts_id")
+    got = N.regime_confidence(F.col("volatility"), F.col("trend_strength"), F.col("a"), F.col("noise_level"), F.col("n"))
+    return rounded(s.select("ts_id", got.alias("confidence")), "confidence")
