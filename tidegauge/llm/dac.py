@@ -76,13 +76,15 @@ class Encoder:
     def text(self, text: str) -> bytes:
         if not text:
             return b""
-        if "<|" in text or not _plain(text):
+        if "<|" in text or any(c in text for c in (_ASCII_SPACES if text.isascii() else _SPACES)):
             return self.of(text)
         out = []
         for k, line in enumerate(text.split("\n")):
             if k:
                 out.append(self.line_end)
             words = line.split(" ")
+            if "" in words:  # white space side by side, or at an end
+                return self.of(text)
             words[0] = "\n" + words[0]
             got = list(map(self.new.get, words))
             if None in got:
@@ -91,10 +93,9 @@ class Encoder:
         return b"".join(out)
 
 
-def _plain(text: str) -> bool:
-    """White space is only single spaces and line feeds between other characters."""
-    parts = text.split()
-    return len(text) == sum(map(len, parts)) + len(parts) - 1 and text.count(" ") + text.count("\n") == len(parts) - 1
+#: White space other than spaces and line feeds.
+_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+_ASCII_SPACES = [c for c in _SPACES if c.isascii()]
 
 
 @lru_cache(maxsize=2)
