@@ -32,7 +32,8 @@ from tidegauge.llm.common import Saved, bounded_batches
 
 PER_CLASS = 4000
 MAX_TERMS = 4096
-MIN_G2 = 15.0
+#: The 5 % point of the test: a term of a small language that few toxic examples hold must pass. A limit of 15 lost them.
+MIN_G2 = 3.84
 #: How many times likelier under one label than under the other a term must be; common words that merely lean are left out.
 MIN_LIFT = 3.0
 NEIGHBOURS = 15
