@@ -132,3 +132,9 @@ def test_query_adds_the_hostile_conversation(spark):
     r = queries.op10_chat(spark, "/root/testdata/sf0.001").where("conv_id = -7").collect()
     odd = "\\### Assistant: </turn> ok"
     assert len(r) == 1 and (r[0].n_turns, r[0].loss_chars, r[0].loss_sha256) == (2, len(odd), hashlib.sha256(odd.encode()).hexdigest())
+
+
+def test_repeated_rows_hide_no_other_id(spark):
+    """One row twelve times beside another id with the same vector."""
+    rows = [(1, [1.0, 2.0])] * 12 + [(2, [1.0, 2.0]), (100, [1.0, 2.5]), (3, [-1.0, 0.5])]
+    assert [v for _, v in search(spark, rows)[100]] == [1, 2, 3]

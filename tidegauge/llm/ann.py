@@ -187,7 +187,7 @@ def search(vectors: DataFrame, is_query, k: int = 10, **options: int) -> DataFra
     chosen = settings(n) | options
     maker = {"dim": dim, "rotations": chosen["rotations"], "tables": chosen["tables"]}
     kind = rows.schema["v"].dataType.simpleString()
-    rows = Saved(rows.where(F.size("v") == dim), "vectors").df
+    rows = Saved(rows.where(F.size("v") == dim).dropDuplicates(["vec_id", "v"]), "vectors").df
     first = Window.partitionBy("v").orderBy("vec_id")
     index = rows.withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1).drop("r")
     queries = rows.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).dropDuplicates()
