@@ -132,13 +132,12 @@ def test_block_max_index_is_exact():
     dense = np.zeros((400, 60))
     for k, (t, w) in enumerate(vectors):
         dense[k, t] = w
-    for j in range(100):
-        at, cosine = index.search(*vectors[j], 15, skip=j)
+    for j, (at, cosine) in enumerate(index.search(vectors[:100], 15, np.arange(100))):
         full = dense @ dense[j]
         full[j] = -1
         want = [k for k in np.lexsort((np.arange(400), -np.round(full, 12)))[:15] if full[k] > 1e-12]
         assert np.allclose(cosine, full[want]) and np.allclose(np.sort(full[at]), np.sort(full[want]))
-    at, cosine = index.search(np.zeros(0, np.int64), np.zeros(0), 5)
+    [(at, cosine)] = index.search([(np.zeros(0, np.int64), np.zeros(0))], 5)
     assert len(at) == 0
 
 

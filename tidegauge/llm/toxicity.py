@@ -1,20 +1,25 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are words and the first four and five letters of words (lower case). A bounded sample of labelled rows (at most
-``PER_CLASS`` of each label, least id hashes first) gives the examples and, by a likelihood-ratio test against the label,
-the vocabulary of at most ``MAX_TERMS`` terms that are at least ``MIN_LIFT`` times likelier under one label. Document frequencies are counted over all documents. The examples, ordered
-so that alike ones are neighbours, form an inverted index whose postings lie in blocks; each term keeps the greatest
-weight in each block. A query's terms bound every block's cosines from above; blocks are scored from the highest bound
-down until no bound reaches the k-th best cosine, so the neighbours are exact.
+Terms are words in lower case. A bounded sample of labelled rows (at most ``PER_CLASS`` texts of each label, least id hashes
+first) gives the examples; every word that an example holds is a term, none is left out. A term weighs
+(1 + log tf) * idf * relevance: document frequencies are counted over all documents, and the relevance, sqrt(1 + G2) of the
+term against the label, is 1 for a word that tells nothing and more for one that does. Plain TF-IDF (relevance 1 for all)
+finds neighbours that are alike in their common words; the README has the figures of both.
 
-Neighbours vote with weights that rise with the cosine, corrected for the sampling of each label; votes become scores by
-isotonic regression on the examples themselves, each left out in turn. A text without any term of the vocabulary gets the
-share of label 1 among such examples. Evidence: the neighbours' ids and cosines.
+The examples, ordered so that alike ones are neighbours, form an inverted index in blocks of ``BLOCK``. Postings of rare terms
+are added up exactly. Frequent terms, whose postings would cost most, only bound each block by their greatest weight in it;
+blocks are completed from the highest bound down, and those whose bound stays under the k-th best cosine are never
+completed. Nothing under its bound is lost, so the neighbours are exact.
 
-Defined cases: null and empty texts have no terms; a null label or id is not learned from; rows with equal ids are scored
-each by its own text, and the label counts 1 if any of the id's labels is 1; with no label 1 or no label 0 to learn from,
-every score is the share of label 1 (0 if there are no labels); an empty table gives an empty result. Other columns of the
-documents pass through untouched and never enter a score.
+Neighbours vote with weights that rise with the cosine, corrected for the sampling of each label; votes become scores by
+isotonic regression on the examples themselves, each left out in turn. A text without any term gets the share of label 1
+among such examples. Evidence: the neighbours' ids and cosines.
+
+Defined cases: null and empty texts have no terms; a text of any length is read whole (but one over ``EXAMPLE_CHARS`` is no
+example); a null label or id is not learned from; rows with equal ids are scored each by its own text, and the label counts 1
+if any of the id's labels is 1; with no label 1 or no label 0 to learn from, every score is the share of label 1 (0 if there
+are no labels); equal cosines (to nine digits) go by the example's place; an empty table gives an empty result. Other columns
+of the documents, whatever their names, never enter a score.
 """
 
 from __future__ import annotations
@@ -31,61 +36,26 @@ from pyspark.sql import functions as F
 from tidegauge.llm.common import Saved, bounded_batches
 
 PER_CLASS = 4000
-MAX_TERMS = 4096
-#: The 5 % point of the test: a term of a small language that few toxic examples hold must pass. A limit of 15 lost them.
-MIN_G2 = 3.84
-#: How many times likelier under one label than under the other a term must be; common words that merely lean are left out.
-MIN_LIFT = 3.0
+#: Longer texts are not taken as examples, which bounds what the driver collects.
+EXAMPLE_CHARS = 1 << 18
 NEIGHBOURS = 15
 BLOCK = 32
+#: Terms whose postings are bounded by blocks: the most frequent, at most so many, in at least this share of the examples.
+FREQUENT, FREQUENT_SHARE = 512, 0.04
+#: Queries searched together, and blocks that each completes first.
+BATCH, FIRST = 128, 4
 THRESHOLD = 0.7
 _WORD = re.compile(r"\w+")
+#: ASCII characters that no word holds become spaces.
+_BLANKS = bytes(c if c >= 128 or _WORD.match(chr(c)) else 32 for c in range(256))
 
 
-def words(text: str | None) -> Counter:
-    return Counter(_WORD.findall((text or "").lower()))
-
-
-def terms(text: str | None) -> dict[str, int]:
-    """Counts of a text's terms; a prefix is marked by its length."""
-    out: dict[str, int] = {}
-    for w, n in words(text).items():
-        for t in (w, "4" + w[:4], "5" + w[:5]):
-            out[t] = out.get(t, 0) + n
-    return out
-
-
-def _terms_of(batches):
-    for b in batches:
-        for i, y, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-            t = terms(text.as_py())
-            yield pa.RecordBatch.from_arrays([pa.array([i] * len(t), pa.int64()), pa.array([y] * len(t), pa.int32()), pa.array(list(t), pa.string())], names=["doc_id", "y", "term"])
-
-
-class Vocabulary:
-    def __init__(self, terms: list[str]):
-        self.terms = terms
-        self.whole = {t: k for k, t in enumerate(terms)}
-        self.first4 = {t[1:]: k for k, t in enumerate(terms) if t[0] == "4"}
-        self.first5 = {t[1:]: k for k, t in enumerate(terms) if t[0] == "5"}
-
-    def counts(self, text: str | None) -> dict[int, int]:
-        out: dict[int, int] = {}
-        for w, n in words(text).items():
-            for k in (self.whole.get(w), self.first4.get(w[:4]), self.first5.get(w[:5])):
-                if k is not None:
-                    out[k] = out.get(k, 0) + n
-        return out
-
-
-def _frequencies(batches, vocabulary: Vocabulary):
-    n, seen = 0, np.zeros(len(vocabulary.terms), np.int64)
-    for b in batches:
-        for text in b.column(0):
-            n += 1
-            seen[list(vocabulary.counts(text.as_py()))] += 1
-    some = np.flatnonzero(seen)
-    yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, some]), pa.array(np.r_[n, seen[some]])], names=["term", "n"])
+def words(text: str | None) -> list[bytes]:
+    """The matches of ``\\w+`` in lower case as UTF-8; without a regex where all other characters are letters or digits."""
+    low = (text or "").lower()
+    if low.isascii() or all(c.isalnum() for c in set(low) if c > "\x7f"):
+        return low.encode().translate(_BLANKS).split()
+    return [w.encode("utf-8", "replace") for w in _WORD.findall(low)]
 
 
 def _ragged(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -94,90 +64,131 @@ def _ragged(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 class BlockMaxIndex:
-    """Exact top-k cosine over sparse unit vectors."""
+    """Exact top-k cosine over sparse unit vectors ``(terms, weights)``."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
         self.n = len(vectors)
         self.n_blocks = -(-self.n // BLOCK)
+        self.width = self.n_blocks * BLOCK
+        none = np.zeros(0, np.int64)
         ex = np.repeat(np.arange(self.n), [len(t) for t, _ in vectors])
-        term = np.concatenate([t for t, _ in vectors]) if ex.size else np.zeros(0, np.int64)
-        weight = np.concatenate([w for _, w in vectors]) if ex.size else np.zeros(0)
+        term, weight = (np.concatenate([v[c] for v in vectors] or [none]) for c in (0, 1))
         order = np.lexsort((ex, term))
-        self.example, self.weight, term = ex[order], weight[order], term[order]
-        block = self.example // BLOCK
-        new = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])]) if len(term) else np.zeros(0, np.int64)
-        self.first, self.block = np.r_[new, len(term)], block[new]
-        self.most = np.maximum.reduceat(self.weight, new) if len(new) else np.zeros(0)
-        self.entries = np.searchsorted(term[new], np.arange(n_terms + 1))
-
-    def search(self, term: np.ndarray, weight: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and cosines of the k nearest with a cosine over 0, nearest first, ties by position."""
-        a, b = self.entries[term], self.entries[term + 1]
-        entry, q = _ragged(a, b), np.repeat(weight, b - a)
-        block = self.block[entry]
-        bound = np.bincount(block, q * self.most[entry], self.n_blocks)
-        left, best, at = np.flatnonzero(bound > 0), np.zeros(0), np.zeros(0, np.int64)
-        left = left[np.argsort(-bound[left], kind="stable")]
-        step = 2
-        while len(left):
-            floor = best[k - 1] if len(best) >= k else 0.0
-            left = left[bound[left] >= floor - 1e-12]
-            now, left = left[:step], left[step:]
-            step *= 4
-            chosen = np.zeros(self.n_blocks, bool)
-            chosen[now] = True
-            mine = np.flatnonzero(chosen[block])
-            e = entry[mine]
-            post = _ragged(self.first[e], self.first[e + 1])
-            score = np.bincount(self.example[post], np.repeat(q[mine], self.first[e + 1] - self.first[e]) * self.weight[post], self.n)
-            got = np.flatnonzero(score > 0)
-            got = got[got != skip]
-            at, best = np.r_[at, got], np.r_[best, score[got]]
-            order = np.lexsort((at, -best))[:k]
-            at, best = at[order], best[order]
-        return at, best
+        ex, term, weight = ex[order], term[order].astype(np.int64), weight[order]
+        held = np.bincount(term, minlength=n_terms)
+        often = np.argsort(-held, kind="stable")[:FREQUENT]
+        often = np.sort(often[held[often] > max(BLOCK, FREQUENT_SHARE * self.n)])
+        self.slot = np.full(n_terms, -1, np.int32)
+        self.slot[often] = np.arange(len(often))
+        rare = self.slot[term] < 0
+        self.example, self.weight = ex[rare].astype(np.int32), weight[rare]
+        self.first = np.searchsorted(term[rare], np.arange(n_terms + 1))
+        self.many = np.zeros((len(often), self.width))
+        self.many[self.slot[term[~rare]], ex[~rare]] = weight[~rare]
+        self.most = self.many.reshape(len(often), self.n_blocks, BLOCK).max(axis=2) if self.n else self.many
+
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, skip: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query the places and cosines of its k nearest with a cosine over 0, nearest first, ties by place."""
+        return [x for at in range(0, len(queries), BATCH) for x in self._search(queries[at : at + BATCH], k, None if skip is None else skip[at : at + BATCH])]
+
+    def _search(self, queries, k: int, skip):
+        n = len(queries)
+        who = np.repeat(np.arange(n), [len(t) for t, _ in queries])
+        term, weight = (np.concatenate([q[c] for q in queries]) for c in (0, 1))
+        slot = self.slot[term]
+        often, rare = np.flatnonzero(slot >= 0), np.flatnonzero(slot < 0)
+        q = np.zeros((n, len(self.many)))
+        q[who[often], slot[often]] = weight[often]
+        a, b = self.first[term[rare]], self.first[term[rare] + 1]
+        post, length = _ragged(a, b), b - a
+        cell = np.repeat(who[rare] * self.width, length) + self.example[post]
+        score = np.bincount(cell, np.repeat(weight[rare], length) * self.weight[post], n * self.width).astype(float).reshape(n, self.width)
+        if skip is not None:
+            score[np.arange(n), skip] = -np.inf
+        bound = score.reshape(n, self.n_blocks, BLOCK).max(axis=2) + q @ self.most
+        first = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST]
+        done = np.zeros((n, self.n_blocks), bool)
+        np.put_along_axis(done, first, True, axis=1)
+        self._complete(score, q, done)
+        best = np.take_along_axis(score.reshape(n, self.n_blocks, BLOCK), first[:, :, None], axis=1).reshape(n, -1)
+        least = -np.partition(-best, k - 1, axis=1)[:, k - 1] if best.shape[1] > k else np.full(n, -np.inf)
+        self._complete(score, q, ~done & (bound >= least[:, None] - 1e-9))
+        out = []  # a block that isn't complete holds nothing that reaches ``least``
+        for row, enough in zip(score, np.maximum(least - 1e-9, 1e-12), strict=True):
+            at = np.flatnonzero(row >= enough)
+            cosine = np.round(row[at], 9)
+            order = np.lexsort((at, -cosine))[:k]
+            out.append((at[order], cosine[order]))
+        return out
+
+    def _complete(self, score: np.ndarray, q: np.ndarray, which: np.ndarray) -> None:
+        """Add the frequent terms' share to the scores in the blocks that each query asks for."""
+        for block in np.flatnonzero(which.any(axis=0)).tolist():
+            rows, at = np.flatnonzero(which[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
+            score[rows, at] += q[rows] @ self.many[:, at]
 
 
 class Model:
-    """Fitted on the driver from the bounded sample; a few MB at most."""
+    """Fitted on the driver from the bounded sample. ``examples`` are ``(id, label, terms, counts)`` with terms as numbers."""
 
-    def __init__(self, vocabulary: Vocabulary, frequency: np.ndarray, n_docs: int, examples: list[tuple[int, int, dict[int, int]]], totals: tuple[float, float], k: int):
-        self.vocabulary, self.k = vocabulary, k
-        self.idf = np.log((1 + n_docs) / (1 + frequency)) + 1
-        n = [sum(1 for _, y, _ in examples if y == c) for c in (0, 1)]
+    def __init__(self, terms: list[bytes], frequency: np.ndarray, n_docs: int, examples: list[tuple[int, int, np.ndarray, np.ndarray]], totals: tuple[float, float], k: int):
+        self.number, self.k = {t: j for j, t in enumerate(terms)}, k
+        y = np.array([e[1] for e in examples], np.int64)
+        n = np.bincount(y, minlength=2)
         self.share = totals[1] / max(1.0, sum(totals))
         self.index = None
-        if not min(n):
+        if not n.min():
             self.empty = self.share
             return
+        held = [np.bincount(np.concatenate([e[2] for e in examples if e[1] == c]), minlength=len(terms)) for c in (0, 1)]
+        self.scale = (np.log((1 + n_docs) / (1 + frequency)) + 1) * np.sqrt(1 + g2(held[1], held[0], n[1], n[0]))
         self.prior = np.array([totals[c] / n[c] for c in (0, 1)])
-        vectors = [self.vector(c) for _, _, c in examples]
-        nothing = [(y, self.prior[y]) for (_, y, _), (t, _) in zip(examples, vectors, strict=True) if not len(t)]
-        self.empty = (sum(p for y, p in nothing if y) + self.share) / (sum(p for _, p in nothing) + 1)
-        kept = [(i, y, v) for (i, y, _), v in zip(examples, vectors, strict=True) if len(v[0])]
+        vectors = [self.vector(t, c) for _, _, t, c in examples]
+        nothing = [(e[1], self.prior[e[1]]) for e in examples if not len(e[2])]
+        self.empty = (sum(p for v, p in nothing if v) + self.share) / (sum(p for _, p in nothing) + 1)
+        kept = [(e[0], e[1], v) for e, v in zip(examples, vectors, strict=True) if len(v[0])]
         kept.sort(key=lambda x: (int(x[2][0][np.argmax(x[2][1])]), x[1], x[0]))
         self.ids, self.y = np.array([x[0] for x in kept], np.int64), np.array([x[1] for x in kept], np.int64)
-        self.index = BlockMaxIndex([x[2] for x in kept], len(vocabulary.terms))
-        votes = np.array([self.vote(*self.index.search(*x[2], k, skip=j)) for j, x in enumerate(kept)])
-        self.knots = isotonic(votes, self.y.astype(float), self.prior[self.y])
+        self.index = BlockMaxIndex([x[2] for x in kept], len(terms))
+        near = self.index.search([x[2] for x in kept], k, np.arange(len(kept)))
+        self.knots = isotonic(np.array([self.vote(*x) for x in near]), self.y.astype(float), self.prior[self.y])
 
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        t = np.array(sorted(counts), np.int64)
-        w = (1 + np.log(np.array([counts[k] for k in t], float))) * self.idf[t] if len(t) else np.zeros(0)
-        return t, w / np.linalg.norm(w) if len(t) else w
+    def vector(self, term: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1 + np.log(count)) * self.scale[term]
+        return term, w / np.linalg.norm(w) if len(w) else w
 
     def vote(self, at: np.ndarray, cosine: np.ndarray) -> float:
         w = self.prior[self.y[at]] * cosine**2
         return float((w @ self.y[at] + 1e-3 * self.share) / (w.sum() + 1e-3))
 
-    def score(self, text: str | None) -> tuple[float, list[int], list[float]]:
+    def scores(self, texts: list[str | None]) -> list[tuple[float, list[int], list[float]]]:
         if self.index is None:
-            return self.empty, [], []
-        t, w = self.vector(self.vocabulary.counts(text))
-        if not len(t):
-            return self.empty, [], []
-        at, cosine = self.index.search(t, w, self.k)
-        return float(np.interp(self.vote(at, cosine), *self.knots)), self.ids[at].tolist(), cosine.tolist()
+            return [(self.empty, [], [])] * len(texts)
+        out: list = [(self.empty, [], [])] * len(texts)
+        counted = [numbers(t, self.number) for t in texts]
+        some = [j for j, (term, _) in enumerate(counted) if len(term)]
+        near = self.index.search([self.vector(*counted[j]) for j in some], self.k)
+        for j, (at, cosine) in zip(some, near, strict=True):
+            out[j] = float(np.interp(self.vote(at, cosine), *self.knots)), self.ids[at].tolist(), cosine.tolist()
+        return out
+
+    def score(self, text: str | None) -> tuple[float, list[int], list[float]]:
+        return self.scores([text])[0]
+
+
+def g2(a: np.ndarray, b: np.ndarray, n1: float, n0: float) -> np.ndarray:
+    """Likelihood-ratio statistic of terms that a of n1 texts and b of n0 texts hold."""
+    share = (a + b) / (n1 + n0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        part = lambda x, m, p: np.where(x > 0, x * np.log(x / (m * p)), 0.0)
+        return np.maximum(0, 2 * (part(a, n1, share) + part(b, n0, share) + part(n1 - a, n1, 1 - share) + part(n0 - b, n0, 1 - share)))
+
+
+def numbers(text: str | None, number: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """A text's terms by number and how often each occurs."""
+    count = Counter(map(number.get, words(text)))
+    count.pop(None, None)
+    return np.fromiter(count, np.int64, len(count)), np.fromiter(count.values(), float, len(count))
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,49 +207,54 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % 3 == 1
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_terms: int = MAX_TERMS, k: int = NEIGHBOURS) -> Model:
-    bounded_batches(docs.sparkSession)
+def _counted(batches):
+    """Each example's words, one a line, and how often each occurs."""
+    for b in batches:
+        got = [Counter(words(t.as_py())) for t in b.column(2)]
+        cols = [pa.array([b"\n".join(c) for c in got], pa.binary()), pa.array([np.fromiter(c.values(), "<i4", len(c)).tobytes() for c in got], pa.binary())]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["doc_id", "y", "words", "counts"])
+
+
+def _frequencies(batches, number):
+    n, seen = 0, np.zeros(len(number.value), np.int64)
+    for b in batches:
+        for text in b.column(0):
+            n += 1
+            at = set(map(number.value.get, set(words(text.as_py()))))
+            at.discard(None)
+            seen[list(at)] += 1
+    some = np.flatnonzero(seen)
+    yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, some]), pa.array(np.r_[n, seen[some]])], names=["term", "n"])
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k: int = NEIGHBOURS) -> Model:
+    spark = docs.sparkSession
+    bounded_batches(spark)
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("y"))
     known = Saved(known.where(~held_out()), "labels").df
     totals = {r.y: r.n for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     some = [known.where(F.col("y") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(some[0].union(some[1])), "doc_id")
-    sample = Saved(sample.groupBy("doc_id", "y", F.sha2(F.coalesce("text", F.lit("")), 256).alias("h")).agg(F.first("text").alias("text")), "examples").df.select("doc_id", "y", "text", "h")
-    one = sample.groupBy("y", "h").agg(F.min_by("text", "doc_id").alias("text"), F.min("doc_id").alias("doc_id"))
-    n = {r.y: r.n for r in one.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    chosen: list[str] = []
-    if len(n) == 2:
-        per = one.select("doc_id", "y", "text").mapInArrow(_terms_of, "doc_id long, y int, term string").groupBy("term")
-        per = per.agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")).where(F.col("a") + F.col("b") >= 5)
-        a, b, n1, n0 = F.col("a").cast("double"), F.col("b").cast("double"), float(n[1]), float(n[0])
-        share = (a + b) / (n1 + n0)
-        part = lambda x, m, p: F.when(x > 0, x * F.log(x / (m * p))).otherwise(0.0)
-        g2 = 2 * (part(a, n1, share) + part(b, n0, share) + part(n1 - a, n1, 1 - share) + part(n0 - b, n0, 1 - share))
-        lift = F.abs(F.log((a + 0.5) / (n1 + 1)) - F.log((b + 0.5) / (n0 + 1)))
-        chosen = [r.term for r in per.select("term", g2.alias("g2"), lift.alias("lift")).where((F.col("g2") >= MIN_G2) & (F.col("lift") >= float(np.log(MIN_LIFT)))).orderBy(F.desc("g2"), "term").limit(max_terms).collect()]
-    vocabulary = Vocabulary(sorted(chosen))
-    frequency, n_docs = np.zeros(len(chosen)), 0
-    if chosen:
-        counted = docs.select("text").mapInArrow(partial(_frequencies, vocabulary=vocabulary), "term long, n long")
-        for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect():
-            if r.term < 0:
-                n_docs = r.n
-            else:
-                frequency[r.term] = r.n
-    examples = sample.select("doc_id", "y", "text").mapInArrow(partial(_counts, vocabulary=vocabulary), "doc_id long, y int, terms array<long>, counts array<long>").collect() if chosen else []
-    rows = sorted(((i, y, dict(zip(t, c, strict=True))) for i, y, t, c in examples), key=lambda r: (r[0], sorted(r[2].items())))
-    return Model(vocabulary, frequency, n_docs, rows, (float(totals.get(0, 0)), float(totals.get(1, 0))), k)
-
-
-def _counts(batches, vocabulary: Vocabulary):
-    for b in batches:
-        got = [vocabulary.counts(t.as_py()) for t in b.column(2)]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([list(c) for c in got], pa.list_(pa.int64())), pa.array([list(c.values()) for c in got], pa.list_(pa.int64()))], names=["doc_id", "y", "terms", "counts"])
+    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= EXAMPLE_CHARS)
+    sample = sample.join(F.broadcast(some[0].union(some[1])), "doc_id")
+    once = sample.groupBy("y", F.sha2("text", 256).alias("h")).agg(F.first("text").alias("text"), F.min("doc_id").alias("doc_id"))
+    rows = once.select("doc_id", "y", "text").mapInArrow(_counted, "doc_id long, y int, words binary, counts binary").toArrow()
+    held = sorted(zip(*(c.to_pylist() for c in rows.columns), strict=True))
+    terms = sorted({w for r in held for w in r[2].split(b"\n") if w})
+    number = {w: j for j, w in enumerate(terms)}
+    frequency, n_docs = np.zeros(len(terms)), 0
+    if terms:
+        counted = docs.select("text").mapInArrow(partial(_frequencies, number=spark.sparkContext.broadcast(number)), "term long, n long")
+        found = counted.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+        for at, n in ((b.column("term").to_numpy(), b.column("n").to_numpy()) for b in found.to_batches()):
+            frequency[at[at >= 0]] = n[at >= 0]
+            n_docs += int(n[at < 0].sum())
+    examples = [(i, y, np.array([number[w] for w in ws.split(b"\n") if w], np.int64), np.frombuffer(c, "<i4").astype(float)) for i, y, ws, c in held]
+    return Model(terms, frequency, n_docs, examples, (float(totals.get(0, 0)), float(totals.get(1, 0))), k)
 
 
 def _scores(batches, model, text: int, below: float | None):
     for b in batches:
-        got = [model.value.score(t.as_py()) for t in b.column(text)]
+        got = [x for at in range(0, b.num_rows, BATCH) for x in model.value.scores(b.column(text).slice(at, BATCH).to_pylist())]
         if below is not None:
             yield b.filter(pa.array([s < below for s, _, _ in got], pa.bool_()))
         else:
