@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows in an Arrow batch at most, so that a batch of long texts stays small in executors and Python workers.
 ARROW_ROWS = 1000
+#: What a task that saves a table reads at most of it, where partitions are small enough to share a task.
+SAVE_BYTES = 16 << 20
 _OWN_DIR: list[str] = []
 
 
@@ -38,10 +41,12 @@ def bounded_batches(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """A folder of this application under the session's ``spark.checkpoint.dir``, which all executors share.
 
-    Only where that setting is absent, as in local tests, a temporary folder of this process takes its place.
+    Only where that setting is absent and all runs in one process, as in local tests, a temporary folder takes its place.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         if not _OWN_DIR:
             _OWN_DIR.append(tempfile.mkdtemp(prefix="tidegauge-"))
         base = f"file://{_OWN_DIR[0]}"
@@ -67,17 +72,26 @@ def _delete_quietly(spark: SparkSession, path: str) -> None:
         return
 
 
+def read_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that a DataFrame reads, as far as Spark knows them before it runs; unknown ones count as endless."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+
+
 class Saved:
     """A DataFrame written to the shared folder and read back: its lineage is cut, and lost executors cost nothing.
 
-    With ``few_files`` a task writes the partitions it is given one after the other into one file, at most four files for
-    each core of the cluster; so many small partitions don't become as many small files.
+    With ``few_files`` a task writes small partitions one after the other into one file, so that many of them don't become
+    as many small files: as long as a task's share of the tables read stays under ``SAVE_BYTES`` (or there is one task for
+    each of four slots on every core), however large the input is.
     """
 
     def __init__(self, df: DataFrame, kind: str = "table", few_files: bool = True):
         self.spark = df.sparkSession
         self.path = new_path(self.spark, kind)
-        (df.coalesce(4 * self.spark.sparkContext.defaultParallelism) if few_files else df).write.parquet(self.path)
+        if few_files:
+            df = df.coalesce(min(1 << 30, max(4 * self.spark.sparkContext.defaultParallelism, -(-read_bytes(df) // SAVE_BYTES))))
+        df.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:

@@ -8,12 +8,15 @@ File, little-endian, every section padded to 8 bytes: header of eight u64 (magic
 doc ids i64, their validity u8; document starts u64 (one more than documents); for each level its number of chunks u64,
 the chunks u8, the bitmap, the directory u32. A file holds at most about ``FILE_TOKENS`` tokens, or one document.
 
-Defined cases: null text is empty; an empty text is the end id alone; rows with a null id come first; equal ids follow
-each other by text; an empty table writes no file and reads back as no rows; other columns are not read.
+Defined cases: null text is empty; an empty text is the end id alone; a text of any length is encoded whole and lies in one
+file; rows with a null id come first; equal ids, which may be dealt over several tasks, follow each other by the hash of their
+texts; an empty table writes no file and reads back as no rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import posixpath
 import uuid
 import zlib
@@ -26,80 +29,101 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import Saved, bounded_batches, new_path
+from tidegauge.llm.common import Saved, bounded_batches, new_path, read_bytes
 
 MAGIC = int.from_bytes(b"tgDAC\x00\x00\x01", "little")
 RANK_BITS = 512
 FILE_TOKENS = 1 << 22
+#: Files that a task reads back, and writing tasks whose files are numbered together.
+FILES_A_TASK, PARTS = 8, 1024
 END_ID = 0
 _STOPS = frozenset(".,!?;:")
-#: Words that an encoder remembers in each of its two generations.
-CACHE_WORDS = 750_000
+#: Bytes of words and ids, about, that an encoder remembers in each of its two generations, and what an entry costs besides.
+CACHE_BYTES, ENTRY_BYTES = 40 << 20, 130
 
 
 class Encoder:
-    """Whole-text ids of a byte-level BPE, equal to ``tokenizer.encode(text, add_special_tokens=False).ids``.
+    """Whole-text ids of a tokenizer, equal to ``tokenizer.encode(text, add_special_tokens=False).ids``.
 
-    The tokenizer never joins across a space or line break that stands alone between two other characters, so a text
-    without runs of white space is encoded word by word, and the ids of recent words are remembered as bytes. Any other
-    text goes to the tokenizer whole.
+    A byte-level BPE with the usual pattern never joins across a space or line break that stands alone between two other
+    characters, so with such a tokenizer a text without runs of white space is encoded word by word, and the ids of recent
+    words are remembered as bytes. Any other text goes to the tokenizer whole, and so does every text where the file names
+    another normalizer, pre-tokenizer or model.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a worker has one core
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.by_words = splits_at_spaces(json.loads(self.tokenizer.to_str()))
         self.line_end = self.of("\n")
+        self.new: dict[str, bytes] = {_LINE_END: self.line_end}
+        self.old: dict[str, bytes] = {}
+        self.size = 0
 
     def of(self, text: str) -> bytes:
-        return np.array(self.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def word(self, w: str) -> bytes:
-        """The ids of a space and ``w``, or of w[1:] alone where w starts with a line feed; no other white space."""
-        got = self.old.get(w)
-        if got is None:
-            got = self.new.get(w)
-        if got is None:
-            if w[-1:] in _STOPS and w[-2:-1].isalpha():
-                got = self.word(w[:-1]) + self.word("\n" + w[-1])
-            else:
-                got = self.of(w[1:] if w[:1] == "\n" else " " + w)
-        if len(self.new) >= CACHE_WORDS:
-            self.old = self.new
-            self.new = {}
-        if len(w) < 64:
-            self.new[w] = got
-        return got
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of a space and each word, or of w[1:] alone where w starts with a line feed; no other white space."""
+        found = {w: self.old[w] for w in words if w in self.old}
+        stem = {w: w[:-1] if w[-1] in _STOPS and w[-2:-1].isalpha() else w for w in words if w not in found}
+        ask = {s for s in stem.values() if s not in self.new and s not in self.old and s not in found}
+        ask |= {"\n" + w[-1] for w, s in stem.items() if s is not w and "\n" + w[-1] not in self.new}
+        got = self.tokenizer.encode_batch_fast([s[1:] if s[0] == "\n" else " " + s for s in ask], add_special_tokens=False)
+        for s, x in zip(ask, got, strict=True):
+            found[s] = np.array(x.ids, "<u4").tobytes()
+        known = lambda s: found.get(s) or self.new.get(s) or self.old[s]
+        for w, s in stem.items():
+            if s is not w:
+                found[w] = known(s) + known("\n" + w[-1])
+        short = {w: x for w, x in found.items() if len(w) < 64}
+        self.size += sum(map(len, short)) + sum(map(len, short.values())) + ENTRY_BYTES * len(short)
+        if self.size > CACHE_BYTES:
+            self.old, self.new, self.size = self.new, {_LINE_END: self.line_end}, 0
+        self.new.update(short)
+        return found
 
     def text(self, text: str) -> bytes:
         if not text:
             return b""
-        if "<|" in text or any(c in text for c in (_ASCII_SPACES if text.isascii() else _SPACES)):
+        if not self.by_words or "<|" in text or any(c in text for c in (_ASCII_SPACES if text.isascii() else _SPACES)):
+            return self.of(text)
+        words = []
+        for line in text.split("\n"):
+            if words:
+                words.append(_LINE_END)
+            at = len(words)
+            words += line.split(" ")
+            words[at] = "\n" + words[at]
+        if "" in words or "\n" in words:  # white space side by side, or at an end
             return self.of(text)
-        out = []
-        for k, line in enumerate(text.split("\n")):
-            if k:
-                out.append(self.line_end)
-            words = line.split(" ")
-            if "" in words:  # white space side by side, or at an end
-                return self.of(text)
-            words[0] = "\n" + words[0]
-            got = list(map(self.new.get, words))
-            if None in got:
-                got = [self.word(w) if x is None else x for x, w in zip(got, words, strict=True)]
-            out += got
-        return b"".join(out)
+        got = list(map(self.new.get, words))
+        if None in got:
+            found = self.learn(list({w for x, w in zip(got, words, strict=True) if x is None}))
+            got = [found[w] if x is None else x for x, w in zip(got, words, strict=True)]
+        return b"".join(got)
+
+
+def splits_at_spaces(file: dict) -> bool:
+    """Whether a tokenizer file describes the byte-level BPE that words may be cut out for."""
+    pre, model = file.get("pre_tokenizer") or {}, file.get("model") or {}
+    plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+    bpe = model.get("type") == "BPE" and not model.get("dropout") and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix")
+    return bool(plain and bpe and not file.get("normalizer") and all(t["content"].startswith("<|") for t in file.get("added_tokens") or []))
 
 
+#: Stands for the line feed itself between the words of two lines.
+_LINE_END = "\n\n"
 #: White space other than spaces and line feeds.
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _ASCII_SPACES = [c for c in _SPACES if c.isascii()]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
+    """The one encoder of this process; reading files back lets it go."""
     return Encoder(path)
 
 
@@ -232,14 +256,22 @@ def write(docs: DataFrame, tokenizer: str, base: str | None = None, end_id: int
     spark = docs.sparkSession
     bounded_batches(spark)
     base = base or new_path(spark, "tokens")
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    order = F.col("doc_id").asc_nulls_first(), F.xxhash64("text")
+    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(*order).sortWithinPartitions(*order, "text")
     rows = ordered.mapInArrow(partial(_write, base=base, tokenizer=tokenizer, end_id=end_id, file_tokens=file_tokens), "part long, seq long, uri string, n_docs long, n_tokens long")
-    files = Saved(rows, "files", few_files=False).df  # files are named after their task
-    before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    return files.select("uri", "n_docs", "n_tokens", F.coalesce(F.sum("n_tokens").over(before), F.lit(0).cast("long")).alias("start"))
+    n = 1 + min(read_bytes(docs) >> 40, 1 << 10)  # a row for each file is little, and a task for each would make a table of crumbs
+    files = Saved(rows.repartition(n), "files", few_files=False).df
+    block = F.floor(F.col("part") / PARTS).alias("block")
+    in_order = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    blocks = files.groupBy(block).agg(F.sum("n_tokens").alias("n")).select("block", F.coalesce(F.sum("n").over(in_order), zero).alias("base"))
+    before = Window.partitionBy("block").orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.withColumn("block", block).join(blocks, "block")
+    return files.select("uri", "n_docs", "n_tokens", (F.col("base") + F.coalesce(F.sum("n_tokens").over(before), zero)).alias("start"))
 
 
 def _read(batches):
+    encoder.cache_clear()
     for b in batches:
         for uri, start in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             f = Reader(get(uri))
@@ -251,5 +283,5 @@ def _read(batches):
 
 def read_back(files: DataFrame) -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32)`` of every document, from the files."""
-    n = 4 * files.sparkSession.sparkContext.defaultParallelism
+    n = max(1, -(-files.count() // FILES_A_TASK))
     return files.select("uri", "start").repartition(n).mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
