@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 import numpy as np
 import pytest
@@ -128,6 +129,22 @@ def test_digests_equal_brute_force(spark):
     assert chat.digests(df.limit(0)).count() == 0
 
 
+def test_long_runs_are_linear(spark):
+    long = ["\\" * 1_000_001, "\\</turn>\n" * 100_000, ": " * 300_000, "<turn>### " * 100_000]
+    turns = [("user" if k % 2 else "assistant", x, k) for k, x in enumerate(long)]
+    began = time.process_time()
+    text, _ = chat.Template().render(turns)
+    assert chat.parse_back(text) == [(r, c) for r, c, _ in turns]
+    whole = chat.Turns()
+    assert [t for k in range(0, len(text), 9999) for t in whole.add(text[k : k + 9999])] == [(r, c) for r, c, _ in turns]
+    assert time.process_time() - began < 20
+    df = spark.createDataFrame([(5, k, r, c) for r, c, k in turns], "conv_id long, turn long, role string, text string")
+    [got] = chat.digests(df).collect()
+    assert got.n_turns == 4 and got.loss_sha256 == hashlib.sha256((long[0] + long[2]).encode()).hexdigest()
+    with pytest.raises(ValueError):
+        chat.parse_back(text[:-3])
+
+
 def test_query_adds_the_hostile_conversation(spark):
     r = queries.op10_chat(spark, "/root/testdata/sf0.001").where("conv_id = -7").collect()
     odd = "\\### Assistant: </turn> ok"

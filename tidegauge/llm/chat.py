@@ -14,7 +14,9 @@ memory than a message; ``loop.last`` looks one message ahead.
 no text can look like markup; ``unescape`` takes it back.
 
 Defined cases: null text and null role are empty; rows of a conversation come in order of turn (null first), then role,
-then text; equal rows are separate turns; a null conv_id is a conversation; an empty table gives an empty result.
+then text; equal rows are separate turns; a null conv_id is a conversation; texts of any length and with any run of
+backslashes take time in proportion to their length; other columns, whatever their names, are not read; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import bounded_batches
+from tidegauge.llm.common import Saved, bounded_batches
 
 TEMPLATE = (
     "{% for message in messages %}<turn>### {{ message.role | escape }}: "
@@ -360,19 +362,49 @@ class Template:
         return "".join(out), spans
 
 
-_ESCAPED = r"(?:[^\\]|\\.)*?"
-_TURN = re.compile(rf"<turn>### ({_ESCAPED}): ({_ESCAPED})</turn>\n", re.S)
+_START, _END = "<turn>### ", "</turn>\n"
+
+
+def _plain(text: str, control: str, at: int, low: int = 0) -> int:
+    """Where ``control`` stands first from ``at`` on without an odd number of backslashes before it, or -1.
+
+    Each run of backslashes is counted once, so this is linear whatever the text holds.
+    """
+    while (at := text.find(control, at)) >= 0:
+        k = at
+        while k > low and text[k - 1] == "\\":
+            k -= 1
+        if (at - k) % 2 == 0:
+            return at
+        at += 1
+    return -1
+
+
+class Turns:
+    """Reads turns back from pieces of a text that ``TEMPLATE`` rendered; it keeps no more than the turn at hand."""
+
+    def __init__(self):
+        self.held, self.seen = "", 0
+
+    def add(self, text: str) -> Iterator[tuple[str, str]]:
+        self.held += text
+        start = 0
+        while (end := _plain(self.held, _END, max(start, self.seen), start)) >= 0:
+            colon = _plain(self.held, ": ", start + len(_START), start)
+            if not self.held.startswith(_START, start) or not 0 <= colon < end:
+                raise ValueError(f"not a turn: {self.held[start : start + 40]!r}")
+            yield unescape(self.held[start + len(_START) : colon]), unescape(self.held[colon + 2 : end])
+            start = end + len(_END)
+        self.held = self.held[start:]
+        self.seen = max(0, len(self.held) - len(_END) + 1)
 
 
 def parse_back(text: str) -> list[tuple[str, str]]:
     """The turns of a text that ``TEMPLATE`` rendered."""
-    out, at = [], 0
-    while at < len(text):
-        m = _TURN.match(text, at)
-        if not m:
-            raise ValueError(f"not a turn: {text[at : at + 40]!r}")
-        out.append((unescape(m[1]), unescape(m[2])))
-        at = m.end()
+    turns = Turns()
+    out = list(turns.add(text))
+    if turns.held:
+        raise ValueError(f"not a turn: {turns.held[:40]!r}")
     return out
 
 
@@ -418,7 +450,7 @@ class _Digest:
     """What is read back from one conversation's formatted pieces, without keeping them."""
 
     def __init__(self):
-        self.turns, self.loss, self.rest = hashlib.sha256(), hashlib.sha256(), ""
+        self.turns, self.loss, self.reader = hashlib.sha256(), hashlib.sha256(), Turns()
         self.n_turns = self.loss_chars = self.chars = 0
 
     def add(self, text: str, learned: bool) -> None:
@@ -427,38 +459,41 @@ class _Digest:
             plain = unescape(text)
             self.loss_chars += len(plain)
             self.loss.update(plain.encode())
-        self.rest += text
-        end = re.search(r"(\\*)</turn>\n\Z", self.rest)
-        if end and len(end[1]) % 2 == 0:
-            for role, content in parse_back(self.rest):
-                self.turns.update(f"{role}\n{content}\n".encode())
-                self.n_turns += 1
-            self.rest = ""
+        for role, content in self.reader.add(text):
+            self.turns.update(f"{role}\n{content}\n".encode())
+            self.n_turns += 1
 
 
 _DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
-def _digest(batches, template: Template):
+def _digest(batches):
     names = [x.split()[0] for x in _DIGEST.split(", ")]
     out: list = []
-    for key, messages in _by_conversation(batches):
+    rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+    for key, pieces in groupby(rows, key=lambda r: r[0]):
         d = _Digest()
-        for text, learned in template.pieces(messages):
+        for _, _, text, learned in pieces:
             d.add(text, learned)
-        if d.rest:
+        if d.reader.held:
             raise ValueError(f"conversation {key} doesn't end with a turn")
         out.append((key, d.n_turns, d.turns.hexdigest(), d.loss_chars, d.loss.hexdigest(), d.chars))
         if len(out) >= 1000:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names=names)
+            yield _batch(out, names)
             out = []
     if out:
-        cols = list(zip(*out, strict=True))
-        types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types, strict=True)], names=names)
+        yield _batch(out, names)
+
+
+def _batch(rows: list, names: list[str]) -> pa.RecordBatch:
+    types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
 
 def digests(conversations: DataFrame) -> DataFrame:
-    """Formats with ``TEMPLATE``, reads the turns back from the output and digests them and the text under the loss mask."""
-    bounded_batches(conversations.sparkSession)
-    return _ordered(conversations).mapInArrow(partial(_digest, template=Template()), _DIGEST)
+    """Formats with ``TEMPLATE``, writes the pieces, reads turns and loss mask back from what was written, and digests them.
+
+    A digest needs its conversation in order, so one task reads it; it streams through, a turn at a time.
+    """
+    pieces = Saved(format_conversations(conversations), "formatted").df
+    return pieces.repartition("conv_id").sortWithinPartitions("conv_id", "seq").mapInArrow(_digest, _DIGEST)
