@@ -10,7 +10,9 @@ Items too short for the bound get the largest budget that it allows; items under
 The items go to the tasks in blocks of bounded size, one pass over the documents for each block.
 
 Defined cases: null and blank items and null texts match nothing; a null document id is kept as null; rows with equal
-ids are judged each by its own text; equal items are reported under each id; an empty table on either side gives no match.
+ids are judged each by its own text; equal items are reported under each id; of equally good occurrences the first counts;
+texts are searched whole, whatever their length; other columns, whatever their names, pass through or are not read; an empty
+table on either side gives no match.
 """
 
 from __future__ import annotations
@@ -70,7 +72,7 @@ class Items:
         m = np.array([len(t) for t in texts], np.int64)
         self.m = m
         self.edits = np.maximum(0, np.minimum((rate * m + 1e-9).astype(np.int64), (m - Q) // Q))
-        self.least = m - Q + 1 - self.edits * Q
+        self.least = np.maximum(1, m - Q + 1 - self.edits * Q)  # 1 for items under Q, which have no band
         self.step, self.overlap, self.per_step = (self.edits + 1).astype(np.int32), self.edits.astype(np.int32), 1.0 / (self.edits + 1)
         self.short = [k for k in range(len(rows)) if m[k] < Q]
         grams = [_grams(_codes(t)) for t in texts]
