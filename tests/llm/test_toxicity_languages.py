@@ -16,7 +16,7 @@ def test_terms_of_a_small_language_count(spark):
     docs = spark.createDataFrame([(i, f"{text(k)} n{k}") for k, i in enumerate(ids)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(k < 60)) for k, i in enumerate(ids)], "doc_id long, toxic int")
     model = toxicity.fit(docs, labels)
-    assert b"tonto" in model.number
+    assert b"tonto" in model.terms.number
     assert model.score("un tonto v1")[0] >= toxicity.THRESHOLD and model.score("eres muy bueno")[0] < toxicity.THRESHOLD
 
 

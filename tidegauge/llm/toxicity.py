@@ -63,6 +63,25 @@ def _ragged(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())
 
 
+class Terms:
+    """Words by number; pickled as one string of bytes, since very many small objects would take the driver's memory."""
+
+    def __init__(self, words: list[bytes]):
+        self.number = {w: j for j, w in enumerate(words)}
+
+    def __getstate__(self):
+        return b"\n".join(self.number)
+
+    def __setstate__(self, state):
+        self.__init__(state.split(b"\n") if state else [])
+
+    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """A text's terms by number and how often each occurs."""
+        count = Counter(map(self.number.get, words(text)))
+        count.pop(None, None)
+        return np.fromiter(count, np.int64, len(count)), np.fromiter(count.values(), float, len(count))
+
+
 class BlockMaxIndex:
     """Exact top-k cosine over sparse unit vectors ``(terms, weights)``."""
 
@@ -83,9 +102,21 @@ class BlockMaxIndex:
         rare = self.slot[term] < 0
         self.example, self.weight = ex[rare].astype(np.int32), weight[rare]
         self.first = np.searchsorted(term[rare], np.arange(n_terms + 1))
-        self.many = np.zeros((len(often), self.width))
-        self.many[self.slot[term[~rare]], ex[~rare]] = weight[~rare]
-        self.most = self.many.reshape(len(often), self.n_blocks, BLOCK).max(axis=2) if self.n else self.many
+        self.often = len(often), self.slot[term[~rare]], ex[~rare].astype(np.int32), weight[~rare]
+        self._spread()
+
+    def _spread(self) -> None:
+        n, slot, ex, weight = self.often
+        self.many = np.zeros((n, self.width))
+        self.many[slot, ex] = weight
+        self.most = self.many.reshape(n, self.n_blocks, BLOCK).max(axis=2) if self.n else self.many
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k not in ("many", "most")}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._spread()
 
     def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, skip: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query the places and cosines of its k nearest with a cosine over 0, nearest first, ties by place."""
@@ -131,8 +162,8 @@ class BlockMaxIndex:
 class Model:
     """Fitted on the driver from the bounded sample. ``examples`` are ``(id, label, terms, counts)`` with terms as numbers."""
 
-    def __init__(self, terms: list[bytes], frequency: np.ndarray, n_docs: int, examples: list[tuple[int, int, np.ndarray, np.ndarray]], totals: tuple[float, float], k: int):
-        self.number, self.k = {t: j for j, t in enumerate(terms)}, k
+    def __init__(self, terms: Terms, frequency: np.ndarray, n_docs: int, examples: list[tuple[int, int, np.ndarray, np.ndarray]], totals: tuple[float, float], k: int):
+        self.terms, self.k = terms, k
         y = np.array([e[1] for e in examples], np.int64)
         n = np.bincount(y, minlength=2)
         self.share = totals[1] / max(1.0, sum(totals))
@@ -140,7 +171,7 @@ class Model:
         if not n.min():
             self.empty = self.share
             return
-        held = [np.bincount(np.concatenate([e[2] for e in examples if e[1] == c]), minlength=len(terms)) for c in (0, 1)]
+        held = [np.bincount(np.concatenate([e[2] for e in examples if e[1] == c]), minlength=len(terms.number)) for c in (0, 1)]
         self.scale = (np.log((1 + n_docs) / (1 + frequency)) + 1) * np.sqrt(1 + g2(held[1], held[0], n[1], n[0]))
         self.prior = np.array([totals[c] / n[c] for c in (0, 1)])
         vectors = [self.vector(t, c) for _, _, t, c in examples]
@@ -149,12 +180,12 @@ class Model:
         kept = [(e[0], e[1], v) for e, v in zip(examples, vectors, strict=True) if len(v[0])]
         kept.sort(key=lambda x: (int(x[2][0][np.argmax(x[2][1])]), x[1], x[0]))
         self.ids, self.y = np.array([x[0] for x in kept], np.int64), np.array([x[1] for x in kept], np.int64)
-        self.index = BlockMaxIndex([x[2] for x in kept], len(terms))
+        self.index = BlockMaxIndex([x[2] for x in kept], len(terms.number))
         near = self.index.search([x[2] for x in kept], k, np.arange(len(kept)))
         self.knots = isotonic(np.array([self.vote(*x) for x in near]), self.y.astype(float), self.prior[self.y])
 
     def vector(self, term: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        w = (1 + np.log(count)) * self.scale[term]
+        w = (1 + np.log(count.astype(float))) * self.scale[term]
         return term, w / np.linalg.norm(w) if len(w) else w
 
     def vote(self, at: np.ndarray, cosine: np.ndarray) -> float:
@@ -165,7 +196,7 @@ class Model:
         if self.index is None:
             return [(self.empty, [], [])] * len(texts)
         out: list = [(self.empty, [], [])] * len(texts)
-        counted = [numbers(t, self.number) for t in texts]
+        counted = [self.terms.of(t) for t in texts]
         some = [j for j, (term, _) in enumerate(counted) if len(term)]
         near = self.index.search([self.vector(*counted[j]) for j in some], self.k)
         for j, (at, cosine) in zip(some, near, strict=True):
@@ -184,13 +215,6 @@ def g2(a: np.ndarray, b: np.ndarray, n1: float, n0: float) -> np.ndarray:
         return np.maximum(0, 2 * (part(a, n1, share) + part(b, n0, share) + part(n1 - a, n1, 1 - share) + part(n0 - b, n0, 1 - share)))
 
 
-def numbers(text: str | None, number: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """A text's terms by number and how often each occurs."""
-    count = Counter(map(number.get, words(text)))
-    count.pop(None, None)
-    return np.fromiter(count, np.int64, len(count)), np.fromiter(count.values(), float, len(count))
-
-
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Knots of the non-decreasing fit by pooling neighbours that violate the order."""
     order = np.argsort(x, kind="stable")
@@ -215,12 +239,13 @@ def _counted(batches):
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["doc_id", "y", "words", "counts"])
 
 
-def _frequencies(batches, number):
-    n, seen = 0, np.zeros(len(number.value), np.int64)
+def _frequencies(batches, terms):
+    number = terms.value.number
+    n, seen = 0, np.zeros(len(number), np.int64)
     for b in batches:
         for text in b.column(0):
             n += 1
-            at = set(map(number.value.get, set(words(text.as_py()))))
+            at = set(map(number.get, set(words(text.as_py()))))
             at.discard(None)
             seen[list(at)] += 1
     some = np.flatnonzero(seen)
@@ -239,16 +264,18 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k: int =
     once = sample.groupBy("y", F.sha2("text", 256).alias("h")).agg(F.first("text").alias("text"), F.min("doc_id").alias("doc_id"))
     rows = once.select("doc_id", "y", "text").mapInArrow(_counted, "doc_id long, y int, words binary, counts binary").toArrow()
     held = sorted(zip(*(c.to_pylist() for c in rows.columns), strict=True))
-    terms = sorted({w for r in held for w in r[2].split(b"\n") if w})
-    number = {w: j for j, w in enumerate(terms)}
-    frequency, n_docs = np.zeros(len(terms)), 0
-    if terms:
-        counted = docs.select("text").mapInArrow(partial(_frequencies, number=spark.sparkContext.broadcast(number)), "term long, n long")
+    del rows
+    terms = Terms(sorted({w for r in held for w in r[2].split(b"\n") if w}))
+    frequency, n_docs = np.zeros(len(terms.number)), 0
+    if terms.number:
+        shared = spark.sparkContext.broadcast(terms)
+        counted = docs.select("text").mapInArrow(partial(_frequencies, terms=shared), "term long, n long")
         found = counted.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-        for at, n in ((b.column("term").to_numpy(), b.column("n").to_numpy()) for b in found.to_batches()):
-            frequency[at[at >= 0]] = n[at >= 0]
-            n_docs += int(n[at < 0].sum())
-    examples = [(i, y, np.array([number[w] for w in ws.split(b"\n") if w], np.int64), np.frombuffer(c, "<i4").astype(float)) for i, y, ws, c in held]
+        at, n = (found[c].to_numpy() for c in ("term", "n"))
+        frequency[at[at >= 0]] = n[at >= 0]
+        n_docs = int(n[at < 0].sum())
+    examples = [(i, y, np.array([terms.number[w] for w in ws.split(b"\n") if w], np.int32), np.frombuffer(c, "<i4").astype(np.float32)) for i, y, ws, c in held]
+    del held
     return Model(terms, frequency, n_docs, examples, (float(totals.get(0, 0)), float(totals.get(1, 0))), k)
 
 
