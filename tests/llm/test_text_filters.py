@@ -1,6 +1,8 @@
 import random
 import re
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -181,6 +183,29 @@ def test_quality_against_labels(spark):
     assert auc > 0.95 and (got.keep[y] == 1).mean() > 0.95 and (got.keep[~y] == 0).mean() > 0.8
 
 
+def patterns(bad, silent=None):
+    said = np.where(bad, quality.BAD, quality.GOOD)
+    if silent is not None:
+        said = np.where(silent, quality.NONE, said)
+    return Counter((said * 3 ** np.arange(quality.N_LABELLERS)).sum(axis=1).tolist()), said
+
+
+def test_label_model_finds_known_accuracies():
+    """Independent labellers with known accuracies and silences; and the same where three of them are one."""
+    rng = np.random.default_rng(1)
+    n, m = 30_000, quality.N_LABELLERS
+    truth = rng.random(n) < 0.7
+    sees, errs, rest = rng.uniform(0.5, 0.95, m), rng.uniform(0.01, 0.15, m), rng.uniform(0, 0.5, m)
+    bad, silent = rng.random((n, m)) < np.where(truth[:, None], errs, sees), rng.random((n, m)) < rest
+    for copies in ([], [1, 2]):
+        bad[:, copies], silent[:, copies] = bad[:, :1], silent[:, :1]
+        counts, said = patterns(bad, silent)
+        post, accuracy = quality.label_model(counts)
+        assert np.abs(accuracy[3:, 0] - sees[3:]).max() < 0.02 and np.abs(accuracy[3:, 1] - (1 - errs[3:])).max() < 0.01
+        p = np.array([post[quality._pattern(tuple(v))] for v in said.tolist()])
+        assert ((p >= 0.5) == truth).mean() > 0.985 and abs(p.mean() - truth.mean()) < 0.01
+
+
 def test_label_model_keeps_kinds_of_faults_apart():
     """Two kinds of bad texts, each seen by its own two labellers, and a labeller that fires at random."""
     rng = np.random.default_rng(0)
@@ -189,18 +214,66 @@ def test_label_model_keeps_kinds_of_faults_apart():
     for k, pair in ((1, (0, 1)), (2, (2, 3))):
         fires[:, pair] |= (kind == k)[:, None] & (rng.random((20000, 2)) < 0.9)
     fires[:, 5] |= rng.random(20000) < 0.02
-    counts = {}
-    for row in fires:
-        p = quality._pattern(tuple(quality.BAD if x else quality.GOOD for x in row))
-        counts[p] = counts.get(p, 0) + 1
-    post, accuracy = quality.label_model(counts)
+    post, accuracy = quality.label_model(patterns(fires)[0])
     of = lambda *bad: post[quality._pattern(tuple(quality.BAD if k in bad else quality.GOOD for k in range(quality.N_LABELLERS)))]
     assert of() > 0.95 and of(0, 1) < 0.05 and of(2, 3) < 0.05 and of(2) < 0.3 and of(5) > 0.7
     assert accuracy[:, 1].min() > 0.97 and accuracy[0, 0] > 0.4 > accuracy[5, 0]
 
 
-def test_quality_odd_inputs(spark):
-    df = docs_of(spark, [(1, None), (1, ""), (None, "x"), (2, " \n"), (3, "word " * 5000), (3, "word " * 5000)])
+def plain_quality(texts):
+    """The whole query without Spark: votes, posteriors, the distinct texts as examples, the scorer."""
+    post, _ = quality.label_model(Counter(quality._pattern(quality.votes(t)) for t in texts))
+    rows = []
+    for t in {t or "" for t in texts}:
+        if len(t) <= quality.EXAMPLE_CHARS:
+            at, x = quality.features(t)
+            rows.append((quality._pattern(quality.votes(t)), at.astype("<i2").tobytes(), x.astype("<f4")))
+    rows.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))
+    count, target = len(rows), np.array([post[r[0]] for r in rows])
+    dense = np.zeros((count, 1 << quality.BITS))
+    for k, (_, at, x) in enumerate(rows):
+        dense[k, np.frombuffer(at, "<i2")] = x
+    used = np.flatnonzero(dense.any(axis=0))
+    dense = dense[:, used]
+    w, b, m, s = np.zeros(len(used)), 0.0, np.zeros(len(used) + 1), np.zeros(len(used) + 1)
+    weigh = target / target.sum() + (1 - target) / (1 - target).sum()
+    for t in range(1, quality.STEPS + 1):
+        d = weigh * (1 / (1 + np.exp(-(dense @ w + b))) - target)
+        g = np.append(dense.T @ d + 1e-5 * w, d.sum() + 1e-5 * b)
+        m, s = 0.9 * m + 0.1 * g, 0.999 * s + 0.001 * g * g
+        step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.999**t)) + 1e-9)
+        w, b = w - step[:-1], b - step[-1]
+    place = {int(a): k for k, a in enumerate(used)}
+    out = []
+    for t in texts:
+        at, x = quality.features(t)
+        out.append(1 / (1 + np.exp(-(sum(w[place[a]] * v for a, v in zip(at.tolist(), x.tolist(), strict=True) if a in place) + b))))
+    return out
+
+
+def test_quality_query_equals_brute_force(spark):
+    d = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in table(spark, d, "documents").collect()}
+    want = dict(zip(texts, plain_quality(list(texts.values())), strict=True))
+    got = {r.doc_id: r.score for r in queries.op9_quality(spark, d).collect()}
+    assert got.keys() == want.keys() and max(abs(got[i] - want[i]) for i in want) < 1e-6
+
+
+def test_quality_on_odd_inputs(spark):
+    loop = "the same phrase again and " * 2_000
+    rows = [(None, None), (None, None), (1, ""), (2, " \n"), (3, "word " * 200_000), (4, loop), (4, "x"), (5, loop)] + [(k, f"A plain sentence about number {k}, with several words in it. " * 6) for k in range(10, 60)]
+    df = spark.createDataFrame([(i, t, 0.1, b"", 1) for i, t in rows], "doc_id long, text string, score double, h binary, pattern int")
     got = quality.score(df).collect()
-    assert len(got) == 6 and all(0 <= r.score <= 1 for r in got)
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    assert len({r.score for r in got if r.doc_id in (1, 2)}) == 1
+    assert quality.votes(loop)[7] == quality.votes(loop[:5000])[7] == quality.BAD
     assert quality.score(df.limit(0)).count() == 0
+
+
+def test_repeated_texts_train_once(spark):
+    """At every size of the sample the same distinct texts train, however often they repeat."""
+    rows = [(k, f"Some text number {k}. It has words, and an end. " * 3 if k % 3 else f"###$$ {k} %%%&&& !!! @@@ " * 9) for k in range(90)]
+    more = rows + [(1000 + k, rows[0][1]) for k in range(400)]
+    for few in (20, 1000):
+        a = quality.score(spark.createDataFrame(more, "doc_id long, text string"), few)
+        assert {r.score > 0.5 for r in a.where("doc_id < 90 and doc_id % 3 = 0").collect()} == {False}

@@ -1,13 +1,18 @@
 """Quality from weak labels: heuristic labellers, their accuracies by expectation-maximisation, a hashed linear scorer.
 
 Each labeller looks at one trait of a text and votes good, bad or not at all. Over all documents the votes' patterns are
-counted (at most 3 to the number of labellers); on these counts expectation-maximisation fits the share of good texts and
-each labeller's vote probabilities for good and bad texts, with no labels at hand. The posterior of each pattern then
-labels a sample of at most ``SAMPLE`` documents (least text hashes first), which trains a logistic scorer on hashed
-features: the shapes of words, alone and in pairs, by their share of the text. The scorer rates every document.
+counted (at most 3 to the number of labellers). On these counts expectation-maximisation fits the share of good texts and,
+for each labeller, how often it is right among the good and among the bad texts that it votes on; the labellers overlap on
+the texts, and that alone tells who is right, with no labels at hand. Silence is no evidence. Labellers that also err
+together see the same thing twice: their votes count less, by how far their errors agree in both classes.
+
+The accuracies give each pattern its posterior, which labels a sample of at most ``SAMPLE`` distinct texts of at most
+``EXAMPLE_CHARS`` characters (least text hashes first, each text once at every size of the input). They train a logistic
+scorer on hashed features: the shapes of words, alone and in pairs, by their share of the text. It rates every document.
 
 Defined cases: a null text is empty; an empty or blank text gets one vote (bad, for its length) and the scorer's constant;
-equal texts score alike; an empty table gives an empty result. Labels, language, source and id are never looked at.
+texts of any length are judged whole; equal texts score alike; other columns, whatever their names, are not read; an empty
+table gives an empty result. Labels, language, source and id are never looked at.
 """
 
 from __future__ import annotations
@@ -26,8 +31,12 @@ from pyspark.sql import functions as F
 from tidegauge.llm.common import bounded_batches
 
 SAMPLE = 20_000
+#: Longer texts are scored, but don't train, which bounds the features that the driver collects.
+EXAMPLE_CHARS = 1 << 14
+#: Words in a block whose distinct words are counted.
+DISTINCT_BLOCK = 1000
 BITS = 14
-ROUNDS = 100
+ROUNDS = 200
 STEPS = 150
 GOOD, BAD, NONE = 1, 0, 2
 _LETTERS, _UPPER = re.compile(r"[^\W\d_]+"), re.compile(r"[A-ZÀ-ÖØ-Þ]+")
@@ -43,6 +52,11 @@ def _chars(runs: re.Pattern, text: str) -> int:
     return sum(map(len, runs.findall(text)))
 
 
+def _distinct(words: list[str]) -> int:
+    """Distinct words, block by block, so that the share of a long ordinary text doesn't fall with its length."""
+    return sum(len(set(words[k : k + DISTINCT_BLOCK])) for k in range(0, len(words), DISTINCT_BLOCK))
+
+
 def _vote(value: float, good, bad) -> int:
     return BAD if bad(value) else GOOD if good(value) else NONE
 
@@ -66,7 +80,7 @@ def votes(text: str | None) -> tuple[int, ...]:
         _vote(text.count("|") / n, lambda x: x == 0, lambda x: x > 0.1),
         _vote(len(text) / n, lambda x: 4 <= x <= 12, lambda x: not 3 <= x <= 16),
         _vote(ends / n, lambda x: 0.02 <= x <= 0.35, lambda x: n >= 30 and not 0.005 <= x <= 0.6),
-        _vote(len(set(words)) / n if 50 <= n <= 2000 else 0.45, lambda x: x > 0.5, lambda x: x < 0.3),
+        _vote(_distinct(words) / n if n >= 50 else 0.45, lambda x: x > 0.5, lambda x: x < 0.3),
         _vote(len(set(lines)) / len(lines) if len(lines) > 3 else 0.75, lambda x: x > 0.9, lambda x: x < 0.6),
         _vote(sum(map(eq, words, words[1:])) / n, lambda x: x < 0.05, lambda x: x > 0.2),
         _vote(_chars(_PLAIN, text) / sum(map(len, words)), lambda x: x > 0.95, lambda x: x < 0.92),
@@ -104,31 +118,37 @@ def _patterns(batches):
 
 
 def label_model(counts: dict[int, int], rounds: int = ROUNDS) -> tuple[dict[int, float], np.ndarray]:
-    """Each pattern's probability of a good text, and every labeller's accuracies: of its bad votes among bad texts, and of
-    its silence among good ones.
+    """Each pattern's probability of a good text, and for every labeller how often it is right about bad and good texts.
 
-    Latent classes: the good texts and one kind of bad texts for each labeller, so that labellers who see the same kind of
-    fault don't outvote the others. Expectation-maximisation starts from texts with no bad vote as good ones, and from each
-    labeller's bad votes as its kind, and fits the classes' shares and each labeller's bad votes in each. How far a kind
-    counts as bad follows from overlap: the share of its texts on which a second labeller agrees, twice that and at most 1.
+    Two latent classes. A labeller that votes says "bad" with one probability in each class; expectation-maximisation fits
+    these and the classes' shares, from a start where texts with no bad vote are probably good, with two or more probably
+    bad, and with one undecided. The posterior adds up the votes' log-likelihood ratios. A labeller counts 1 / (1 + sum of
+    its error correlations with the others), taken where the errors agree in both classes (faults of one kind agree among
+    bad texts only), scaled so that the labellers count 1 on average.
     """
     pattern = np.array(sorted(counts), np.int64)
     n = np.array([counts[p] for p in pattern.tolist()], float)
-    bad = np.stack([pattern // 3**k % 3 == BAD for k in range(N_LABELLERS)], axis=1).astype(float)
-    post = np.concatenate([(bad.sum(axis=1, keepdims=True) == 0), bad], axis=1) + 1e-3
-    post /= post.sum(axis=1, keepdims=True)
+    said = np.stack([pattern // 3**k % 3 for k in range(N_LABELLERS)], axis=1)
+    bad, good = (said == BAD).astype(float), (said == GOOD).astype(float)
+    voted = bad + good
+    post = np.choose(np.minimum(bad.sum(axis=1), 2).astype(int), [0.95, 0.5, 0.05])
     for _ in range(rounds):
-        mass = n @ post
-        rate = np.clip(((n[:, None] * post).T @ bad + 0.01) / (mass[:, None] + 1), 1e-4, 1 - 1e-4)
-        log = np.log(mass / n.sum() + 1e-12) + bad @ np.log(rate).T + (1 - bad) @ np.log(1 - rate).T
-        post = np.exp(log - log.max(axis=1, keepdims=True))
-        post /= post.sum(axis=1, keepdims=True)
-    agreed = (n * (bad.sum(axis=1) > 1)) @ post / np.maximum(n @ post, 1e-9)
-    weight = np.minimum(1, 2 * agreed)
-    weight[0] = 0
-    worse = post @ weight
-    accuracy = np.stack([(n * worse) @ bad / max(n @ worse, 1e-9), (n * (1 - worse)) @ (1 - bad) / max(n @ (1 - worse), 1e-9)], axis=1)
-    return dict(zip(pattern.tolist(), (1 - worse).tolist(), strict=True)), accuracy
+        rate, shared = [], np.ones((N_LABELLERS, N_LABELLERS))
+        for mass, usual in ((n * (1 - post), 0.7), (n * post, 0.05)):
+            rate.append((mass @ bad + usual) / (mass @ voted + 1))
+            off = voted * (bad - rate[-1])
+            together = (off * mass[:, None]).T @ off
+            spread = np.sqrt(np.diag(together))
+            shared = np.minimum(shared, np.clip(together / (np.outer(spread, spread) + 5), 0, 1))
+        np.fill_diagonal(shared, 0)
+        weight = 1 / (1 + shared.sum(axis=1))
+        weight /= weight.mean()
+        share = (n @ post + 1) / (n.sum() + 2)
+        log = np.log(share / (1 - share)) + bad @ (weight * np.log(rate[1] / rate[0])) + good @ (weight * np.log((1 - rate[1]) / (1 - rate[0])))
+        before, post = post, 1 / (1 + np.exp(-np.clip(log, -30, 30)))
+        if np.abs(post - before).max() < 1e-9:
+            break
+    return dict(zip(pattern.tolist(), post.tolist(), strict=True)), np.stack([rate[0], 1 - rate[1]], axis=1)
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, steps: int = STEPS) -> tuple[np.ndarray, float]:
@@ -152,34 +172,32 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, steps:
 def _sampled(batches):
     for b in batches:
         got = [(_pattern(votes(t.as_py())), *features(t.as_py())) for t in b.column(0)]
-        yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.list_(pa.int64())), pa.array([g[2] for g in got], pa.list_(pa.float64()))], names=["pattern", "at", "x"])
+        cols = [pa.array([g[k].astype(t).tobytes() for g in got], pa.binary()) for k, t in ((1, "<i2"), (2, "<f4"))]
+        yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), *cols], names=["pattern", "at", "x"])
 
 
 def _scored(batches, model):
-    w, b0, post = model.value
+    w, b0 = model.value
     for b in batches:
-        score, weak = [], []
+        score = []
         for t in b.column(1):
             at, x = features(t.as_py())
             score.append(float(1 / (1 + np.exp(-np.clip(w[at] @ x + b0, -30, 30)))))
-            weak.append(post.get(_pattern(votes(t.as_py())), 0.5))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score, pa.float64()), pa.array(weak, pa.float64())], names=["doc_id", "score", "weak_score"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score, pa.float64())], names=["doc_id", "score"])
 
 
 def score(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``(doc_id, score, weak_score)``: the scorer's and the label model's probability of a good text."""
+    """``(doc_id, score)``: the scorer's probability of a good text."""
     spark = docs.sparkSession
     bounded_batches(spark)
     counts = docs.select("text").mapInArrow(_patterns, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).collect()
-    post, _ = label_model({r.pattern: r.n for r in counts}) if counts else ({}, None)
-    total = sum(r.n for r in counts)
-    h = F.xxhash64(F.coalesce("text", F.lit("")))
-    few = docs.select("text", h.alias("h"))
-    if total > sample:
-        cut = few.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-        few = few.where(F.col("h") <= cut).dropDuplicates(["h"])
-    rows = few.select("text").mapInArrow(_sampled, "pattern long, at array<long>, x array<double>").collect()
-    rows.sort(key=lambda r: (r.pattern, r.at, r.x))
-    w, b0 = train([(np.array(r.at, np.int64), np.array(r.x)) for r in rows], np.array([post[r.pattern] for r in rows]))
-    model = spark.sparkContext.broadcast((w, b0, post))
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(partial(_scored, model=model), "doc_id long, score double, weak_score double")
+    post = label_model({r.pattern: r.n for r in counts})[0] if counts else {}
+    few = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text")).where(F.length("text") <= EXAMPLE_CHARS)
+    last = few.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    few = few.where(F.col("h") <= last).dropDuplicates(["h"]) if last is not None else few.limit(0)
+    rows = few.select("text").mapInArrow(_sampled, "pattern long, at binary, x binary").toArrow()
+    rows = sorted(zip(*(c.to_pylist() for c in rows.columns), strict=True))
+    examples = [(np.frombuffer(at, "<i2").astype(np.int64), np.frombuffer(x, "<f4").astype(float)) for _, at, x in rows]
+    w, b0 = train(examples, np.array([post[p] for p, _, _ in rows]))
+    model = spark.sparkContext.broadcast((w, b0))
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(partial(_scored, model=model), "doc_id long, score double")
