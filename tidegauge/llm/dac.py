@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import os
 import posixpath
+import re
 import uuid
 import zlib
 from functools import lru_cache, partial
@@ -37,18 +38,17 @@ FILE_TOKENS = 1 << 22
 #: Files that a task reads back, and writing tasks whose files are numbered together.
 FILES_A_TASK, PARTS = 8, 1024
 END_ID = 0
-_STOPS = frozenset(".,!?;:")
 #: Bytes of words and ids, about, that an encoder remembers in each of its two generations, and what an entry costs besides.
-CACHE_BYTES, ENTRY_BYTES = 40 << 20, 130
+CACHE_BYTES, ENTRY_BYTES = 64 << 20, 130
 
 
 class Encoder:
     """Whole-text ids of a tokenizer, equal to ``tokenizer.encode(text, add_special_tokens=False).ids``.
 
     A byte-level BPE with the usual pattern never joins across a space or line break that stands alone between two other
-    characters, so with such a tokenizer a text without runs of white space is encoded word by word, and the ids of recent
-    words are remembered as bytes. Any other text goes to the tokenizer whole, and so does every text where the file names
-    another normalizer, pre-tokenizer or model.
+    characters, nor between a letter or digit and a mark that ends a word; so with such a tokenizer a text without runs of
+    white space is encoded word by word, and the ids of recent words are remembered as bytes. Any other text goes to the
+    tokenizer whole, and so does every text where the file names another normalizer, pre-tokenizer or model.
     """
 
     def __init__(self, path: str):
@@ -57,8 +57,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_words = splits_at_spaces(json.loads(self.tokenizer.to_str()))
-        self.line_end = self.of("\n")
-        self.new: dict[str, bytes] = {_LINE_END: self.line_end}
+        self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.size = 0
 
@@ -66,22 +65,16 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, words: list[str]) -> dict[str, bytes]:
-        """The ids of a space and each word, or of w[1:] alone where w starts with a line feed; no other white space."""
+        """The ids of a space and each word, or of w[1:] alone where w starts with the sign for no space."""
         found = {w: self.old[w] for w in words if w in self.old}
-        stem = {w: w[:-1] if w[-1] in _STOPS and w[-2:-1].isalpha() else w for w in words if w not in found}
-        ask = {s for s in stem.values() if s not in self.new and s not in self.old and s not in found}
-        ask |= {"\n" + w[-1] for w, s in stem.items() if s is not w and "\n" + w[-1] not in self.new}
-        got = self.tokenizer.encode_batch_fast([s[1:] if s[0] == "\n" else " " + s for s in ask], add_special_tokens=False)
-        for s, x in zip(ask, got, strict=True):
-            found[s] = np.array(x.ids, "<u4").tobytes()
-        known = lambda s: found.get(s) or self.new.get(s) or self.old[s]
-        for w, s in stem.items():
-            if s is not w:
-                found[w] = known(s) + known("\n" + w[-1])
+        ask = [w for w in words if w not in found]
+        got = self.tokenizer.encode_batch_fast([w[1:] if w[0] == _NO_SPACE else " " + w for w in ask], add_special_tokens=False)
+        for w, x in zip(ask, got, strict=True):
+            found[w] = np.array(x.ids, "<u4").tobytes()
         short = {w: x for w, x in found.items() if len(w) < 64}
         self.size += sum(map(len, short)) + sum(map(len, short.values())) + ENTRY_BYTES * len(short)
         if self.size > CACHE_BYTES:
-            self.old, self.new, self.size = self.new, {_LINE_END: self.line_end}, 0
+            self.old, self.new, self.size = self.new, {}, 0
         self.new.update(short)
         return found
 
@@ -90,14 +83,9 @@ class Encoder:
             return b""
         if not self.by_words or "<|" in text or any(c in text for c in (_ASCII_SPACES if text.isascii() else _SPACES)):
             return self.of(text)
-        words = []
-        for line in text.split("\n"):
-            if words:
-                words.append(_LINE_END)
-            at = len(words)
-            words += line.split(" ")
-            words[at] = "\n" + words[at]
-        if "" in words or "\n" in words:  # white space side by side, or at an end
+        marked = _MARK.sub(rf" {_NO_SPACE}\1", text).replace("\n", f" {_NO_SPACE}\n {_NO_SPACE}")
+        words = (_NO_SPACE + marked).split(" ")
+        if "" in words or _NO_SPACE in words:  # white space side by side, or at an end
             return self.of(text)
         got = list(map(self.new.get, words))
         if None in got:
@@ -114,8 +102,10 @@ def splits_at_spaces(file: dict) -> bool:
     return bool(plain and bpe and not file.get("normalizer") and all(t["content"].startswith("<|") for t in file.get("added_tokens") or []))
 
 
-#: Stands for the line feed itself between the words of two lines.
-_LINE_END = "\n\n"
+#: Before a word that no space precedes; texts with this character itself are not cut.
+_NO_SPACE = "\r"
+#: A mark that ends a word, after a plain letter or digit.
+_MARK = re.compile(r"(?<=[0-9A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F])([.,!?;:])(?=[ \n]|\Z)")
 #: White space other than spaces and line feeds.
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _ASCII_SPACES = [c for c in _SPACES if c.isascii()]
