@@ -86,11 +86,12 @@ class Saved:
     each of four slots on every core), however large the input is.
     """
 
-    def __init__(self, df: DataFrame, kind: str = "table", few_files: bool = True):
+    def __init__(self, df: DataFrame, kind: str = "table", few_files: bool = True, behind: int = 0):
+        """``behind``: bytes that the rows stand for, where they are far fewer than what the tasks work on."""
         self.spark = df.sparkSession
         self.path = new_path(self.spark, kind)
         if few_files:
-            df = df.coalesce(min(1 << 30, max(4 * self.spark.sparkContext.defaultParallelism, -(-read_bytes(df) // SAVE_BYTES))))
+            df = df.coalesce(min(1 << 30, max(4 * self.spark.sparkContext.defaultParallelism, -(-max(read_bytes(df), behind) // SAVE_BYTES))))
         df.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 

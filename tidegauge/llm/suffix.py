@@ -17,11 +17,13 @@ strings have equal anchors at equal places, so only anchors are sorted: about on
 Anchors found in more than ``HOT`` chunks are not sent as suffixes with all that surrounds them: each of their strings is
 dealt by its own bytes, so a passage that very many documents share spreads over all partitions.
 
-Chunks, buckets and partitions have bounded size whatever the input: their number follows the total of bytes. A chunk
-holds at least one whole document.
+Chunks, buckets and partitions have bounded size: their number follows the total of bytes, up to ``MOST``. A chunk holds at
+least one whole document. Not all of an answer comes through the merge: step 2 drops anchors by hashes before anything is
+sorted, and the bytes before the anchors are sorted within their partition in step 4; both are exact.
 
-Defined cases: null text is empty; a row with a null id neither removes nor loses anything; equal ids don't affect each
-other (a smaller id is asked for); repeated rows are judged alike; an empty table gives an empty result.
+Defined cases: null text is empty; a text of any length is judged whole; a row with a null id neither removes nor loses
+anything; equal ids don't affect each other (a smaller id is asked for); repeated rows are judged alike; other columns,
+whatever their names, are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -46,6 +48,9 @@ CHUNK_BYTES = 1 << 21
 BUCKET_BYTES = 1 << 24
 PARTITION_BYTES = 1 << 25
 CHUNKS_A_TASK = 8
+#: Buckets and partitions at least, so that a small input is dealt out too, and at most, as far as the hash tells them apart:
+#: with 2^24 they grow over the sizes above from 281 TB on.
+LEAST, MOST = 32, 1 << 24
 HOT = 2048
 RECORD = LENGTH + SPAN - 1 + 3
 NO_DOC = np.iinfo(np.int64).max
@@ -132,7 +137,7 @@ def anchors(chunk: Chunk, block: int = 1 << 20) -> tuple[np.ndarray, ...]:
 
 
 def _filter_keys(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    return ((h >> np.uint64(44)) * np.uint64(buckets) >> np.uint64(20)).astype(np.int64), ((h >> np.uint64(12)) & np.uint64(0xFFFFFFFF)).astype("<u4")
+    return ((h >> np.uint64(24)) * np.uint64(buckets) >> np.uint64(40)).astype(np.int64), (h & np.uint64(0xFFFFFFFF)).astype("<u4")
 
 
 def _by_bucket(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,7 +147,11 @@ def _by_bucket(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.
     return (both >> np.uint64(32)).astype(np.int64), (both & np.uint64(0xFFFFFFFF)).astype("<u4"), inverse
 
 
-_SENT = pa.schema([("uri", pa.string()), ("bucket", pa.int64()), ("data", pa.binary())])
+_SENT = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("data", pa.binary())])
+
+
+def _uri(base: str, chunk: int) -> str:
+    return f"{base}/chunk-{chunk >> 32:08d}-{chunk & 0xFFFFFFFF:08d}"
 
 
 def _pack(batches, base: str, buckets: int):
@@ -150,9 +159,9 @@ def _pack(batches, base: str, buckets: int):
     part, seq, ids, texts, size = TaskContext.get().partitionId(), 0, [], [], 0
 
     def flush():
-        uri = f"{base}/chunk-{part:06d}-{seq:06d}"
+        number = part << 32 | seq
         chunk = Chunk(np.array([i or 0 for i in ids], "<i8"), np.array([i is not None for i in ids], np.uint8), np.array([len(t) for t in texts], "<i8"), b"".join(texts))
-        _put(uri, chunk.dump())
+        _put(_uri(base, number), chunk.dump())
         _, _, _, doc, h = anchors(chunk)
         bucket, key, inverse = _by_bucket(h, buckets)
         own = chunk.ids[doc]
@@ -162,7 +171,7 @@ def _pack(batches, base: str, buckets: int):
         several = (low != high).astype(np.uint8)
         cuts = np.searchsorted(bucket, np.arange(buckets + 1))
         rows = [(b, key[x:y].tobytes() + several[x:y].tobytes()) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if y > x] or [(0, b"")]
-        return pa.RecordBatch.from_arrays([pa.array([uri] * len(rows)), pa.array([b for b, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], schema=_SENT)
+        return pa.RecordBatch.from_arrays([pa.array([number] * len(rows), pa.int64()), pa.array([b for b, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], schema=_SENT)
 
     for b in batches:
         for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
@@ -189,7 +198,7 @@ def _shared(table: pa.Table, hot: int) -> pa.Table:
     kind = np.where(count > hot, 2, (count > 1) | more).astype(np.uint8)[inverse]
     cuts = np.cumsum([0, *map(len, keys)])
     out = [zstandard.compress(kind[a:b].tobytes(), 1) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    return pa.Table.from_arrays([table["uri"], table["bucket"], pa.array(out, pa.binary())], schema=_SENT)
+    return pa.Table.from_arrays([table["chunk"], table["bucket"], pa.array(out, pa.binary())], schema=_SENT)
 
 
 class Records:
@@ -233,7 +242,7 @@ class Records:
         return ((h >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
 
 
-_RUNS = pa.schema([("part", pa.int64()), ("uri", pa.string()), ("run", pa.binary())])
+_RUNS = pa.schema([("part", pa.int64()), ("chunk", pa.int64()), ("run", pa.binary())])
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -335,13 +344,13 @@ def merge(runs: list) -> tuple[np.ndarray, np.ndarray]:
     return np.array(order, np.int64), np.array(prefixes, np.int64)
 
 
-def _send(key, table: pa.Table, buckets: int, parts: int) -> pa.Table:
+def _send(key, table: pa.Table, base: str, buckets: int, parts: int) -> pa.Table:
     """Step 3, for one chunk."""
-    uri = key[0].as_py()
-    r = Records(uri, table, buckets)
+    chunk = key[0].as_py()
+    r = Records(_uri(base, chunk), table, buckets)
     part = r.partition(parts)
     out = [(int(q), encode_run(r.rows[part == q], r.least[part == q])) for q in np.unique(part)]
-    return pa.Table.from_arrays([pa.array([q for q, _ in out], pa.int64()), pa.array([uri] * len(out), pa.string()), pa.array([x for _, x in out], pa.binary())], schema=_RUNS)
+    return pa.Table.from_arrays([pa.array([q for q, _ in out], pa.int64()), pa.array([chunk] * len(out), pa.int64()), pa.array([x for _, x in out], pa.binary())], schema=_RUNS)
 
 
 def least_documents(lcp: np.ndarray, other: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -380,15 +389,15 @@ def _merge(table: pa.Table) -> pa.Table:
     bits = np.empty(len(order), "<u4")
     bits[flat] = least_documents(lcp, other, doc)
     out = [zstandard.compress(bits[a:b].tobytes(), 1) for a, b in zip(base[:-1], base[1:], strict=True)]
-    return pa.Table.from_arrays([table["part"], table["uri"], pa.array(out, pa.binary())], schema=_RUNS)
+    return pa.Table.from_arrays([table["part"], table["chunk"], pa.array(out, pa.binary())], schema=_RUNS)
 
 
 _RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
 
-def _finish(key, kinds: pa.Table, answers: pa.Table, buckets: int, parts: int, full: bool) -> pa.Table:
+def _finish(key, kinds: pa.Table, answers: pa.Table, base: str, buckets: int, parts: int, full: bool) -> pa.Table:
     """Step 5, for one chunk."""
-    r = Records(key[0].as_py(), kinds, buckets)
+    r = Records(_uri(base, key[0].as_py()), kinds, buckets)
     c, part = r.chunk, r.partition(parts)
     bits = np.zeros(len(r.rows), np.uint32)
     for q, x in zip(answers["part"].to_pylist(), answers["run"].to_pylist(), strict=True):
@@ -421,18 +430,16 @@ def deduplicate(docs: DataFrame, full: bool = False, hot: int = HOT) -> DataFram
     bounded_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
     total = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets, parts = max(8, -(-total // BUCKET_BYTES)), max(8, -(-total // PARTITION_BYTES))
-    if buckets >= 1 << 20:
-        raise ValueError("raise BUCKET_BYTES for an input of this size")
+    buckets, parts = (min(MOST, max(LEAST, -(-total // size))) for size in (BUCKET_BYTES, PARTITION_BYTES))
     base = new_path(spark, f"chunks-{uuid.uuid4().hex}")
     tasks = max(8, -(-total // (CHUNKS_A_TASK * CHUNK_BYTES)))  # by the text behind the rows: the rows themselves are small
-    sent = texts.mapInArrow(partial(_pack, base=base, buckets=buckets), "uri string, bucket long, data binary").repartition(buckets, "bucket")
-    kinds = Saved(sent.groupBy("bucket").applyInArrow(_table(_shared, hot=hot), "uri string, bucket long, data binary"), "kinds").df
-    kinds = kinds.repartition(tasks, "uri")
-    runs = kinds.groupBy("uri").applyInArrow(_keyed(_send, buckets=buckets, parts=parts), "part long, uri string, run binary").repartition(parts, "part")
-    answers = Saved(runs.groupBy("part").applyInArrow(_table(_merge), "part long, uri string, run binary"), "answers").df.repartition(tasks, "uri")
+    sent = texts.mapInArrow(partial(_pack, base=base, buckets=buckets), "chunk long, bucket long, data binary").repartition(buckets, "bucket")
+    kinds = Saved(sent.groupBy("bucket").applyInArrow(_table(_shared, hot=hot), "chunk long, bucket long, data binary"), "kinds", behind=total).df
+    kinds = kinds.repartition(tasks, "chunk")
+    runs = kinds.groupBy("chunk").applyInArrow(_keyed(_send, base=base, buckets=buckets, parts=parts), "part long, chunk long, run binary").repartition(parts, "part")
+    answers = Saved(runs.groupBy("part").applyInArrow(_table(_merge), "part long, chunk long, run binary"), "answers", behind=total).df.repartition(tasks, "chunk")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if full else "")
-    return kinds.groupBy("uri").cogroup(answers.groupBy("uri")).applyInArrow(_keyed_pair(_finish, buckets=buckets, parts=parts, full=full), schema)
+    return kinds.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_keyed_pair(_finish, base=base, buckets=buckets, parts=parts, full=full), schema)
 
 
 def _table(f, **options):
