@@ -134,26 +134,30 @@ def grid(df: DataFrame, code: str) -> DataFrame:
     return ends.select("ts_id", F.explode(F.sequence(F.col("min_time"), hi, F.expr(step))).alias("open_time"))
 
 
-def _around(w_before, w_after, value: str) -> tuple[Column, Column, Column, Column]:
-    at = F.when(F.col(value).isNotNull(), F.col("open_time"))
-    return (
-        F.last(value, ignorenulls=True).over(w_before),
-        F.last(at, ignorenulls=True).over(w_before),
-        F.first(value, ignorenulls=True).over(w_after),
-        F.first(at, ignorenulls=True).over(w_after),
-    )
+def around(known: Column, by: str) -> tuple[Column, Column]:
+    """The nearest ``known`` value at or before a row and at or after it, null where there is none.
+
+    Both look back, in one order and in its reverse: a window that looks ahead to the end would be evaluated anew over the
+    rest of the series for every row.
+    """
+    w = Window.partitionBy("ts_id")
+    back, ahead = (w.orderBy(order).rowsBetween(Window.unboundedPreceding, 0) for order in (F.asc(by), F.desc(by)))
+    return F.last(known, ignorenulls=True).over(back), F.last(known, ignorenulls=True).over(ahead)
 
 
 def interpolate_time(df: DataFrame, columns, by: str = "open_time") -> DataFrame:
     """Linear interpolation by time; after the last known value that value holds; before the first stays null."""
-    w = Window.partitionBy("ts_id").orderBy(by)
-    before, after = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    out = {}
+    ends = {}
+    for c in columns:
+        known = F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.col(by).alias("t")))
+        ends[f"_0{c}"], ends[f"_1{c}"] = around(known, by)
+    df, out = df.withColumns(ends), {}
     for c in columns:
-        v0, t0, v1, t1 = _around(before, after, c)
-        span, part = seconds_between(t0, t1), seconds_between(t0, F.col("open_time"))
-        out[c] = F.when(F.col(c).isNotNull(), F.col(c)).when(v1.isNull(), v0).otherwise(v0 + (v1 - v0) * part / span)
-    return df.withColumns(out)
+        before, after = F.col(f"_0{c}"), F.col(f"_1{c}")
+        span, part = seconds_between(before["t"], after["t"]), seconds_between(before["t"], F.col(by))
+        line = before["v"] + (after["v"] - before["v"]) * part / span
+        out[c] = F.when(F.col(c).isNotNull(), F.col(c)).when(after.isNull(), before["v"]).otherwise(line)
+    return df.withColumns(out).drop(*ends)
 
 
 def gap_fill(df: DataFrame, code: str, columns=NUMERIC) -> DataFrame:
@@ -169,14 +173,18 @@ def gap_fill(df: DataFrame, code: str, columns=NUMERIC) -> DataFrame:
 
 def interpolate_rows(df: DataFrame, column: str) -> DataFrame:
     """Linear by row position, then the nearest known value before the first and after the last."""
-    w = Window.partitionBy("ts_id").orderBy("open_time")
-    df = df.withColumn("_i", F.row_number().over(w))
-    before, after = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    at = F.when(F.col(column).isNotNull(), F.col("_i"))
-    v0, v1 = F.last(column, ignorenulls=True).over(before), F.first(column, ignorenulls=True).over(after)
-    i0, i1 = F.last(at, ignorenulls=True).over(before), F.first(at, ignorenulls=True).over(after)
-    line = v0 + (v1 - v0) * (F.col("_i") - i0) / (i1 - i0)
-    return df.withColumn(column, F.when(F.col(column).isNotNull(), F.col(column)).otherwise(F.coalesce(line, v0, v1))).drop("_i")
+    df = df.withColumn("_i", F.row_number().over(Window.partitionBy("ts_id").orderBy("open_time")))
+    known = F.when(F.col(column).isNotNull(), F.struct(F.col(column).alias("v"), F.col("_i").alias("i")))
+    before, after = around(known, "open_time")
+    df = df.withColumns({"_0": before, "_1": after})
+    line = line_between(F.col("_0"), F.col("_1"), F.col("_i"))
+    return df.withColumn(column, F.coalesce(F.col(column), line, F.col("_0")["v"], F.col("_1")["v"])).drop("_i", "_0", "_1")
+
+
+def line_between(before: Column, after: Column, i: Column) -> Column:
+    """The value at place ``i`` on the line between two known ``(v, i)``; null where they are one."""
+    span = after["i"] - before["i"]
+    return before["v"] + (after["v"] - before["v"]) * (i - before["i"]) / F.when(span != 0, span)
 
 
 def forward_fill(df: DataFrame, column: str, limit: int) -> DataFrame:

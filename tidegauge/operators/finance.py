@@ -209,7 +209,7 @@ def with_p_values(power: DataFrame) -> DataFrame:
     up = Window.partitionBy("ts_id").orderBy("p_value", "horizon")
     m = F.count("p_value").over(Window.partitionBy("ts_id"))
     out = out.withColumn("_q", F.col("p_value") * m / F.row_number().over(up))
-    down = up.rowsBetween(0, Window.unboundedFollowing)
+    down = Window.partitionBy("ts_id").orderBy(F.desc_nulls_last("p_value"), F.desc("horizon")).rowsBetween(Window.unboundedPreceding, 0)
     return out.withColumn("p_adjusted", F.least(F.lit(1.0), F.min("_q").over(down))).drop("_q")
 
 

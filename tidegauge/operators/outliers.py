@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.operators.calendar import around, line_between
 from tidegauge.operators.stats import clip, sample_kurtosis
 from tidegauge.operators.windows import by_time, lag
 
@@ -118,11 +119,10 @@ def wilson(k: Column, n: Column, acf1: Column) -> tuple[Column, Column]:
 def price_robust(df: DataFrame, c: str, mask: str) -> DataFrame:
     """Values at outliers from the line between their neighbours by row, the nearest known value at the ends."""
     df = df.withColumn("_i", F.row_number().over(by_time())).withColumn("_v", F.when(~F.col(mask), F.col(c)))
-    back, ahead = by_time().rowsBetween(Window.unboundedPreceding, 0), by_time().rowsBetween(0, Window.unboundedFollowing)
-    at = F.when(F.col("_v").isNotNull(), F.col("_i"))
-    v0, i0, v1, i1 = F.last("_v", True).over(back), F.last(at, True).over(back), F.first("_v", True).over(ahead), F.first(at, True).over(ahead)
-    line = v0 + (v1 - v0) * (F.col("_i") - i0) / F.when(i1 != i0, i1 - i0)
-    return df.withColumn("price_robust", F.coalesce(F.col("_v"), line, v0, v1)).drop("_i", "_v")
+    before, after = around(F.when(F.col("_v").isNotNull(), F.struct(F.col("_v").alias("v"), F.col("_i").alias("i"))), "open_time")
+    df = df.withColumns({"_0": before, "_1": after})
+    line = line_between(F.col("_0"), F.col("_1"), F.col("_i"))
+    return df.withColumn("price_robust", F.coalesce(F.col("_v"), line, F.col("_0")["v"], F.col("_1")["v"])).drop("_i", "_v", "_0", "_1")
 
 
 def cap_ratio(df: DataFrame, c: str, mask: str, most: float = 0.3) -> DataFrame:
