@@ -83,9 +83,22 @@ def f08(spark, d):
     return _out(W.returns(base(spark, d), "y").withColumn("volatility", F.stddev("returns").over(W.rows(12))), "returns", "volatility")
 
 
-@query("f09_features_complete")
+def _features_sql() -> str:
+    sizes = W.WINDOWS["1h"]
+    cols = {"y": "y"} | _LAGS | _ROLL | _MEDIAN
+    cols |= {f"roll_skew_{n}": f"skewness(y) over {over(n)}" for n in sizes if n > 2} | {f"roll_kurtosis_{n}": f"kurtosis(y) over {over(n)}" for n in sizes if n > 3}
+    cols |= {f"rolling_trend_{n}": f"case when {n} / n > 0.15 then -1.0 when count(y) over {over(n)} = {n} then regr_slope(y, i) over {over(n)} end" for n in sizes}
+    cols |= {"first_derivative": f"y - lag(y, 1) over ({O})", "second_derivative": f"y - lag(y, 2) over ({O})", "returns": "r"}
+    cols |= {"volatility": f"stddev_samp(r) over {over(sizes[len(sizes) // 2])}"}
+    listed = ", ".join(f'round({v}, 6) "{k}"' for k, v in cols.items())
+    complete = " and ".join(f'"{k}" is not null' for k in cols)
+    return f"with {_NUM}, q as (select *, y / nullif(lag(y) over ({O}), 0) - 1 r from z), u as (select ts_id, open_time, {listed} from q) select * from u where {complete}"
+
+
+@query("f09_features_complete", _features_sql())
 def f09(spark, d):
-    return W.add_features(base(spark, d), "y", "1h")
+    f = W.add_features(base(spark, d), "y", "1h")
+    return _out(f, *[c for c in f.columns if c not in ("ts_id", "open_time")], digits=6)
 
 
 _FILTER = f"{BASE}, m as (select *, median(y) over ({O} rows between 5 preceding and 5 following) med from x), a as (select *, abs(y - med) off from m), b as (select *, median(off) over ({O} rows between 5 preceding and 5 following) mad from a)"
@@ -162,9 +175,21 @@ def m01d(spark, d):
     return _out(W.scale(base(spark, d).withColumn("y", F.abs("y")), "y", "log"), "scaled")
 
 
-@query("m01_quantile")
+def _poly(x: str, k) -> str:
+    out = f"{k[0]!r}"
+    for v in k[1:]:
+        out = f"({out} * {x} + {v!r})"
+    return out
+
+
+_MID = f"{_poly('(p - 0.5) * (p - 0.5)', W.NORMAL_MIDDLE[0])} * (p - 0.5) / ({_poly('(p - 0.5) * (p - 0.5)', W.NORMAL_MIDDLE[1])} * (p - 0.5) * (p - 0.5) + 1)"
+_END = f"{_poly('e', W.NORMAL_TAIL[0])} / ({_poly('e', W.NORMAL_TAIL[1])} * e + 1)"
+_RANK = f"{BASE}, pr as (select ts_id, open_time, least(greatest(percent_rank() over (partition by ts_id order by y), 1e-7), 1 - 1e-7) p from x), pe as (select *, sqrt(-2 * ln(case when p < 0.5 then p else 1 - p end)) e from pr)"
+
+
+@_sql("m01_quantile", {"scaled": f"case when p < 0.02425 then {_END} when p > 1 - 0.02425 then -{_END} else {_MID} end"}, _RANK, "pe", 7)
 def m01e(spark, d):
-    return _out(W.scale(base(spark, d), "y", "quantile"), "scaled")
+    return _out(W.scale(base(spark, d), "y", "quantile"), "scaled", digits=7)
 
 
 @_sql("m01_inverse", {"unscaled": "y"})

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidegauge.operators import finance as N
 from tidegauge.operators import stats as S
 from tidegauge.plans.features import BASE, O, base, over
+from tidegauge.plans import registry
 from tidegauge.plans.registry import query
 from tidegauge.plans.relational import rounded
 
@@ -65,18 +66,18 @@ def n15(spark, d):
     return rounded(N.roll_spread(base(spark, d), "y"), "roll_spread")
 
 
-_FP = f"{BASE}, f as (select *, " + ", ".join(f"lead(y, {h}) over ({O}) / nullif(y, 0) - 1 f{h}" for h in (1, 5, 10, 20)) + " from x), g as (select * from f where hour(open_time) = 12 and f20 is not null), u as (" + " union all ".join(f"select ts_id, open_time, {h} horizon, f{h} ret from g" for h in (1, 5, 10, 20)) + ")"
+_FP = f"{BASE}, f as (select *, " + ", ".join(f"lead(y, {h}) over ({O}) / nullif(y, 0) - 1 f{h}" for h in (1, 5, 10, 20)) + " from x), g as (select * from f where hour(open_time) % 6 = 0 and f20 is not null), u as (" + " union all ".join(f"select ts_id, open_time, {h} horizon, f{h} ret from g" for h in (1, 5, 10, 20)) + ")"
 
 
 @query("n01_forward_panel", f"with {_FP} select ts_id, open_time, cast(horizon as int) horizon, round(ret, 9) ret from u")
 def n01(spark, d):
-    return rounded(N.forward_panel(base(spark, d), F.hour("open_time") == 12, "y"), "ret")
+    return rounded(N.forward_panel(base(spark, d), F.hour("open_time") % 6 == 0, "y"), "ret")
 
 
-@query("n02_predictive_power", f"with {_FP} select ts_id, cast(horizon as int) horizon, cast(count(*) as bigint) n, round(avg(ret), 9) mean, round(stddev_samp(ret), 9) std, round(avg((ret > 0)::int), 9) hit_rate, round(avg(ret) / stddev_samp(ret), 9) information_ratio, round(avg(ret) / stddev_samp(ret) * sqrt(count(*)), 9) t_statistic from u group by 1, 2 having count(*) >= 20")
+@query("n02_predictive_power", f"with {_FP} select ts_id, cast(horizon as int) horizon, cast(count(*) as bigint) n, round(avg(ret), 9) mean, round(stddev_samp(ret), 9) std, round(avg((ret > 0)::int), 9) hit_rate, round(avg(ret) / stddev_samp(ret), 9) information_ratio, round(avg(ret) / stddev_samp(ret) * sqrt(count(*)), 9) t_statistic from u group by 1, 2 having count(*) >= 30")
 def n02(spark, d):
-    panel = N.forward_panel(base(spark, d), F.hour("open_time") == 12, "y")
-    return rounded(N.predictive_power(panel, least=20), "mean", "std", "hit_rate", "information_ratio", "t_statistic")
+    panel = N.forward_panel(base(spark, d), F.hour("open_time") % 6 == 0, "y")
+    return rounded(N.predictive_power(panel), "mean", "std", "hit_rate", "information_ratio", "t_statistic")
 
 
 @query("n03_alpha_score", f"with {_R} select ts_id, round(tanh(avg(r) / stddev_samp(r)), 9) score from w group by 1")
@@ -94,14 +95,17 @@ def n04(spark, d):
     return rounded(e.select("event_id", N.alpha_potential(F.lit(0.5), kind, F.col("value") / 100, F.col("value") / 50).alias("potential")), "potential")
 
 
-@query("n05_mean_reversion")
+_NEAR = f"{BASE}, k as (select *, row_number() over ({O}) i from x), w as (select e.ts_id, e.open_time event_time, k.i - e.i o, k.y v from k e join k on k.ts_id = e.ts_id and k.i between e.i - 20 and e.i + 20 where hour(e.open_time) = 12)"
+
+
+@query("n05_mean_reversion", f"with {_NEAR}, s as (select ts_id, event_time, avg(v) filter (o < 0) b, max(v) filter (o = 0) a, avg(v) filter (o > 0) f from w group by 1, 2) select ts_id, event_time, round(least(1, greatest(0, 1 - abs(f - b) / nullif(abs(a - b), 0))), 9) strength from s")
 def n05(spark, d):
-    return rounded(N.mean_reversion(base(spark, d), F.hour("open_time") == 12, "y", 5), "strength")
+    return rounded(N.mean_reversion(base(spark, d), F.hour("open_time") == 12, "y"), "strength")
 
 
-@query("n06_momentum")
+@query("n06_momentum", f"with {_NEAR}, s as (select ts_id, event_time, arg_min(v, o) b, max(v) filter (o = 0) a, arg_max(v, o) f from w group by 1, 2) select ts_id, round(avg((sign(a - b) = sign(f - a))::int), 9) persistence, cast(count(*) as bigint) n_events from s group by 1")
 def n06(spark, d):
-    return rounded(N.momentum(base(spark, d), F.hour("open_time") == 12, "y", 5), "persistence")
+    return rounded(N.momentum(base(spark, d), F.hour("open_time") == 12, "y"), "persistence")
 
 
 _EV = f"{RAW}, z as (select q.ts_id, open_time, case when mad > 0 then 0.6745 * abs(r - med) / mad else 0 end score from q join s using (ts_id) where r is not null), nr as (select *, max(score) over ({O} rows between 3 preceding and 3 following) near from z)"
@@ -122,14 +126,15 @@ def n17(spark, d):
     return s.select("ts_id", N.regime(F.col("volatility"), F.col("trend_strength"), F.col("a")).alias("regime"))
 
 
-@query("n08_cross_asset")
+@query("n08_cross_asset", "select * from (" + ") left join (".join(f"{registry.oracle_of(k)}{') using (ts_id' if j else ''}" for j, k in enumerate(("e13_market_beta", "n10_lead_lag", "n11_contagion", "n12_isolation"))) + ")")
 def n08(spark, d):
-    return N.cross_asset(base(spark, d), REF, "y")
+    got = N.cross_asset(base(spark, d), REF, "y")
+    return rounded(got, *[c for c, t in got.dtypes if t == "double"])
 
 
 @query("n07_validation_summary", f"with {_FP} select ts_id, cast(count(*) as bigint) n, round(avg((ret > 0)::int), 9) success_rate, round(avg(ret), 9) mean, round(min(ret), 9) worst, round(max(ret), 9) best from u group by 1")
 def n07(spark, d):
-    panel = N.forward_panel(base(spark, d), F.hour("open_time") == 12, "y")
+    panel = N.forward_panel(base(spark, d), F.hour("open_time") % 6 == 0, "y")
     return rounded(N.validation_summary(panel), "success_rate", "mean", "worst", "best")
 
 
@@ -149,13 +154,33 @@ def f13(spark, d):
     return rounded(N.volatility_regimes(base(spark, d), "y"), "vol")
 
 
-@query("n02_p_values")
+def t_two_sided_sql(t: str, df: str) -> str:
+    """Two-sided p-value of Student's t: the density over the angle of t, integrated by Simpson's rule in 2,000 steps."""
+    h = f"(atan(abs({t}) / sqrt({df})) / 2000)"
+    whole = f"list_sum(list_transform(range(2001), lambda i: (case when i = 0 or i = 2000 then 1 when i % 2 = 1 then 4 else 2 end) * pow(cos(i * {h}), {df} - 1)))"
+    return f"greatest(0, 1 - 2 * exp(lgamma(({df} + 1) / 2) - lgamma({df} / 2)) / sqrt(pi()) * {h} / 3 * {whole})"
+
+
+_POWER = f"{_FP}, pw as (select ts_id, cast(horizon as int) horizon, cast(count(*) as bigint) n, avg(ret) mean, stddev_samp(ret) std, avg((ret > 0)::int) hit_rate, avg(ret) / stddev_samp(ret) information_ratio, avg(ret) / stddev_samp(ret) * sqrt(count(*)) t_statistic from u group by 1, 2 having count(*) >= 30)"
+_PV = f"{_POWER}, pv as (select *, {t_two_sided_sql('t_statistic', '(n - 1.0)')} p_value from pw), pq as (select *, p_value * count(p_value) over (partition by ts_id) / row_number() over (partition by ts_id order by p_value, horizon) q from pv)"
+
+
+@query("n02_p_values", f"with {_PV} select ts_id, horizon, n, round(mean, 9) mean, round(t_statistic, 9) t_statistic, round(p_value, 7) p_value, round(least(1, min(q) over (partition by ts_id order by p_value desc, horizon desc rows unbounded preceding)), 7) p_adjusted from pq")
 def n02p(spark, d):
-    panel = N.forward_panel(base(spark, d), F.hour("open_time") == 12, "y")
-    return N.with_p_values(N.predictive_power(panel, least=2))
+    panel = N.forward_panel(base(spark, d), F.hour("open_time") % 6 == 0, "y")
+    got = N.with_p_values(N.predictive_power(panel)).select("ts_id", "horizon", "n", "mean", "t_statistic", F.round("p_value", 7).alias("p_value"), F.round("p_adjusted", 7).alias("p_adjusted"))
+    return rounded(got, "mean", "t_statistic")
+
+
+def _erf_sql(x: str) -> str:
+    t = f"(1 / (1 + 0.3275911 * ({x})))"
+    return f"(1 - ((((1.061405429 * {t} - 1.453152027) * {t} + 1.421413741) * {t} - 0.284496736) * {t} + 0.254829592) * {t} * exp(-({x}) * ({x})))"
+
+
+_SURE = f"{BASE}, t as (select *, row_number() over ({O}) - 1 i, lag(y) over ({O}) p, y - 2 * lag(y) over ({O}) + lag(y, 2) over ({O}) dd from x), s as (select ts_id, count(*)::double n, stddev_samp(y) / abs(avg(y)) v, least(1, greatest(0, least(1, 100 * abs(regr_slope(y, i)) / (abs(avg(y)) + 1e-10)) * regr_r2(y, i))) tr, corr(y, p) a, least(1, greatest(0, stddev_samp(dd) / stddev_samp(y))) nl from t group by 1)"
 
 
-@query("n18_regime_confidence")
+@query("n18_regime_confidence", f"with {_SURE} select ts_id, round(least(1, greatest(0, 0.35 * least(1, greatest(0, {_erf_sql('least(abs(v - 0.15), abs(v - 0.5)) / greatest(v / sqrt(2 * n), 1e-6) / sqrt(2)')})) + 0.35 * least(1, greatest(0, {_erf_sql('sqrt(tr * n / 2)')})) + 0.2 * least(1, greatest(0, {_erf_sql('abs(a) * sqrt(n / 2)')})) + 0.1 * (1 - nl))), 9) confidence from s")
 def n18(spark, d):
     from tidegauge.operators.windows import lag
 

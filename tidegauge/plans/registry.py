@@ -25,6 +25,11 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def oracle_of(name: str) -> str:
+    """The twin of a query registered before."""
+    return _ORACLE[name]
+
+
 def _load() -> None:
     from tidegauge.plans import features, finance, relational, series, stages, statistics  # noqa: F401
 

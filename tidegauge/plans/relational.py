@@ -249,12 +249,27 @@ def c15(spark, d):
     return C.freshness(T.candles_evt(spark, d), AS_OF)
 
 
-@query("c16_quality_report")
+@query(
+    "c16_quality_report",
+    f"""with {EVT}, {ENDS.format(t='candles_evt')},
+    n as (select ts_id, cast(count(*) as bigint) actual from candles_evt group by 1),
+    m as (select c.ts_id, date_trunc('month', open_time) mo, count(*) k from candles_evt c join ends using (ts_id) where open_time >= date_trunc('month', lo) + interval 1 month and open_time < date_trunc('month', hi) group by 1, 2),
+    l as (select ts_id, cast(count(*) as bigint) n_lacks from m where k < 24 * day(last_day(mo)) group by 1),
+    t as (select ts_id, cast(count(*) as bigint) n_duplicates from (select ts_id, open_time from candles_evt group by 1, 2 having count(*) > 1) group by 1),
+    r as (select ts_id, hi max_time, hi = timestamp '2024-01-30 23:00:00' is_fresh, cast(date_diff('second', lo, hi) // 3600 + 1 as bigint) expected, actual, coalesce(n_lacks, 0) n_lacks, coalesce(n_duplicates, 0) n_duplicates
+      from ends join n using (ts_id) left join l using (ts_id) left join t using (ts_id))
+    select *, abs(actual - expected) difference, actual <> expected or n_lacks > 0 needs_fill from r""",
+)
 def c16(spark, d):
     return C.quality_report(T.candles_evt(spark, d), AS_OF)
 
 
-@query("c18_load_windows")
+@query(
+    "c18_load_windows",
+    f"""with {ORD}, {ENDS.format(t='candles_ord')}, s as (select ts_id, cast(lo as timestamp) a, cast(hi as timestamp) b, unnest(generate_series(cast(lo as timestamp), cast(hi as timestamp), interval 15 month)) ws from ends),
+    w as (select ts_id, case when ws = a then a else cast(date_trunc('day', ws) as timestamp) end window_start, least(b, cast(date_trunc('day', ws + interval 15 month) - interval 1 second as timestamp)) window_end from s)
+    select * from w where window_start <= window_end""",
+)
 def c18(spark, d):
     spans = C.extremes(T.candles_ord(spark, d)).select("ts_id", F.col("min_time").alias("start"), F.col("max_time").alias("stop"))
     return C.load_windows(spans, "1d")

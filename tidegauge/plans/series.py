@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.operators import analysis as A
 from tidegauge.operators import calendar as C
-from tidegauge.plans.features import base
+from tidegauge.plans.features import O, base
 from tidegauge.plans.registry import query
 from tidegauge.plans.relational import EVT, rounded
 from tidegauge.sources import tables as T
@@ -20,13 +20,53 @@ def filled(spark, d):
     return C.interpolate_time(full, ["y"])
 
 
+FILLED = f"""{EVT}, known as (select ts_id, open_time, open y from candles_evt), fe as (select ts_id, min(open_time) lo, max(open_time) hi from known group by 1),
+fg as (select ts_id, cast(unnest(generate_series(lo, hi, interval 1 hour)) as timestamp) open_time from fe), fh as (select g.ts_id, g.open_time, y from fg g left join known k on k.ts_id = g.ts_id and k.open_time = g.open_time),
+fw as (select *, last_value(y ignore nulls) over b v0, last_value(case when y is not null then open_time end ignore nulls) over b t0, first_value(y ignore nulls) over a v1, first_value(case when y is not null then open_time end ignore nulls) over a t1 from fh
+  window b as ({O} rows between unbounded preceding and current row), a as ({O} rows between current row and unbounded following)),
+x as (select ts_id, open_time, coalesce(y, v0 + (v1 - v0) * date_diff('second', t0, open_time) / date_diff('second', t0, t1)) y from fw),
+k as (select ts_id, y, row_number() over ({O}) - 1 i, count(*) over (partition by ts_id) n, y - avg(y) over (partition by ts_id) z from x)"""
+_ACF = f"{FILLED}, ac as (select a.ts_id, b.i - a.i lag, any_value(a.n) n, sum(a.z * b.z) s from k a join k b on b.ts_id = a.ts_id and b.i - a.i between 0 and least(50, a.n // 3) group by 1, 2), v as (select ts_id, s s0 from ac where lag = 0)"
+
+
+@query("i06_acf", f"with {_ACF} select ts_id, cast(lag as int) lag, round(s / (n - lag) / (s0 / n), 9) acf from ac join v using (ts_id)")
+def i06(spark, d):
+    return rounded(A.analyse(filled(spark, d), "y", "acf").select("ts_id", F.posexplode("acf").alias("lag", "acf")), "acf")
+
+
+def chi2_sf_sql(x: str, df: str) -> str:
+    """The upper tail of chi-squared: the density over the root, integrated by Simpson's rule in 2,000 steps."""
+    h = f"(sqrt({x} / 2) / 2000)"
+    whole = f"list_sum(list_transform(range(2001), lambda j: (case when j = 0 or j = 2000 then 1 when j % 2 = 1 then 4 else 2 end) * pow(j * {h}, {df} - 1) * exp(-pow(j * {h}, 2))))"
+    return f"greatest(0, 1 - 2 / exp(lgamma({df} / 2.0)) * {h} / 3 * {whole})"
+
+
+_LB = f"{_ACF}, lb as (select ts_id, lag, n * (n + 2) * sum(pow(s / s0, 2) / (n - lag)) over (partition by ts_id order by lag) q from ac join v using (ts_id) where lag between 1 and 10)"
+
+
+@query("k15_whiteness", f"with {_LB} select ts_id, round(min({chi2_sf_sql('q', 'lag')}), 7) ljung_box_p, 'success' status, '' message from lb group by 1")
+def k15(spark, d):
+    return A.analyse(filled(spark, d), "y", "whiteness").withColumn("ljung_box_p", F.round("ljung_box_p", 7))
+
+
+_SMOOTH = f"""{FILLED}, al as (select (unnest(range(1, 20)) / 20.0)::double a), fc as (select t.ts_id, a, t.i, any_value(t.y) y, any_value(t.n) n, sum(s.y * case when s.i = 0 then pow(1 - a, t.i - 1) else a * pow(1 - a, t.i - 1 - s.i) end) f
+  from k t join k s on s.ts_id = t.ts_id and s.i < t.i, al where t.i > 0 group by 1, 2, 3),
+sm as (select ts_id, a, 100 * sum(case when abs(y) + abs(f) > 0 then 2 * abs(y - f) / (abs(y) + abs(f)) else 0 end) / (any_value(n) - 1) e from fc group by 1, 2)"""
+
+
+@query("o02_smoothing_search", f"with {_SMOOTH} select ts_id, round(arg_min(a, e), 9) alpha, round(min(e), 7) smape, 'success' status, '' message from sm group by 1")
+def o02(spark, d):
+    got = A.analyse(filled(spark, d), "y", "smoothing_search")
+    return got.withColumns({"alpha": F.round("alpha", 9), "smape": F.round("smape", 7)})
+
+
 def _kernel(key: str, name: str):
     query(key)(lambda spark, d: A.analyse(filled(spark, d), "y", name))
 
 
 for _key, _name in (
-    ("i01_stationarity", "stationarity"), ("i06_acf", "acf"), ("i07_canonical", "canonical"), ("j01_acf_periods", "acf_periods"), ("j02_spectral_periods", "spectral_periods"),
-    ("j03_wavelet_periods", "wavelet_periods"), ("j08_period_consensus", "periodicity"), ("k15_whiteness", "whiteness"), ("k17_boxcox", "boxcox"), ("e09_shape", "shape"), ("j15_legacy_period", "legacy_period"), ("o02_smoothing_search", "smoothing_search"),
+    ("i01_stationarity", "stationarity"), ("i07_canonical", "canonical"), ("j01_acf_periods", "acf_periods"), ("j02_spectral_periods", "spectral_periods"),
+    ("j03_wavelet_periods", "wavelet_periods"), ("j08_period_consensus", "periodicity"), ("k17_boxcox", "boxcox"), ("e09_shape", "shape"), ("j15_legacy_period", "legacy_period")
 ):
     _kernel(_key, _name)
 
