@@ -19,8 +19,10 @@ import json
 import os
 import posixpath
 import re
+import sys
 import uuid
 import zlib
+from array import array
 from functools import lru_cache, partial
 
 import numpy as np
@@ -57,20 +59,28 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_words = splits_at_spaces(json.loads(self.tokenizer.to_str()))
+        self.merge = self.tokenizer.model.tokenize
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.size = 0
 
     def of(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def learn(self, words: list[str]) -> dict[str, bytes]:
         """The ids of a space and each word, or of w[1:] alone where w starts with the sign for no space."""
         found = {w: self.old[w] for w in words if w in self.old}
-        ask = [w for w in words if w not in found]
-        got = self.tokenizer.encode_batch_fast([w[1:] if w[0] == _NO_SPACE else " " + w for w in ask], add_special_tokens=False)
-        for w, x in zip(ask, got, strict=True):
-            found[w] = np.array(x.ids, "<u4").tobytes()
+        odd = []
+        for w in words:
+            if w not in found:
+                text = w[1:] if w[0] == _NO_SPACE else " " + w
+                if _LETTERS.fullmatch(text):  # the pattern leaves these whole, so the model alone will do
+                    found[w] = _bytes([t.id for t in self.merge(text.encode().decode("latin-1").translate(_BYTES))])
+                else:
+                    odd.append((w, text))
+        got = self.tokenizer.encode_batch_fast([text for _, text in odd], add_special_tokens=False) if odd else ()
+        for (w, _), x in zip(odd, got, strict=True):
+            found[w] = _bytes(x.ids)
         short = {w: x for w, x in found.items() if len(w) < 64}
         self.size += sum(map(len, short)) + sum(map(len, short.values())) + ENTRY_BYTES * len(short)
         if self.size > CACHE_BYTES:
@@ -94,6 +104,22 @@ class Encoder:
         return b"".join(got)
 
 
+def _bytes(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
+def _byte_letters() -> dict[int, str]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, others from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    return dict(zip([b for b in range(256) if b not in plain], map(chr, range(0x100, 0x200)), strict=False))
+
+
+_BYTES = _byte_letters()
+
+
 def splits_at_spaces(file: dict) -> bool:
     """Whether a tokenizer file describes the byte-level BPE that words may be cut out for."""
     pre, model = file.get("pre_tokenizer") or {}, file.get("model") or {}
@@ -106,6 +132,8 @@ def splits_at_spaces(file: dict) -> bool:
 _NO_SPACE = "\r"
 #: A mark that ends a word, after a plain letter or digit.
 _MARK = re.compile(r"(?<=[0-9A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F])([.,!?;:])(?=[ \n]|\Z)")
+#: A word of plain letters, with the space before it.
+_LETTERS = re.compile(r" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+")
 #: White space other than spaces and line feeds.
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _ASCII_SPACES = [c for c in _SPACES if c.isascii()]
