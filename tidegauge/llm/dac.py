@@ -69,18 +69,22 @@ class Encoder:
 
     def learn(self, words: list[str]) -> dict[str, bytes]:
         """The ids of a space and each word, or of w[1:] alone where w starts with the sign for no space."""
-        found = {w: self.old[w] for w in words if w in self.old}
-        odd = []
+        found, odd = {}, []
         for w in words:
-            if w not in found:
-                text = w[1:] if w[0] == _NO_SPACE else " " + w
-                if _LETTERS.fullmatch(text):  # the pattern leaves these whole, so the model alone will do
-                    found[w] = _bytes([t.id for t in self.merge(text.encode().decode("latin-1").translate(_BYTES))])
-                else:
-                    odd.append((w, text))
-        got = self.tokenizer.encode_batch_fast([text for _, text in odd], add_special_tokens=False) if odd else ()
-        for (w, _), x in zip(odd, got, strict=True):
-            found[w] = _bytes(x.ids)
+            known = self.old.get(w)
+            if known is not None:
+                found[w] = known
+                continue
+            space, body = ("", w[1:]) if w[0] == _NO_SPACE else (_SPACE_BYTE, w)
+            if body.isascii() and body.isalpha():  # the pattern leaves plain letters whole, so the model alone will do
+                found[w] = _bytes([t.id for t in self.merge(space + body)])
+            elif _LETTERS.fullmatch(body):
+                found[w] = _bytes([t.id for t in self.merge(space + body.encode().decode("latin-1").translate(_BYTES))])
+            else:
+                odd.append((w, body if w[0] == _NO_SPACE else " " + w))
+        if odd:
+            got = self.tokenizer.encode_batch_fast([text for _, text in odd], add_special_tokens=False)
+            found |= {w: _bytes(x.ids) for (w, _), x in zip(odd, got, strict=True)}
         short = {w: x for w, x in found.items() if len(w) < 64}
         self.size += sum(map(len, short)) + sum(map(len, short.values())) + ENTRY_BYTES * len(short)
         if self.size > CACHE_BYTES:
@@ -118,6 +122,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 _BYTES = _byte_letters()
+_SPACE_BYTE = _BYTES[0x20]
 
 
 def splits_at_spaces(file: dict) -> bool:
@@ -132,8 +137,8 @@ def splits_at_spaces(file: dict) -> bool:
 _NO_SPACE = "\r"
 #: A mark that ends a word, after a plain letter or digit.
 _MARK = re.compile(r"(?<=[0-9A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F])([.,!?;:])(?=[ \n]|\Z)")
-#: A word of plain letters, with the space before it.
-_LETTERS = re.compile(r" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+")
+#: A word of plain letters.
+_LETTERS = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+")
 #: White space other than spaces and line feeds.
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _ASCII_SPACES = [c for c in _SPACES if c.isascii()]
