@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 LENGTHS = (("TINY", 0), ("SHORT", 20), ("SMALL", 100), ("MEDIUM", 500), ("LARGE", 2000), ("HUGE", 10000), ("MASSIVE", 50000))
 FREQUENCIES = {"HIGH": ("1s", "1m", "5m", "15m", "30m"), "MEDIUM": ("1h", "4h", "12h"), "LOW": ("1d", "3d", "1w", "1M", "3M")}
 #: Likely periods of each interval.
-PERIODS = {"1h": (24, 168), "12h": (2, 14), "1d": (7, 30), "3d": (2, 10), "1w": (4, 52), "1M": (12,)}
+PERIODS = {
+    "1s": (60, 3600), "15s": (4, 240), "30s": (2, 120), "1m": (60, 1440), "3m": (20, 480), "5m": (12, 288), "15m": (4, 96), "30m": (2, 48), "1h": (24, 168),
+    "3h": (8, 56), "6h": (4, 28), "12h": (2, 14), "1d": (7, 30), "3d": (2, 10), "1w": (4, 52), "1M": (12,),
+}
 #: Least rows for which a series of an interval is decomposed.
 DECOMPOSE_FROM = {"1s": 7200, "1m": 1440, "5m": 576, "15m": 384, "1h": 168, "1d": 60}
 
@@ -32,7 +35,7 @@ def frequency_class(code: Column) -> Column:
 
 def likely_periods(code: Column) -> Column:
     pairs = [x for k, v in PERIODS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))]
-    return F.coalesce(F.create_map(*pairs)[code], F.array(F.lit(7)))
+    return F.coalesce(F.create_map(*pairs)[code], F.array().cast("array<int>"))
 
 
 def direct_method(n: Column, code: Column) -> Column:
@@ -50,8 +53,9 @@ def is_stale(calculated_at: Column, as_of: Column, max_age_days: Column, force:
 def thinned(values: Column, most: int = 200, head: int = 50) -> Column:
     """At most ``most`` elements: the first ``head`` and evenly spaced ones of the rest."""
     n = F.size(values)
-    step = (n - 1 - head).cast("double") / (most - head - 1)
-    spaced = F.transform(F.sequence(F.lit(0), F.lit(most - head - 1)), lambda i: F.get(values, F.round(head + i * step).cast("int")))
+    last = most - head - 1
+    step = (n - 1 - head).cast("double") / last
+    spaced = F.transform(F.sequence(F.lit(0), F.lit(last)), lambda i: F.get(values, F.when(i == last, n - 1).otherwise(F.floor(head + i * step)).cast("int")))
     return F.when(n <= most, values).otherwise(F.concat(F.slice(values, 1, head), spaced))
 
 

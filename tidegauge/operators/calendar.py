@@ -209,6 +209,22 @@ def quality_report(df: DataFrame, as_of: datetime) -> DataFrame:
     return out.select("ts_id", "max_time", "is_fresh", "expected", "actual", "difference", "n_lacks", "n_duplicates", ((F.col("difference") > 0) | (F.col("n_lacks") > 0)).alias("needs_fill"))
 
 
+def repaired(df: DataFrame, code: str, as_of: datetime | None = None) -> DataFrame:
+    """Each time once, and series that have gaps or lacking months filled."""
+    once = df.dropDuplicates(["ts_id", "open_time"])
+    report = quality_report(once, as_of or datetime(1970, 1, 1)).where("needs_fill").select("ts_id")
+    return once.unionByName(gap_fill(once.join(report, "ts_id", "left_semi"), code), allowMissingColumns=True)
+
+
+def check(df: DataFrame, ts_id: str, as_of: datetime) -> tuple[DataFrame | None, str | None]:
+    """``(report, error)`` of one series, as callers of a facade expect: one of the two is None."""
+    code = ts_id.rsplit("_", 1)[-1]
+    if code not in (*INTERVAL_SECONDS, "1M"):
+        return None, f"no interval {code!r}"
+    mine = df.where(F.col("ts_id") == ts_id)
+    return (None, f"no rows of {ts_id!r}") if mine.isEmpty() else (quality_report(mine, as_of), None)
+
+
 def load_windows(spans: DataFrame, code: str) -> DataFrame:
     """``spans(ts_id, start, stop)`` cut so that a request stays small; each window ends on a day's last second."""
     starts = spans.select("ts_id", "start", "stop", F.explode(F.sequence("start", "stop", F.expr(LOAD_SPANS[code]))).alias("window_start"))

@@ -100,12 +100,6 @@ def simple(df: DataFrame, c: str, limit: float = 3.0) -> DataFrame:
     return df.join(s, "ts_id").withColumn("is_outlier", F.coalesce((F.col("_s") > 0) & (z > limit), F.lit(False))).drop("_m", "_s")
 
 
-def adapted_limit(limit: float, quality: Column, acf1: Column) -> Column:
-    """A limit raised for poor quality and for autocorrelated data (by at most 2)."""
-    r = F.least(F.abs(acf1), F.lit(0.95))
-    return limit * (1 + 0.5 * (1 - quality)) * F.least(F.lit(2.0), F.sqrt((1 + r) / (1 - r)))
-
-
 def wilson(k: Column, n: Column, acf1: Column) -> tuple[Column, Column]:
     """Interval of a share with the number of rows cut for autocorrelation, ten at least."""
     rho = clip(acf1, -0.95, 0.95)
@@ -141,10 +135,6 @@ def contamination(df: DataFrame, c: str, factor: float = 1.5) -> DataFrame:
     return df.join(q, "ts_id").groupBy("ts_id").agg(F.avg(out.cast("int")).alias("contamination"))
 
 
-def method_for(n: Column, stationary: Column, skew: Column) -> Column:
-    return F.when(n < 50, "zscore").when(stationary & (F.abs(skew) < 1), "zscore").when(n < 1000, "lof").otherwise("isolation_forest")
-
-
 def cleaned(df: DataFrame, c: str, mask: str, replacement: str) -> DataFrame:
     """Replacement at outliers; nulls stay null."""
     return df.withColumn("cleaned", F.when(F.col(c).isNull(), None).when(F.col(mask), F.col(replacement)).otherwise(F.col(c)))

@@ -31,7 +31,7 @@ def oracle_of(name: str) -> str:
 
 
 def _load() -> None:
-    from tidegauge.plans import features, finance, relational, series, stages, statistics  # noqa: F401
+    from tidegauge.plans import features, finance, relational, rules, series, stages, statistics  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

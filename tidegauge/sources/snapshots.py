@@ -41,9 +41,59 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def recover(spark: SparkSession, path: str) -> bool:
+    """Put the old table back where a swap was cut short; whether that was needed."""
+    fs, p = _fs(spark, path)
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}__old")
+    return bool(not fs.exists(p) and fs.exists(old) and fs.rename(old, p))
+
+
+def drop(spark: SparkSession, path: str, suffix: str = "") -> bool:
+    """Delete a table, or its variant with a suffix; whether there was one."""
+    fs, p = _fs(spark, f"{path}{suffix}")
+    return bool(fs.delete(p, True))
+
+
+def create_if_absent(spark: SparkSession, path: str, schema: str) -> bool:
+    """An empty table of a schema where there is none; whether it was made."""
+    if exists(spark, path):
+        return False
+    spark.createDataFrame([], schema).write.parquet(path)
+    return True
+
+
+def list_tables(spark: SparkSession, base: str, like: str = "%") -> list[str]:
+    """Names of the tables under a folder that match a LIKE pattern, without those of swaps and the engine's own."""
+    fs, p = _fs(spark, base)
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+    names = [n for n in names if not n.startswith(("_", ".")) and not n.endswith(("__new", "__old"))]
+    if not names:
+        return []
+    return [r.name for r in spark.createDataFrame([(n,) for n in names], "name string").where(F.col("name").like(like)).orderBy("name").collect()]
+
+
+#: Databases that no listing shows.
+SYSTEM_DATABASES = ("system", "information_schema", "INFORMATION_SCHEMA")
+
+
+def list_databases(spark: SparkSession, like: str = "%") -> list[str]:
+    names = spark.createDataFrame([(d.name,) for d in spark.catalog.listDatabases()], "name string")
+    return [r.name for r in names.where(F.col("name").like(like) & ~F.col("name").isin(*SYSTEM_DATABASES)).orderBy("name").collect()]
+
+
+def asset_config(spark: SparkSession, path: str) -> DataFrame:
+    """``(symbol, interval)`` of an asset file: a JSON object of lists of intervals by symbol."""
+    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,array<string>>").alias("m"))
+    return raw.select(F.explode("m").alias("symbol", "intervals")).select("symbol", F.explode("intervals").alias("interval"))
+
+
 def swap(df: DataFrame, path: str) -> None:
-    """Write beside a table, then take its place by renaming; the old one goes last."""
+    """Write beside a table, then take its place by renaming; the old one goes last.
+
+    A driver lost between the two renames leaves no table under its name, but the old one whole: ``recover`` brings it back.
+    """
     spark = df.sparkSession
+    recover(spark, path)
     df.write.mode("overwrite").parquet(f"{path}__new")
     fs, p = _fs(spark, path)
     new, old = (spark._jvm.org.apache.hadoop.fs.Path(f"{path}{x}") for x in ("__new", "__old"))
