@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions import scalars as H
 from tidegauge.operators import outliers as L
+from tidegauge.operators import rules as R
 from tidegauge.plans.series import filled
 from tidegauge.plans.stages import preprocess
 from tidegauge.sources import snapshots, tables
@@ -30,7 +31,7 @@ def test_scalars(spark):
 def test_adaptive_weights_and_limits(spark):
     for quality, residual, want in ((0.4, 0.9, 1.0), (0.8, 0.06, 0.3), (0.6, 0.01, 0.6), (0.6, 0.03, 0.5), (0.8, 0.03, 0.5)):
         assert one(spark, L.adaptive_weights(F.lit(quality), F.lit(residual))[0].alias("w")).w == want
-    assert one(spark, L.adapted_limit(3.0, F.lit(1.0), F.lit(0.0)).alias("x")).x == 3.0 and one(spark, L.adapted_limit(3.0, F.lit(1.0), F.lit(0.99)).alias("x")).x == 6.0
+    assert one(spark, R.adapted_limit(3.0, F.lit(1.0), F.lit(0.0)).alias("x")).x == 3.0 and one(spark, R.adapted_limit(3.0, F.lit(1.0), F.lit(0.99)).alias("x")).x == 6.0
 
 
 def test_chain_keeps_every_row_and_adds_up(spark):
