@@ -17,7 +17,8 @@ strings have equal anchors at equal places, so only anchors are sorted: about on
 Anchors found in more than ``HOT`` chunks are not sent as suffixes with all that surrounds them: each of their strings is
 dealt by its own bytes, so a passage that very many documents share spreads over all partitions.
 
-Chunks, buckets and partitions have bounded size: their number follows the total of bytes, up to ``MOST``. A chunk holds at
+Buckets and partitions go by number, one to a task, so no two share one by chance. Chunks, buckets and partitions have
+bounded size: their number follows the total of bytes, up to ``MOST``. A chunk holds at
 least one whole document. Not all of an answer comes through the merge: step 2 drops anchors by hashes before anything is
 sorted, and the bytes before the anchors are sorted within their partition in step 4; both are exact.
 
@@ -147,7 +148,7 @@ def _by_bucket(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.
     return (both >> np.uint64(32)).astype(np.int64), (both & np.uint64(0xFFFFFFFF)).astype("<u4"), inverse
 
 
-_SENT = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("data", pa.binary())])
+_SENT = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("data", pa.binary())])
 
 
 def _uri(base: str, chunk: int) -> str:
@@ -171,7 +172,7 @@ def _pack(batches, base: str, buckets: int):
         several = (low != high).astype(np.uint8)
         cuts = np.searchsorted(bucket, np.arange(buckets + 1))
         rows = [(b, key[x:y].tobytes() + several[x:y].tobytes()) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if y > x] or [(0, b"")]
-        return pa.RecordBatch.from_arrays([pa.array([number] * len(rows), pa.int64()), pa.array([b for b, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], schema=_SENT)
+        return pa.RecordBatch.from_arrays([pa.array([number] * len(rows), pa.int64()), pa.array([b for b, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], schema=_SENT)
 
     for b in batches:
         for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
@@ -242,7 +243,7 @@ class Records:
         return ((h >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
 
 
-_RUNS = pa.schema([("part", pa.int64()), ("chunk", pa.int64()), ("run", pa.binary())])
+_RUNS = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("run", pa.binary())])
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -350,7 +351,7 @@ def _send(key, table: pa.Table, base: str, buckets: int, parts: int) -> pa.Table
     r = Records(_uri(base, chunk), table, buckets)
     part = r.partition(parts)
     out = [(int(q), encode_run(r.rows[part == q], r.least[part == q])) for q in np.unique(part)]
-    return pa.Table.from_arrays([pa.array([q for q, _ in out], pa.int64()), pa.array([chunk] * len(out), pa.int64()), pa.array([x for _, x in out], pa.binary())], schema=_RUNS)
+    return pa.Table.from_arrays([pa.array([q for q, _ in out], pa.int32()), pa.array([chunk] * len(out), pa.int64()), pa.array([x for _, x in out], pa.binary())], schema=_RUNS)
 
 
 def least_documents(lcp: np.ndarray, other: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -433,11 +434,11 @@ def deduplicate(docs: DataFrame, full: bool = False, hot: int = HOT) -> DataFram
     buckets, parts = (min(MOST, max(LEAST, -(-total // size))) for size in (BUCKET_BYTES, PARTITION_BYTES))
     base = new_path(spark, f"chunks-{uuid.uuid4().hex}")
     tasks = max(8, -(-total // (CHUNKS_A_TASK * CHUNK_BYTES)))  # by the text behind the rows: the rows themselves are small
-    sent = texts.mapInArrow(partial(_pack, base=base, buckets=buckets), "chunk long, bucket long, data binary").repartition(buckets, "bucket")
-    kinds = Saved(sent.groupBy("bucket").applyInArrow(_table(_shared, hot=hot), "chunk long, bucket long, data binary"), "kinds", behind=total).df
+    sent = texts.mapInArrow(partial(_pack, base=base, buckets=buckets), "chunk long, bucket int, data binary").repartitionById(buckets, "bucket")
+    kinds = Saved(sent.groupBy("bucket").applyInArrow(_table(_shared, hot=hot), "chunk long, bucket int, data binary"), "kinds", behind=total).df
     kinds = kinds.repartition(tasks, "chunk")
-    runs = kinds.groupBy("chunk").applyInArrow(_keyed(_send, base=base, buckets=buckets, parts=parts), "part long, chunk long, run binary").repartition(parts, "part")
-    answers = Saved(runs.groupBy("part").applyInArrow(_table(_merge), "part long, chunk long, run binary"), "answers", behind=total).df.repartition(tasks, "chunk")
+    runs = kinds.groupBy("chunk").applyInArrow(_keyed(_send, base=base, buckets=buckets, parts=parts), "part int, chunk long, run binary").repartitionById(parts, "part")
+    answers = Saved(runs.groupBy("part").applyInArrow(_table(_merge), "part int, chunk long, run binary"), "answers", behind=total).df.repartition(tasks, "chunk")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if full else "")
     return kinds.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_keyed_pair(_finish, base=base, buckets=buckets, parts=parts, full=full), schema)
 
