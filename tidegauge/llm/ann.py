@@ -8,14 +8,16 @@ Candidates that share a bucket with a probe are ranked by exact distance on the
 K follows the number of rows, so that buckets stay small; tables and probes follow K and the number of rows (``settings``).
 
 Vectors ship with their table entries, once for each table; bucket by bucket they meet the probes in groups of bounded
-size. Small buckets share a group; a bucket over ``GROUP_ROWS`` entries is dealt over several groups, and its probes go to
-each. A group returns a query's nearest only, which loses nothing: the nearest of all are among the nearest of each part.
+size. Small buckets share a group; one with many entries or many probes is dealt over several groups on both sides, so that
+each part of its entries meets each part of its probes once. A group returns a query's nearest only, which loses nothing:
+the nearest of all are among the nearest of each part. (Sending ids first and fetching the vectors of the candidates would
+send more: a query has thousands of candidates, a vector 16 to 32 tables.)
 Of equal vectors only the ``k`` + 1 with the least ids are entered, as no other can be among a query's k nearest.
 Queries that found fewer than k are answered exhaustively, in blocks.
 
 Defined cases: a vector that is null, empty, zero, or holds a null or non-finite component takes no part, neither do null
 ids; so do vectors of another length than most; of rows with equal ids each is a candidate, other queries' too; with fewer
-than k candidates all are returned; an empty table gives an empty result.
+than k candidates all are returned; other columns, whatever their names, are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,7 +40,11 @@ _FOUND = "query_id long, vec_id long, score double"
 
 
 def settings(n: int) -> dict[str, int]:
-    """Rotations for each table, tables and probes for n vectors; recall is measured in the tests and the README."""
+    """Rotations for each table, tables and probes for n vectors, which callers may override one by one.
+
+    Buckets are as many as signed axes to the power of the rotations, so more rows need more rotations for buckets of a few
+    rows; each setting gives the same result up to recall, which the README has for the sizes measured.
+    """
     if n < 1 << 15:
         few = max(0, math.ceil(math.log2((1 << 13) / max(n, 64))))
         return {"rotations": 1, "tables": 16, "probes": 4 + 2 * few}
@@ -195,13 +201,16 @@ def search(vectors: DataFrame, is_query, k: int = 10, **options: int) -> DataFra
     entries = hashed.select("vec_id", "v", F.posexplode("buckets").alias("t", "bucket")).withColumn("t", F.col("t").cast("long"))
     probes = queries.mapInArrow(partial(_probes, maker=maker, dim=dim, n=chosen["probes"]), f"t long, bucket long, query_id long, q {kind}")
     groups = max(1, -(-n * maker["tables"] // GROUP_ROWS))
-    large = Saved(entries.groupBy("t", "bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP_ROWS // 2), "large").df
-    large = large.select("t", "bucket", F.ceil(F.col("n") / (GROUP_ROWS // 2)).cast("long").alias("parts"))
+    half = GROUP_ROWS // 2
+    many = lambda df, name: df.groupBy("t", "bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > half).select("t", "bucket", F.ceil(F.col("n") / half).cast("long").alias(name))
+    large = Saved(many(entries, "parts").join(many(probes, "turns"), ["t", "bucket"], "full").fillna(1, ["parts", "turns"]), "large").df
     small = F.pmod(F.xxhash64("t", "bucket"), F.lit(groups))
-    put = lambda part: F.when(F.col("parts").isNull(), small).otherwise(F.xxhash64("t", "bucket", part))
-    e = entries.join(large, ["t", "bucket"], "left").withColumn("g", put(F.pmod(F.xxhash64("vec_id"), F.coalesce("parts", F.lit(1)))))
-    p = probes.join(large, ["t", "bucket"], "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))).withColumn("g", put(F.col("part")))
-    e, p = e.select("g", "t", "bucket", "vec_id", "v"), p.select("g", "t", "bucket", "query_id", "q")
+    each = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(c, F.lit(1).cast("long")) - 1))
+    own = lambda key, c: F.pmod(F.xxhash64(key), F.coalesce(F.col(c), F.lit(1).cast("long")))
+    e = entries.join(large, ["t", "bucket"], "left").withColumn("part", own("vec_id", "parts")).withColumn("turn", each(F.col("turns")))
+    p = probes.join(large, ["t", "bucket"], "left").withColumn("turn", own("query_id", "turns")).withColumn("part", each(F.col("parts")))
+    group = F.when(F.col("parts").isNull(), small).otherwise(F.xxhash64("t", "bucket", "part", "turn")).alias("g")
+    e, p = e.select(group, "t", "bucket", "vec_id", "v"), p.select(group, "t", "bucket", "query_id", "q")
     found = e.groupBy("g").cogroup(p.groupBy("g")).applyInArrow(_meet(k, dim, True), _FOUND)
     by_score = Window.partitionBy("query_id").orderBy("score", "vec_id")
     top = Saved(found.distinct().withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k), "nearest").df
