@@ -5,12 +5,14 @@ to the class L, the least power of two not under s; for each class a document ha
 L / 2, so every run of L shingles lies in a window whole. A window's MinHash has ``BANDS`` bands of one row. A window that
 holds 0.8 of a template has a Jaccard similarity of at least 0.25 with it (0.33 if it holds all), so some band agrees with
 probability 0.9968 (0.9997) or more. Windows that agree with a template in a band are verified by the exact share of its
-shingles in the window. Windows without any template shingle can't match and have no MinHash computed.
+shingles in the window. Windows without any template shingle can't match and have no MinHash computed; that test is exact
+and loses nothing, but it also means that the bands only choose among windows that hold some part of a template.
 
 Templates of under five words are one shingle each of all their words and are not supported here: every template has five.
 
-Defined cases: null texts match nothing; null ids are kept; rows with equal ids are scanned each by its own text and give
-one result for the id; an empty table gives an empty result; other columns are not read.
+Defined cases: null texts match nothing; null ids are kept; texts of any length are scanned whole; rows with equal ids are
+scanned each by its own text and give one result for the id; of equally good windows the first counts; an empty table gives
+an empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

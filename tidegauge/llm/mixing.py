@@ -1,12 +1,17 @@
 """Mixing sources to target weights, in DataFrame operations only.
 
 Tokens (words) are counted per source; each source's target follows from its weight; a source's repetition rate is
-target / size. A document is then emitted floor(rate) times, plus once more with probability rate - floor(rate), drawn
-from a hash of its id. A source may draw with any of eight independent hash seeds, all taken from one SHA-256; it uses
-the one whose total comes nearest its target, so small sources come near too and reruns agree.
+target / size. A document is then emitted floor(rate) times, plus once more if a hash-seeded Bernoulli draw of its id with
+probability rate - floor(rate) says so. Each source has eight hash seeds, all taken from one SHA-256, and uses the one whose
+total comes nearest its target (of equally near ones the first). That is a deviation from one plain draw: given the seed
+the copies are no longer independent; it is there because a source of few documents would miss its target otherwise.
 
-Defined cases: null text has size 0; null source is a source of its own, ordered last; a source of no words has target
-and rate 0; a null id draws like the empty string; rows with equal ids draw alike; an empty table gives an empty result.
+The targets' windows run over one row for each source, in one task: that holds for millions of sources, not for a source
+to each document.
+
+Defined cases: null text has size 0; texts of any length are counted whole; null source is a source of its own, ordered
+last; a source of no words has target and rate 0; a null id draws like the empty string; rows with equal ids draw alike;
+other columns, whatever their names, pass on unread; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -9,9 +9,10 @@ Equal fingerprints collapse before anything else. Buckets of two are compared in
 bounded size, each giving at most one edge for each member. Where a bucket has several blocks, a second pass compares
 blocks again, but only members that the first pass left in different components; so a dense group costs no square.
 
-Defined cases: a null or blank text has fingerprint 0; texts under ``width`` words are one shingle; rows with a null id
+Defined cases: a null or blank text has fingerprint 0; texts under ``width`` words are one shingle; texts of any length are
+hashed whole; of equal least ids in ``keep_one`` the one with the least fingerprint stays; rows with a null id
 keep their row, but a null is never a component id unless the component has no other id; equal ids are separate rows; an
-empty table gives an empty result; other columns are not read.
+empty table gives an empty result; other columns, whatever their names, are not read (``keep_one`` passes them on).
 """
 
 from __future__ import annotations
