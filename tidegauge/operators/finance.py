@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,12 +47,26 @@ def market_beta(pairs: DataFrame) -> DataFrame:
 
 
 def lead_lag(pairs: DataFrame, max_lag: int = MAX_LAG) -> DataFrame:
-    """The lag with the strongest correlation, positive where the reference leads, as a share of ``max_lag``."""
-    ks = range(-max_lag, max_lag + 1)
-    p = pairs.withColumns({f"_r{k + max_lag}": F.lag("reference", k).over(by_time()) for k in ks})
-    s = p.groupBy("ts_id").agg(*[F.corr("target", f"_r{k + max_lag}").alias(f"_c{k + max_lag}") for k in ks])
-    best = F.greatest(*[F.struct(F.abs(F.col(f"_c{k + max_lag}")).alias("a"), F.lit(-abs(k)).alias("near"), F.lit(k).alias("k")) for k in ks])
-    return s.select("ts_id", (best["k"] / max_lag).alias("lead_lag"), best["a"].alias("strength"))
+    """The lag with the strongest correlation, positive where the reference leads, as a share of ``max_lag``.
+
+    One Arrow group for each series and one pass for each lag; as columns of one window they made very wide rows.
+    """
+
+    def best(df: pd.DataFrame) -> pd.DataFrame:
+        df = df.sort_values("open_time", kind="stable")
+        x, y = (df[c].to_numpy(float, na_value=np.nan) for c in ("target", "reference"))
+        found = []
+        for k in range(-max_lag, max_lag + 1):
+            a, b = (x[k:], y[: len(y) - k]) if k >= 0 else (x[:k], y[-k:])
+            both = np.isfinite(a) & np.isfinite(b)
+            a, b = a[both] - a[both].mean() if both.any() else a[:0], b[both] - b[both].mean() if both.any() else b[:0]
+            scale = np.sqrt((a @ a) * (b @ b))
+            if scale > 0:
+                found.append((abs(a @ b) / scale, -abs(k), k))
+        strength, _, k = max(found, default=(None, 0, None))
+        return pd.DataFrame({"ts_id": [df["ts_id"].iloc[0]], "lead_lag": [None if k is None else k / max_lag], "strength": [strength]}, dtype=object)
+
+    return pairs.select("ts_id", "open_time", "target", "reference").groupBy("ts_id").applyInPandas(best, "ts_id string, lead_lag double, strength double")
 
 
 def contagion(pairs: DataFrame, n: int = WINDOW) -> DataFrame:
