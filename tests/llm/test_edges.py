@@ -111,3 +111,17 @@ def test_saved_tables_of_a_cluster_need_a_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         common.shared_dir(Session())
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "conversations"):
+        con.execute(f"create view {t} as select * from '/root/testdata/sf0.001/{t}.parquet'")
+    want = con.execute(queries.ORACLE_SQL[name]).df()
+    got = queries.QUERIES[name](spark, "/root/testdata/sf0.001").toPandas()
+    columns = sorted(want.columns)
+    assert sorted(got.columns) == columns
+    assert sorted(map(tuple, got[columns].astype(str).values.tolist())) == sorted(map(tuple, want[columns].astype(str).values.tolist()))

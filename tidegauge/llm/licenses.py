@@ -112,3 +112,22 @@ def scan(docs: DataFrame, texts: dict[str, str] = TEMPLATES, share: float = SHAR
     best = met.select("doc_id", "license", exact, "start").where(F.col("containment") >= share)
     order = F.struct(-F.col("containment"), F.col("start"))
     return best.groupBy("doc_id", "license").agg(F.max("containment").alias("containment"), F.min_by("start", order).cast("long").alias("position"))
+
+
+def _shingled_sql(text: str) -> str:
+    return f"string_split(trim(regexp_replace(lower(coalesce({text}, '')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ')"
+
+
+def oracle(texts: dict[str, str] = TEMPLATES, share: float = SHARE) -> str:
+    """Every window against every template by exact containment, without bands, as SQL."""
+    values = ", ".join("('" + k + "', '" + v.replace("'", "''") + "')" for k, v in texts.items())
+    each = f"list_transform(range(1, len(w) - {WIDTH - 2}), lambda i: array_to_string(w[i:i + {WIDTH - 1}], ' '))"
+    return f"""with tw as (select license, {_shingled_sql('t')} w from (values {values}) v(license, t)),
+ts as (select license, list_distinct({each}) t, cast(pow(2, ceil(log2(len(w) - {WIDTH - 1}))) as bigint) size from tw),
+tt as (select license, size, len(t) n, unnest(t) sh from ts),
+dw as (select row_number() over () rid, doc_id, {_shingled_sql('text')} w from documents),
+ds as (select rid, doc_id, unnest({each}) sh, unnest(range(len(w) - {WIDTH - 1})) p from dw where len(w) >= {WIDTH}),
+hits as (select rid, doc_id, license, n, sh, p, greatest(1, size // 2) step, greatest(1, cast(floor(1.5 * size) as bigint)) long from ds join tt using (sh)),
+wins as (select rid, doc_id, license, n, sh, step, unnest(range(cast(greatest(0, floor((p - long)::double / step) + 1) as bigint), p // step + 1)) j from hits),
+held as (select doc_id, license, j * step start, count(distinct sh)::double / any_value(n) containment from wins group by rid, doc_id, license, j * step)
+select doc_id, license, max(containment) containment, cast(arg_min(start, (-containment, start)) as bigint) position from held where containment >= {share} group by 1, 2"""

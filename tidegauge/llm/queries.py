@@ -86,4 +86,4 @@ select conv_id, cast(count(*) as bigint) n_turns, sha256(string_agg(role || chr(
   sha256(coalesce(string_agg(text, '' {_TURNS}) filter (where role = 'assistant'), '')) loss_sha256,
   cast(sum(length('<turn>### : </turn>') + 1 + {_escaped('role')} + {_escaped('text')}) as bigint) formatted_chars
 from c group by conv_id"""
-ORACLE_SQL = {"op5_mixing": mixing.ORACLE, "op10_chat": _CHAT}
+ORACLE_SQL = {"op5_mixing": mixing.ORACLE, "op7_suffix_array": suffix.ORACLE, "op8_licenses": licenses.oracle(), "op10_chat": _CHAT}

@@ -453,3 +453,18 @@ def _keyed(f, **options):
 
 def _keyed_pair(f, **options):
     return lambda key, left, right: f(key, left, right, **options)
+
+
+#: Every string of the input against the least document that holds it; bytes as pairs of hexadecimal digits.
+ORACLE = f"""with d as (select row_number() over () rid, doc_id, hex(encode(coalesce(text, ''))) hx from documents),
+n as (select *, len(hx) // 2 n_bytes from d),
+s as (select rid, doc_id, p, substring(hx, cast(2 * p + 1 as bigint), {2 * LENGTH}) sub from (select *, unnest(range(n_bytes - {LENGTH - 1})) p from n)),
+f as (select sub, min(doc_id) least from s group by sub having count(*) > 1),
+r as (select rid, p, p > lag(p) over (partition by rid order by p) + {LENGTH} is_new from s join f using (sub) where least < doc_id),
+g as (select rid, p, sum(coalesce(is_new, true)::int) over (partition by rid order by p rows unbounded preceding) run from r),
+runs as (select rid, min(p) a, max(p) + {LENGTH} b from g group by rid, run),
+cut as (select rid, a, b, coalesce(lag(b) over (partition by rid order by a), 0) before from runs),
+kept as (select rid, cast(sum(b - a) as bigint) n_removed, cast(count(*) as bigint) n_spans, max(b) tail,
+  string_agg(substring(hx, cast(2 * before + 1 as bigint), cast(2 * (a - before) as bigint)), '' order by a) head from cut join n using (rid) group by rid)
+select doc_id, cast(n_bytes as bigint) n_bytes, coalesce(n_removed, 0) n_removed, coalesce(n_spans, 0) n_spans,
+  sha256(unhex(case when head is null then hx else head || substring(hx, cast(2 * tail + 1 as bigint)) end)) kept_sha256 from n left join kept using (rid)"""
