@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.operators import analysis as A
 from tidegauge.operators import calendar as C
-from tidegauge.plans.features import O, base
+from tidegauge.plans.features import BASE, O, base
 from tidegauge.plans.registry import query
 from tidegauge.plans.relational import EVT, rounded
 from tidegauge.sources import tables as T
@@ -66,7 +66,7 @@ def _kernel(key: str, name: str):
 
 for _key, _name in (
     ("i01_stationarity", "stationarity"), ("i07_canonical", "canonical"), ("j01_acf_periods", "acf_periods"), ("j02_spectral_periods", "spectral_periods"),
-    ("j03_wavelet_periods", "wavelet_periods"), ("j08_period_consensus", "periodicity"), ("k17_boxcox", "boxcox"), ("e09_shape", "shape"), ("j15_legacy_period", "legacy_period")
+    ("j03_wavelet_periods", "wavelet_periods"), ("j08_period_consensus", "periodicity"), ("k17_boxcox", "boxcox"), ("e09_shape", "shape")
 ):
     _kernel(_key, _name)
 
@@ -75,7 +75,7 @@ def _method(key: str, method: str | None):
     query(key)(lambda spark, d: A.decompose(filled(spark, d), "y", method, None if method is None else 24))
 
 
-for _key, _name in (("k01_fourier", "fourier"), ("k02_ssa", "ssa"), ("k03_mstl", "mstl"), ("k04_stl", "stl"), ("k04_robust_stl", "robust_stl"), ("k07_additive_regression", "additive_regression"), ("k06_smoothed", "smoothed"), ("k13_decompose", None)):
+for _key, _name in (("k02_ssa", "ssa"), ("k03_mstl", "mstl"), ("k04_stl", "stl"), ("k04_robust_stl", "robust_stl"), ("k07_additive_regression", "additive_regression"), ("k13_decompose", None)):
     _method(_key, _name)
 
 
@@ -84,9 +84,59 @@ def l14(spark, d):
     return A.replace_outliers(base(spark, d), "y", "isolation_forest")
 
 
-@query("l15_lof")
+_DFT = f"""{FILLED}, ln as (select *, regr_slope(y, i) over (partition by ts_id) b1, regr_intercept(y, i) over (partition by ts_id) b0 from k), de as (select ts_id, i, n, y, b0 + b1 * i line, y - b0 - b1 * i d, z from ln),
+fr as (select ts_id, n, unnest(range(1, n // 2 + 1)) f from (select distinct ts_id, n from k))"""
+
+
+def _power_sql(value: str) -> str:
+    return f"select fr.ts_id, f, any_value(fr.n) n, sum({value} * cos(2 * pi() * f * i / fr.n)) re, sum({value} * sin(2 * pi() * f * i / fr.n)) im from fr join de on de.ts_id = fr.ts_id group by 1, 2"
+
+
+_LEGACY = f"""{_DFT}, pw as ({_power_sql('z')}), bf as (select ts_id, arg_max(f, (re * re + im * im, -f)) f from pw group by 1),
+la as (select a.ts_id, b.i - a.i lag, sum(a.z * b.z) s from k a join k b on b.ts_id = a.ts_id and b.i - a.i between 0 and least(365, a.n - 1) group by 1, 2),
+lf as (select la.ts_id, min(lag) lag from la join (select ts_id, s s0 from la where lag = 0) using (ts_id) where lag > 0 and s / s0 > 0.3 group by 1)"""
+
+
+@query("j15_legacy_period", f"with {_LEGACY} select n.ts_id, cast(greatest(2, least(coalesce(lag, n), cast(round_even(n / f, 0) as bigint))) as int) period, 'success' status, '' message from (select distinct ts_id, n from k) n join bf using (ts_id) left join lf using (ts_id)")
+def j15(spark, d):
+    return A.analyse(filled(spark, d), "y", "legacy_period")
+
+
+_FOURIER = f"""{_DFT}, pw as (select *, re * re + im * im p from ({_power_sql('d')})), pk as (select *, coalesce(lag(p) over (partition by ts_id order by f), 0) p0, coalesce(lead(p) over (partition by ts_id order by f), 0) p1, max(p) over (partition by ts_id) top from pw),
+hs as (select * from pk where p > p0 and p > p1 and p >= 0.05 * top qualify row_number() over (partition by ts_id order by p desc, f) <= greatest(1, least(10, 12, n // 4))),
+ss as (select de.ts_id, de.i, sum(case when 2 * f = de.n then 1 else 2 end / de.n::double * (re * cos(2 * pi() * f * de.i / de.n) + im * sin(2 * pi() * f * de.i / de.n))) s from de join hs on hs.ts_id = de.ts_id group by 1, 2),
+tm as (select ts_id, open_time, row_number() over ({O}) - 1 i from x)"""
+
+
+@query("k01_fourier", f"with {_FOURIER} select tm.ts_id, open_time, round(line, 7) trend, round(s, 7) seasonal, round(d - s, 7) residual, 'fourier' \"method\", 24 period, 'success' status, '' message from tm join de using (ts_id, i) join ss using (ts_id, i)")
+def k01(spark, d):
+    got = A.decompose(filled(spark, d), "y", "fourier", 24)
+    return got.withColumns({c: F.round(c, 7) for c in ("trend", "seasonal", "residual")})
+
+
+_SMOOTHED = f"""{FILLED}, tm as (select ts_id, open_time, y, row_number() over ({O}) - 1 i, count(*) over (partition by ts_id) n from x), w as (select *, greatest(3, least(24, n // 2)) w from tm),
+o as (select *, unnest(range(w)) - w // 2 o from w), tr as (select o.ts_id, o.i, avg(k.y) t from o join tm k on k.ts_id = o.ts_id and k.i = least(o.n - 1, greatest(0, o.i + o.o)) group by 1, 2),
+dd as (select tm.*, t, avg(y - t) over (partition by ts_id, i % 24) s0 from tm join tr using (ts_id, i)), sc as (select *, s0 - avg(s0) over (partition by ts_id) s from dd)"""
+
+
+@query("k06_smoothed", f"with {_SMOOTHED} select ts_id, open_time, round(t, 9) trend, round(s, 9) seasonal, round(y - t - s, 9) residual, 'smoothed' \"method\", 24 period, 'success' status, '' message from sc")
+def k06(spark, d):
+    got = A.decompose(filled(spark, d), "y", "smoothed", 24)
+    return got.withColumns({c: F.round(c, 9) for c in ("trend", "seasonal", "residual")})
+
+
+_LOF = f"""{BASE}, b as (select ts_id, open_time, y, row_number() over ({O}) i, row_number() over (partition by ts_id order by y, open_time) r, count(*) over (partition by ts_id) n from x), kk as (select *, least(least(20, greatest(5, n // 20)), n - 1) k from b),
+nb as (select a.ts_id, a.r, a.k, c.r q, abs(c.y - a.y) d from kk a join kk c on c.ts_id = a.ts_id and c.r <> a.r and c.r between a.r - a.k and a.r + a.k qualify row_number() over (partition by a.ts_id, a.r order by abs(c.y - a.y), c.r) <= a.k),
+far as (select ts_id, r, max(d) far from nb group by 1, 2), den as (select nb.ts_id, nb.r, 1 / greatest(avg(greatest(d, far.far)), 1e-10) density from nb join far on far.ts_id = nb.ts_id and far.r = nb.q group by 1, 2),
+sc as (select nb.ts_id, nb.r, avg(o.density) / any_value(m.density) score from nb join den o on o.ts_id = nb.ts_id and o.r = nb.q join den m on m.ts_id = nb.ts_id and m.r = nb.r group by 1, 2),
+q as (select ts_id, quantile_cont(y, 0.25) q1, quantile_cont(y, 0.75) q3 from x group by 1), sh as (select ts_id, round_even(least(0.3, avg((y < q1 - 1.5 * (q3 - q1) or y > q3 + 1.5 * (q3 - q1))::int)) * count(*), 0) m from x join q using (ts_id) group by 1),
+fl as (select b.ts_id, open_time, y, score, row_number() over (partition by b.ts_id order by score desc, i) <= m is_outlier from b join sc using (ts_id, r) join sh using (ts_id)), md as (select ts_id, median(y) med from fl where not is_outlier group by 1)"""
+
+
+@query("l15_lof", f"with {_LOF} select ts_id, open_time, is_outlier, round(score, 7) score, round(case when is_outlier then med else y end, 9) cleaned from fl join md using (ts_id)")
 def l15(spark, d):
-    return A.replace_outliers(base(spark, d), "y", "lof")
+    got = A.replace_outliers(base(spark, d), "y", "lof")
+    return got.withColumns({"score": F.round("score", 7), "cleaned": F.round("cleaned", 9)})
 
 
 @query("q02_tumbling_candles", f"with {EVT} select ts_id, open_time, round(open, 9) open, round(high, 9) high, round(low, 9) low, round(\"close\", 9) \"close\", round(volume, 9) volume, number_of_trades from candles_evt")
