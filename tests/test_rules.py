@@ -119,3 +119,36 @@ def test_walk_forward_folds(spark):
     for r in got:
         folds.setdefault((r.ts_id, r.fold, r.part), []).append(int(r.y))
     assert {k: (min(v), len(v)) for k, v in folds.items()} == {("a", f, p): ((5 * f, 10) if p == "train" else (5 * f + 10, 5)) for f in range(3) for p in ("train", "test")}
+
+
+def test_schemas_become_statements_and_migrations_files(spark):
+    from pyspark.sql import types as ty
+
+    from tidegauge.operators import catalog
+
+    old = {"t": ty._parse_datatype_string("a long, b string")}
+    new = {"t": ty._parse_datatype_string("a string, c double")}
+    changes = catalog.compare(old, new)
+    again = catalog.load_changes(catalog.dump_changes(changes))
+    assert again == changes and catalog.apply(old, again)["t"].simpleString() == "struct<a:string,c:double>"
+    schema = ty.StructType([ty.StructField("a", ty.LongType(), False), ty.StructField("ym", ty.StringType())])
+    spark.sql("DROP TABLE IF EXISTS made_by_statement")
+    spark.sql(catalog.create_statement("made_by_statement", schema, ["ym"]))
+    try:
+        assert spark.table("made_by_statement").columns == ["a", "ym"]
+        spark.sql(catalog.create_statement("made_by_statement", schema, ["ym"]))
+    finally:
+        spark.sql("DROP TABLE made_by_statement")
+
+
+def test_failed_methods_fall_back_to_stl(spark, monkeypatch):
+    from tidegauge.operators import analysis as A
+
+    x = 10 + np.sin(np.arange(96) / 4)
+    real = A.run_method
+    monkeypatch.setattr(A, "run_method", lambda x, m, p: real(x, m, p) if m == "stl" else 1 / 0 if m == "ssa" else (x * np.nan,) * 3)
+    for method in ("ssa", "fourier"):
+        out = A._decomposer(method, 24)(x)
+        assert set(out.method) == {"stl"} and set(out.status) == {"success"} and out.message.str.startswith(method).all()
+    monkeypatch.setattr(A, "run_method", lambda *_: (x * np.nan,) * 3)
+    assert set(A._decomposer("ssa", 24)(x).method) == {"mean"}

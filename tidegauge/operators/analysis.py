@@ -16,6 +16,7 @@ from tidegauge.kernels import series as K
 
 Kernel = Callable[[np.ndarray], dict]
 _STATUS = "status string, message string"
+_PARTS = f"trend double, seasonal double, residual double, method string, period int, {_STATUS}"
 _KERNELS: dict[str, tuple[Kernel, str, int]] = {}
 
 
@@ -73,8 +74,36 @@ def decompose(df: DataFrame, value: str, method: str | None = None, period: int
     """``trend, seasonal, residual`` beside every row, with method, period and status.
 
     Without a method one is chosen from length and detected period; without a period the detected one is used, else 24.
+    Where the method fails or gives anything but numbers, STL's components stand in, with the reason in ``message``.
     """
+    return _grouped(df, value, _PARTS, _decomposer(method, period), True)
 
+
+def redecompose(df: DataFrame, value: str, stored: DataFrame) -> DataFrame:
+    """Components by each series' own stored ``(ts_id, method, period)``, as an earlier run chose them; others choose anew."""
+
+    def call(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("open_time", kind="stable")
+        method, period = pdf["method"].iloc[0], pdf["period"].iloc[0]
+        known = isinstance(method, str)
+        out = _decomposer(method if known else None, int(period) if known and pd.notna(period) else None)(pdf["y"].to_numpy(float, na_value=np.nan))
+        out.insert(0, "ts_id", pdf["ts_id"].iloc[0])
+        out.insert(1, "open_time", pdf["open_time"].to_numpy())
+        return out
+
+    fields = df.select("ts_id", "open_time", df[value].cast("double").alias("y")).join(stored.select("ts_id", "method", "period"), "ts_id", "left")
+    return fields.groupBy("ts_id").applyInPandas(call, f"ts_id string, open_time timestamp_ntz, {_PARTS}")
+
+
+def clean_residual(df: DataFrame, value: str, method: str, outliers: str, period: int | None = None) -> DataFrame:
+    """Decompose, replace the outliers of the residual, put the components together again: ``cleaned`` beside every row."""
+    parts = decompose(df, value, method, period)
+    rest = replace_outliers(parts.select("ts_id", "open_time", "residual"), "residual", outliers)
+    both = parts.select("ts_id", "open_time", "trend", "seasonal").join(rest.withColumnRenamed("cleaned", "_rest"), ["ts_id", "open_time"])
+    return both.select("ts_id", "open_time", "is_outlier", (both["trend"] + both["seasonal"] + both["_rest"]).alias("cleaned"))
+
+
+def _decomposer(method: str | None, period: int | None) -> Callable[[np.ndarray], pd.DataFrame]:
     def rows(x: np.ndarray) -> pd.DataFrame:
         why = gate(x, 10) or (None if len(np.unique(x)) >= 3 else "under three distinct values")
         if why:
@@ -82,14 +111,18 @@ def decompose(df: DataFrame, value: str, method: str | None = None, period: int
             return pd.DataFrame({"trend": empty, "seasonal": empty, "residual": empty, "method": None, "period": 0, "status": "error", "message": why})
         p = period or detect(x)["period"] or min(24, len(x) // 3)
         m = method or choose_method(x, p)
-        try:
-            t, s, r = run_method(x, m, p)
-        except (ArithmeticError, ValueError, np.linalg.LinAlgError) as e:
-            t, s, m, why = np.full(len(x), x.mean()), np.zeros(len(x)), "mean", f"{type(e).__name__}: {e}"
-            r = x - t
-        return pd.DataFrame({"trend": t, "seasonal": s, "residual": r, "method": m, "period": p, "status": "error" if why else "success", "message": why or ""})
-
-    return _grouped(df, value, f"trend double, seasonal double, residual double, method string, period int, {_STATUS}", rows, True)
+        for m in (m, "stl"):
+            try:
+                t, s, r = run_method(x, m, p)
+                if np.isfinite(t + s + r).all():
+                    return pd.DataFrame({"trend": t, "seasonal": s, "residual": r, "method": m, "period": p, "status": "success", "message": why or ""})
+                why = why or f"{m}: not finite"
+            except (ArithmeticError, ValueError, np.linalg.LinAlgError) as e:
+                why = why or f"{m}: {type(e).__name__}: {e}"
+        t = np.full(len(x), x.mean())
+        return pd.DataFrame({"trend": t, "seasonal": np.zeros(len(x)), "residual": x - t, "method": "mean", "period": p, "status": "error", "message": why})
+
+    return rows
 
 
 def choose_method(x: np.ndarray, period: int) -> str:

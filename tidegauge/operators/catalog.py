@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -58,6 +59,22 @@ class Change:
         return Change(kind, self.table, self.column, self.after, self.before)
 
 
+def create_statement(table: str, schema: T.StructType, partitions: list[str] | None = None) -> str:
+    """The statement that makes a table of a schema where there is none."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema)
+    by = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})" if partitions else ""
+    return f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{by}"
+
+
+def dump_changes(changes: list[Change]) -> str:
+    """A migration as a file: its changes in JSON, one a line."""
+    return "\n".join(json.dumps(asdict(c), sort_keys=True) for c in changes)
+
+
+def load_changes(text: str) -> list[Change]:
+    return [Change(**json.loads(x)) for x in text.splitlines() if x.strip()]
+
+
 def compare(old: dict[str, T.StructType], new: dict[str, T.StructType]) -> list[Change]:
     """Column changes from one set of tables to another, by table and column."""
     cells = lambda s: {(t, f.name): f.dataType.simpleString() for t, x in s.items() for f in x}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidegauge.operators import analysis as A
 from tidegauge.operators import calendar as C
 from tidegauge.plans.features import BASE, O, base
+from tidegauge.plans import registry
 from tidegauge.plans.registry import query
 from tidegauge.plans.relational import EVT, rounded
 from tidegauge.sources import tables as T
@@ -125,7 +126,15 @@ def k06(spark, d):
     return got.withColumns({c: F.round(c, 9) for c in ("trend", "seasonal", "residual")})
 
 
-_LOF = f"""{BASE}, b as (select ts_id, open_time, y, row_number() over ({O}) i, row_number() over (partition by ts_id order by y, open_time) r, count(*) over (partition by ts_id) n from x), kk as (select *, least(least(20, greatest(5, n // 20)), n - 1) k from b),
+@query("k20_redecompose", registry.oracle_of("k06_smoothed"))
+def k20(spark, d):
+    f = filled(spark, d)
+    stored = f.select("ts_id").distinct().select("ts_id", F.lit("smoothed").alias("method"), F.lit(24).alias("period"))
+    got = A.redecompose(f, "y", stored)
+    return got.withColumns({c: F.round(c, 9) for c in ("trend", "seasonal", "residual")})
+
+
+_LOF = f"""b as (select ts_id, open_time, y, row_number() over ({O}) i, row_number() over (partition by ts_id order by y, open_time) r, count(*) over (partition by ts_id) n from x), kk as (select *, least(least(20, greatest(5, n // 20)), n - 1) k from b),
 nb as (select a.ts_id, a.r, a.k, c.r q, abs(c.y - a.y) d from kk a join kk c on c.ts_id = a.ts_id and c.r <> a.r and c.r between a.r - a.k and a.r + a.k qualify row_number() over (partition by a.ts_id, a.r order by abs(c.y - a.y), c.r) <= a.k),
 far as (select ts_id, r, max(d) far from nb group by 1, 2), den as (select nb.ts_id, nb.r, 1 / greatest(avg(greatest(d, far.far)), 1e-10) density from nb join far on far.ts_id = nb.ts_id and far.r = nb.q group by 1, 2),
 sc as (select nb.ts_id, nb.r, avg(o.density) / any_value(m.density) score from nb join den o on o.ts_id = nb.ts_id and o.r = nb.q join den m on m.ts_id = nb.ts_id and m.r = nb.r group by 1, 2),
@@ -133,12 +142,18 @@ q as (select ts_id, quantile_cont(y, 0.25) q1, quantile_cont(y, 0.75) q3 from x
 fl as (select b.ts_id, open_time, y, score, row_number() over (partition by b.ts_id order by score desc, i) <= m is_outlier from b join sc using (ts_id, r) join sh using (ts_id)), md as (select ts_id, median(y) med from fl where not is_outlier group by 1)"""
 
 
-@query("l15_lof", f"with {_LOF} select ts_id, open_time, is_outlier, round(score, 7) score, round(case when is_outlier then med else y end, 9) cleaned from fl join md using (ts_id)")
+@query("l15_lof", f"with {BASE}, {_LOF} select ts_id, open_time, is_outlier, round(score, 7) score, round(case when is_outlier then med else y end, 9) cleaned from fl join md using (ts_id)")
 def l15(spark, d):
     got = A.replace_outliers(base(spark, d), "y", "lof")
     return got.withColumns({"score": F.round("score", 7), "cleaned": F.round("cleaned", 9)})
 
 
+@query("l18_clean_residual", f"with {BASE.replace(' x as (', ' x0 as (')}, parts as ({registry.oracle_of('k06_smoothed')}), x as (select ts_id, open_time, residual y from parts), {_LOF} select ts_id, open_time, is_outlier, round(trend + seasonal + case when is_outlier then med else residual end, 7) cleaned from fl join md using (ts_id) join parts using (ts_id, open_time)")
+def l18(spark, d):
+    got = A.clean_residual(filled(spark, d), "y", "smoothed", "lof", 24)
+    return got.withColumn("cleaned", F.round("cleaned", 7))
+
+
 @query("q02_tumbling_candles", f"with {EVT} select ts_id, open_time, round(open, 9) open, round(high, 9) high, round(low, 9) low, round(\"close\", 9) \"close\", round(volume, 9) volume, number_of_trades from candles_evt")
 def q02(spark, d):
     c = X.tumbling_candles(X.ticks(T.table(spark, d, "events"), None))
