@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.operators import analysis as A
 from tidegauge.operators import calendar as C
-from tidegauge.plans.features import BASE, O, base
+from tidegauge.plans.features import _END, _MID, BASE, O, base
 from tidegauge.plans import registry
 from tidegauge.plans.registry import query
 from tidegauge.plans.relational import EVT, rounded
@@ -65,10 +65,7 @@ def _kernel(key: str, name: str):
     query(key)(lambda spark, d: A.analyse(filled(spark, d), "y", name))
 
 
-for _key, _name in (
-    ("i01_stationarity", "stationarity"), ("i07_canonical", "canonical"), ("j01_acf_periods", "acf_periods"), ("j02_spectral_periods", "spectral_periods"),
-    ("j03_wavelet_periods", "wavelet_periods"), ("j08_period_consensus", "periodicity"), ("k17_boxcox", "boxcox"), ("e09_shape", "shape")
-):
+for _key, _name in (("i01_stationarity", "stationarity"), ("i07_canonical", "canonical"), ("j03_wavelet_periods", "wavelet_periods"), ("j08_period_consensus", "periodicity"), ("k17_boxcox", "boxcox")):
     _kernel(_key, _name)
 
 
@@ -115,6 +112,71 @@ def k01(spark, d):
     return got.withColumns({c: F.round(c, 7) for c in ("trend", "seasonal", "residual")})
 
 
+def _peaks_sql(src: str, name: str) -> str:
+    """CTEs that end in ``name(ts_id, k, v, prom)``: the local maxima of ``src(ts_id, k, v)`` with their prominences."""
+    return f"""{name}0 as (select * from (select *, lag(v) over (partition by ts_id order by k) v0, lead(v) over (partition by ts_id order by k) v1 from {src}) where v > v0 and v > v1),
+{name}1 as (select p.ts_id, p.k, p.v, coalesce(max(s.k) filter (s.k < p.k and s.v > p.v), min(s.k)) a, coalesce(min(s.k) filter (s.k > p.k and s.v > p.v), max(s.k)) b from {name}0 p join {src} s on s.ts_id = p.ts_id group by 1, 2, 3),
+{name} as (select p.ts_id, p.k, p.v, p.v - greatest(min(s.v) filter (s.k between a and p.k), min(s.v) filter (s.k between p.k and b)) prom from {name}1 p join {src} s on s.ts_id = p.ts_id group by 1, 2, 3)"""
+
+
+def _trust_sql(period: str, confidence: str) -> str:
+    return f"least(1, {confidence} * case when {period} < 3 then 0.7 else 1 end * case when {period} / n > 0.5 then 1.5 - {period} / n else 1 end * case when n / {period} < 2 then 0.8 else 1 end)"
+
+
+
+
+def _most_sql(n: str) -> str:
+    return f"(case when {n} < 100 then {n} // 3 when {n} < 1000 then least({n} // 3, 300) else least({n} // 4, 500) end)"
+
+
+_ACF_PEAKS = f"""{_DFT}, av as (select a.ts_id, b.i - a.i k, any_value(a.n) n, sum(a.d * b.d) / (any_value(a.n) - (b.i - a.i)) c from de a join de b on b.ts_id = a.ts_id and b.i - a.i between 0 and least(greatest(least(a.n // 2, {_most_sql('a.n')}, 1000), 10), a.n - 2) group by 1, 2),
+src as (select av.ts_id, k, n, c / c0 v from av join (select ts_id, c c0 from av where k = 0) using (ts_id)), {_peaks_sql('src', 'pk')},
+rt as (select pk.ts_id, k period, {_trust_sql('k', 'v * least(1, prom / 0.2)')} confidence from pk join (select distinct ts_id, n from k) using (ts_id) where v >= least(0.5, greatest(0.05, 1.96 / sqrt(n))) and prom >= 0.1 and k >= 2)"""
+_FOUND = "select ts_id, cast(period as int) period, round(confidence, 7) confidence from rt qualify row_number() over (partition by ts_id order by confidence desc, period) <= 10"
+
+
+def _periods(spark, d, name: str):
+    found = A.analyse(filled(spark, d), "y", name)
+    return found.select("ts_id", F.inline(F.arrays_zip("periods", "confidences"))).select("ts_id", F.col("periods").alias("period"), F.round("confidences", 7).alias("confidence"))
+
+
+@query("j01_acf_periods", f"with {_ACF_PEAKS} {_FOUND}")
+def j01(spark, d):
+    return _periods(spark, d, "acf_periods")
+
+
+_WELCH = f"""{_DFT}, sz as (select distinct ts_id, n, least(512, cast(pow(2, greatest(3, floor(log2(greatest(8, n / 4))))) as bigint)) size from k),
+sg as (select ts_id, n, size, unnest(range(0, n - size + 1, size // 2)) b from sz), sm as (select sg.ts_id, b, size, i - b j, d - avg(d) over (partition by sg.ts_id, b) d from sg join de on de.ts_id = sg.ts_id and i between b and b + size - 1),
+sw as (select ts_id, b, size, j, d * (0.5 - 0.5 * cos(2 * pi() * j / size)) d from sm), sf as (select distinct ts_id, size, unnest(range(2 * size + 1)) k from sz),
+sp as (select sw.ts_id, b, k, any_value(sw.size) size, pow(sum(d * cos(2 * pi() * k * j / (4 * sw.size))), 2) + pow(sum(d * sin(2 * pi() * k * j / (4 * sw.size))), 2) p from sw join sf on sf.ts_id = sw.ts_id group by 1, 2, 3),
+src as (select ts_id, k, any_value(size) size, avg(p) v from sp group by 1, 2), {_peaks_sql('src', 'pk')},
+mx as (select ts_id, max(v) top from src group by 1), ch as (select pk.*, top from pk join mx using (ts_id) where v >= 0.2 * top and prom >= 0.06 * top qualify row_number() over (partition by ts_id order by v desc) <= 5),
+vx as (select ch.ts_id, ch.v / top share, any_value(m.size) size, ch.k, max(ln(m.v)) filter (m.k = ch.k - 1) a, max(ln(m.v)) filter (m.k = ch.k) b, max(ln(m.v)) filter (m.k = ch.k + 1) c from ch join src m on m.ts_id = ch.ts_id and m.k between ch.k - 1 and ch.k + 1 group by ch.ts_id, ch.v, top, ch.k),
+rw as (select *, 4 * size / (k + 0.5 * (a - c) / (a - 2 * b + c)) w from vx), pr as (select rw.*, cast(round_even(w, 0) as bigint) p, n from rw join (select ts_id ti, n from sz) on ti = rw.ts_id),
+rt as (select ts_id, p period, max({_trust_sql('p', 'share * (1 - least(3 * abs(w - p) / p, 0.7))')}) confidence from pr where p >= 2 and p <= {_most_sql('n')} group by 1, 2)"""
+
+
+@query("j02_spectral_periods", f"with {_WELCH} {_FOUND}")
+def j02(spark, d):
+    return _periods(spark, d, "spectral_periods")
+
+
+_SHAPE = f"""{FILLED}, st as (select ts_id, y, row_number() over (partition by ts_id order by y) r, n from k),
+mr as (select *, case when r = n then pow(0.5, 1.0 / n) when r = 1 then 1 - pow(0.5, 1.0 / n) else (r - 0.3175) / (n + 0.365) end p from st), me as (select *, sqrt(-2 * ln(case when p < 0.5 then p else 1 - p end)) e from mr),
+qq as (select ts_id, corr(y, case when p < 0.02425 then {_END} when p > 1 - 0.02425 then -{_END} else {_MID} end) q from me group by 1),
+wd as (select ts_id, count(*) n, min(y) lo, max(y) hi, 2 * (quantile_cont(y, 0.75) - quantile_cont(y, 0.25)) / cbrt(count(*)) fd, (max(y) - min(y)) / (log2(count(*)) + 1) sturges from k group by 1),
+bn as (select *, cast(ceil((hi - lo) / (case when fd > 0 then least(fd, sturges) else sturges end)) as bigint) bins from wd),
+hc as (select k.ts_id, least(bins - 1, cast(floor((y - lo) / ((hi - lo) / bins)) as bigint)) k, count(*) c from k join bn using (ts_id) group by 1, 2),
+al as (select ts_id, unnest(range(-1, bins + 1)) k from bn), h0 as (select al.ts_id, al.k, coalesce(c, 0) v from al left join hc on hc.ts_id = al.ts_id and hc.k = al.k),
+src as (select ts_id, cast(row_number() over (partition by ts_id order by k) as bigint) k, v from (select *, v is distinct from lag(v) over (partition by ts_id order by k) is_new from h0) where is_new), {_peaks_sql('src', 'pk')},
+nm as (select ts_id, count(*) filter (prom >= 0.1 * top) m from pk join (select ts_id, max(v) top from src group by 1) using (ts_id) group by 1)"""
+
+
+@query("e09_shape", f"with {_SHAPE} select ts_id, round(q, 7) qq_correlation, m > 1 is_multimodal, 'success' status, '' message from qq join nm using (ts_id)")
+def e09(spark, d):
+    return A.analyse(filled(spark, d), "y", "shape").withColumn("qq_correlation", F.round("qq_correlation", 7))
+
+
 _SMOOTHED = f"""{FILLED}, tm as (select ts_id, open_time, y, row_number() over ({O}) - 1 i, count(*) over (partition by ts_id) n from x), w as (select *, greatest(3, least(24, n // 2)) w from tm),
 o as (select *, unnest(range(w)) - w // 2 o from w), tr as (select o.ts_id, o.i, avg(k.y) t from o join tm k on k.ts_id = o.ts_id and k.i = least(o.n - 1, greatest(0, o.i + o.o)) group by 1, 2),
 dd as (select tm.*, t, avg(y - t) over (partition by ts_id, i % 24) s0 from tm join tr using (ts_id, i)), sc as (select *, s0 - avg(s0) over (partition by ts_id) s from dd)"""
