@@ -43,7 +43,7 @@ BLOCK = 32
 #: Terms whose postings are bounded by blocks: the most frequent, at most so many, in at least this share of the examples.
 FREQUENT, FREQUENT_SHARE = 512, 0.04
 #: Queries searched together, and blocks that each completes first.
-BATCH, FIRST = 128, 4
+BATCH, FIRST = 48, 4
 THRESHOLD = 0.7
 _WORD = re.compile(r"\w+")
 #: ASCII characters that no word holds become spaces.
@@ -60,7 +60,7 @@ def words(text: str | None) -> list[bytes]:
 
 def _ragged(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     n = ends - starts
-    return np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())
+    return np.repeat((starts - np.cumsum(n) + n).astype(np.int32), n) + np.arange(n.sum(), dtype=np.int32)
 
 
 class Terms:
@@ -132,8 +132,11 @@ class BlockMaxIndex:
         q[who[often], slot[often]] = weight[often]
         a, b = self.first[term[rare]], self.first[term[rare] + 1]
         post, length = _ragged(a, b), b - a
-        cell = np.repeat(who[rare] * self.width, length) + self.example[post]
-        score = np.bincount(cell, np.repeat(weight[rare], length) * self.weight[post], n * self.width).astype(float).reshape(n, self.width)
+        cell = np.repeat((who[rare] * self.width).astype(np.int32), length)
+        cell += self.example[post]
+        part = np.repeat(weight[rare], length)
+        part *= self.weight[post]
+        score = np.bincount(cell, part, n * self.width).astype(float).reshape(n, self.width)
         if skip is not None:
             score[np.arange(n), skip] = -np.inf
         bound = score.reshape(n, self.n_blocks, BLOCK).max(axis=2) + q @ self.most
@@ -181,8 +184,8 @@ class Model:
         kept.sort(key=lambda x: (int(x[2][0][np.argmax(x[2][1])]), x[1], x[0]))
         self.ids, self.y = np.array([x[0] for x in kept], np.int64), np.array([x[1] for x in kept], np.int64)
         self.index = BlockMaxIndex([x[2] for x in kept], len(terms.number))
-        near = self.index.search([x[2] for x in kept], k, np.arange(len(kept)))
-        self.knots = isotonic(np.array([self.vote(*x) for x in near]), self.y.astype(float), self.prior[self.y])
+        votes = [self.vote(*x) for x in self.index.search([x[2] for x in kept], k, np.arange(len(kept)))]
+        self.knots = isotonic(np.array(votes), self.y.astype(float), self.prior[self.y])
 
     def vector(self, term: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         w = (1 + np.log(count.astype(float))) * self.scale[term]
