@@ -104,19 +104,20 @@ def _gram_hash(w: np.ndarray) -> np.ndarray:
     return _mix(h)
 
 
-def anchors(chunk: Chunk, block: int = 1 << 20) -> tuple[np.ndarray, ...]:
-    """``(anchor, first start, last start, document, hash)`` of every anchor, by position. Strings never cross documents."""
-    data, out, carry = np.frombuffer(chunk.data, np.uint8), [], 0
+def anchors(chunk: Chunk, block: int = 1 << 15) -> tuple[np.ndarray, ...]:
+    """``(anchor, first start, last start, document, hash)`` of every anchor, by position. Strings never cross documents.
+
+    Blocks are small, so that what is computed for one stays in the processor's cache.
+    """
+    data = np.frombuffer(chunk.data, np.uint8)
     n = len(data) - LENGTH + 1
-    if n <= 0:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64))
-    fits = np.zeros(n + 1, np.int8)
+    fits = np.zeros(max(n, 0) + 1, np.int8)
     long = (chunk.lens >= LENGTH) & (chunk.valid == 1)
     np.add.at(fits, chunk.starts[long], 1)
     np.add.at(fits, chunk.ends[long] - LENGTH + 1, -1)
-    fits = np.cumsum(fits[:n], dtype=np.int8).astype(bool)
-    found = []
-    for carry in range(0, n, block):
+    fits = np.cumsum(fits[:-1], dtype=np.int8).astype(bool)
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    for carry in range(0, max(n, 0), block):
         part = np.ascontiguousarray(data[carry : carry + block + LENGTH - 1])
         h = _gram_hash(_words(part))
         v = (h & np.uint64(0xFFFFFFFFFFE00000)) | np.arange(len(h), dtype=np.uint64)
@@ -126,15 +127,16 @@ def anchors(chunk: Chunk, block: int = 1 << 20) -> tuple[np.ndarray, ...]:
         m = np.minimum(m[:-8], m[8:])
         m = np.minimum(m[: len(part) - LENGTH + 1], m[SPAN - 16 : SPAN - 16 + len(part) - LENGTH + 1])
         starts = np.flatnonzero(fits[carry : carry + len(m)])
-        at = (m[starts] & np.uint64(0x1FFFFF)).astype(np.int64)
-        found.append((starts + carry, at + carry, h[at]))
-    start, at, h = (np.concatenate(x) for x in zip(*found, strict=True))
-    if not len(start):
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64))
-    doc = np.searchsorted(chunk.ends, start, side="right")
-    new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])])
-    last = np.r_[new[1:], len(start)] - 1
-    return at[new], start[new], start[last], doc[new], h[new]
+        if len(starts):
+            at = (m[starts] & np.uint64(0x1FFFFF)).astype(np.int64)
+            new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)])
+            last = np.r_[new[1:], len(starts)] - 1
+            found.append((at[new] + carry, starts[new] + carry, starts[last] + carry, h[at[new]]))
+    at, start, end, h = (np.concatenate(x) for x in zip(*found, strict=True))
+    # an anchor may go on in the next block; the starts of two documents are never next to each other
+    new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (start[1:] != end[:-1] + 1)][: len(at)])
+    last = np.r_[new[1:], len(at)] - 1 if len(at) else new
+    return at[new], start[new], end[last], np.searchsorted(chunk.ends, start[new], side="right"), h[new]
 
 
 def _filter_keys(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
