@@ -57,6 +57,23 @@ def test_hot_bucket_over_several_groups(spark, monkeypatch):
     assert {q: [v for _, v in x] for q, x in got.items()} == {q: [v for _, v in x] for q, x in want.items()}
 
 
+def test_many_probes_of_a_bucket_over_several_groups(spark, monkeypatch):
+    """Half of the rows are queries, all in one bucket of each table."""
+    monkeypatch.setattr(ann, "GROUP_ROWS", 32)
+    rng = np.random.default_rng(4)
+    near = rng.normal(size=8)
+    x = (near + 0.01 * rng.normal(size=(200, 8))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann.search(df, F.col("vec_id") % 2 == 0, k=10).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    assert len(got) == 100
+    for q, found in got.items():
+        d = np.sqrt(((x.astype(float) - x[q].astype(float)) ** 2).sum(axis=1))
+        d[q] = np.inf
+        assert [v for _, v in sorted(found)] == np.argsort(d, kind="stable")[:10].tolist()
+
+
 @pytest.mark.parametrize(("sf", "least"), [("sf0.001", 0.9), ("sf0.1", 0.9)])
 def test_recall(spark, sf, least):
     df = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")

@@ -203,7 +203,11 @@ def search(vectors: DataFrame, is_query, k: int = 10, **options: int) -> DataFra
     groups = max(1, -(-n * maker["tables"] // GROUP_ROWS))
     half = GROUP_ROWS // 2
     many = lambda df, name: df.groupBy("t", "bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > half).select("t", "bucket", F.ceil(F.col("n") / half).cast("long").alias(name))
-    large = Saved(many(entries, "parts").join(many(probes, "turns"), ["t", "bucket"], "full").fillna(1, ["parts", "turns"]), "large").df
+    large = many(entries, "parts")
+    # a query probes a bucket once at most, so with few queries no bucket has many probes and they need no count
+    few = queries.count() <= half
+    large = large.withColumn("turns", F.lit(1).cast("long")) if few else large.join(many(probes, "turns"), ["t", "bucket"], "full").fillna(1, ["parts", "turns"])
+    large = Saved(large, "large").df
     small = F.pmod(F.xxhash64("t", "bucket"), F.lit(groups))
     each = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(c, F.lit(1).cast("long")) - 1))
     own = lambda key, c: F.pmod(F.xxhash64(key), F.coalesce(F.col(c), F.lit(1).cast("long")))
