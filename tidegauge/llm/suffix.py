@@ -49,6 +49,8 @@ CHUNK_BYTES = 1 << 21
 BUCKET_BYTES = 1 << 24
 PARTITION_BYTES = 1 << 25
 CHUNKS_A_TASK = 8
+#: Bytes of text behind a file of what is small beside it.
+FILE_TEXT = 1 << 27
 #: Buckets and partitions at least, so that a small input is dealt out too, and at most, as far as the hash tells them apart:
 #: with 2^24 they grow over the sizes above from 281 TB on.
 LEAST, MOST = 32, 1 << 24
@@ -437,12 +439,16 @@ def deduplicate(docs: DataFrame, full: bool = False, hot: int = HOT) -> DataFram
     base = new_path(spark, f"chunks-{uuid.uuid4().hex}")
     tasks = max(8, -(-total // (CHUNKS_A_TASK * CHUNK_BYTES)))  # by the text behind the rows: the rows themselves are small
     sent = texts.mapInArrow(partial(_pack, base=base, buckets=buckets), "chunk long, bucket int, data binary").repartitionById(buckets, "bucket")
-    kinds = Saved(sent.groupBy("bucket").applyInArrow(_table(_shared, hot=hot), "chunk long, bucket int, data binary"), "kinds", behind=total).df
-    kinds = kinds.repartition(tasks, "chunk")
+    # What these steps give is far smaller than the text they work on: many tasks, few files, none written while they work.
+    files = max(4, -(-total // FILE_TEXT))
+    kinds = sent.groupBy("bucket").applyInArrow(_table(_shared, hot=hot), "chunk long, bucket int, data binary").repartition(files)
+    kinds = Saved(kinds, "kinds", few_files=False).df.repartition(tasks, "chunk")
     runs = kinds.groupBy("chunk").applyInArrow(_keyed(_send, base=base, buckets=buckets, parts=parts), "part int, chunk long, run binary").repartitionById(parts, "part")
-    answers = Saved(runs.groupBy("part").applyInArrow(_table(_merge), "part int, chunk long, run binary"), "answers", behind=total).df.repartition(tasks, "chunk")
+    answers = runs.groupBy("part").applyInArrow(_table(_merge), "part int, chunk long, run binary").repartition(files)
+    answers = Saved(answers, "answers", few_files=False).df.repartition(tasks, "chunk")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if full else "")
-    return kinds.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_keyed_pair(_finish, base=base, buckets=buckets, parts=parts, full=full), schema)
+    out = kinds.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_keyed_pair(_finish, base=base, buckets=buckets, parts=parts, full=full), schema)
+    return out if full else out.repartition(files)
 
 
 def _table(f, **options):
