@@ -210,10 +210,10 @@ def l15(spark, d):
     return got.withColumns({"score": F.round("score", 7), "cleaned": F.round("cleaned", 9)})
 
 
-@query("l18_clean_residual", f"with {BASE.replace(' x as (', ' x0 as (')}, parts as ({registry.oracle_of('k06_smoothed')}), x as (select ts_id, open_time, residual y from parts), {_LOF} select ts_id, open_time, is_outlier, round(trend + seasonal + case when is_outlier then med else residual end, 7) cleaned from fl join md using (ts_id) join parts using (ts_id, open_time)")
+@query("l18_clean_residual", f"with {BASE.replace(' x as (', ' x0 as (')}, parts as (with {_SMOOTHED} select ts_id, open_time, t trend, s seasonal, y - t - s residual from sc), x as (select ts_id, open_time, residual y from parts), {_LOF} select ts_id, open_time, is_outlier, round(trend + seasonal + case when is_outlier then med else residual end, 9) cleaned from fl join md using (ts_id) join parts using (ts_id, open_time)")
 def l18(spark, d):
     got = A.clean_residual(filled(spark, d), "y", "smoothed", "lof", 24)
-    return got.withColumn("cleaned", F.round("cleaned", 7))
+    return got.withColumn("cleaned", F.round("cleaned", 9))
 
 
 @query("q02_tumbling_candles", f"with {EVT} select ts_id, open_time, round(open, 9) open, round(high, 9) high, round(low, 9) low, round(\"close\", 9) \"close\", round(volume, 9) volume, number_of_trades from candles_evt")
