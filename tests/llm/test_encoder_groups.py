@@ -1,0 +1,48 @@
+import numpy as np
+import public_tokenizers
+
+from tests.llm.test_dedup_tokens_mixing import ODD
+from tidegauge.llm import dac, queries
+
+PATH = public_tokenizers.path(queries.TOKENIZER)
+
+
+class Counted:
+    """A tokenizer that counts what it is asked for."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.calls = tokenizer, 0
+
+    def encode(self, *a, **b):
+        self.calls += 1
+        return self.tokenizer.encode(*a, **b)
+
+    def encode_batch_fast(self, *a, **b):
+        self.calls += 1
+        return self.tokenizer.encode_batch_fast(*a, **b)
+
+
+def ids(data):
+    return np.frombuffer(data, "<u4").tolist()
+
+
+def test_new_words_of_many_texts_are_learnt_in_few_calls():
+    enc = dac.Encoder(PATH)
+    plain = enc.tokenizer
+    enc.tokenizer = Counted(plain)
+    enc.merge = None  # no word goes to the model by itself
+    texts = [f"1st wörd{k} {k}x-{k} quorn{k}, zelth{k % 7}.\nénd {k}!" for k in range(200)]
+    got = enc.texts(texts)
+    assert [ids(x) for x in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert enc.tokenizer.calls <= 2
+
+
+def test_groups_of_odd_texts_equal_the_tokenizer(monkeypatch):
+    """Also where memories are let go all the time, and where a space's sign tells nothing."""
+    monkeypatch.setattr(dac, "CACHE_BYTES", 500)
+    for blind in (False, True):
+        enc = dac.Encoder(PATH)
+        if blind:
+            enc.begins[:] = False
+        for group in (ODD, ODD[::-1], [" ".join(ODD), *ODD, "\n".join(ODD)], []):
+            assert [ids(x) for x in enc.texts(group)] == [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in group]
