@@ -24,7 +24,6 @@ import uuid
 import zlib
 from array import array
 from functools import lru_cache, partial
-from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +40,6 @@ FILE_TOKENS = 1 << 22
 #: Files that a task reads back, and writing tasks whose files are numbered together.
 FILES_A_TASK, PARTS = 8, 1024
 END_ID = 0
-#: Characters of texts, about, whose words are looked up together, and new words in a line that the tokenizer gets.
-TEXT_CHARS, LINE_WORDS = 1 << 19, 32
 #: Bytes of words and ids, about, that an encoder remembers in each of its two generations, and what an entry costs besides.
 CACHE_BYTES, ENTRY_BYTES = 64 << 20, 130
 
@@ -63,9 +60,6 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.by_words = splits_at_spaces(json.loads(self.tokenizer.to_str()))
         self.merge = self.tokenizer.model.tokenize
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
-        self.begins[[i for token, i in vocabulary.items() if token.startswith(_SPACE_BYTE)]] = True
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.size = 0
@@ -75,23 +69,19 @@ class Encoder:
 
     def learn(self, words: list[str]) -> dict[str, bytes]:
         """The ids of a space and each word, or of w[1:] alone where w starts with the sign for no space."""
-        found, odd, spaced = {}, [], []
+        found, odd = {}, []
         for w in words:
             known = self.old.get(w)
             if known is not None:
                 found[w] = known
-            elif w[0] != _NO_SPACE:
-                spaced.append(w)
-            elif w.isascii() and w[1:].isalpha():  # the pattern leaves plain letters whole, so the model alone will do
-                found[w] = _bytes([t.id for t in self.merge(w[1:])])
+                continue
+            space, body = ("", w[1:]) if w[0] == _NO_SPACE else (_SPACE_BYTE, w)
+            if body.isascii() and body.isalpha():  # the pattern leaves plain letters whole, so the model alone will do
+                found[w] = _bytes([t.id for t in self.merge(space + body)])
+            elif _LETTERS.fullmatch(body):
+                found[w] = _bytes([t.id for t in self.merge(space + body.encode().decode("latin-1").translate(_BYTES))])
             else:
-                odd.append((w, w[1:]))
-        if spaced:
-            got = self.together(spaced)
-            if got:
-                found.update(zip(spaced, got, strict=True))
-            else:
-                odd += [(w, " " + w) for w in spaced]
+                odd.append((w, body if w[0] == _NO_SPACE else " " + w))
         if odd:
             got = self.tokenizer.encode_batch_fast([text for _, text in odd], add_special_tokens=False)
             found |= {w: _bytes(x.ids) for (w, _), x in zip(odd, got, strict=True)}
@@ -102,36 +92,20 @@ class Encoder:
         self.new.update(short)
         return found
 
-    def together(self, words: list[str]) -> list[bytes]:
-        """The ids of a space and each word, from one call; a space's sign can only begin a word's first token."""
-        lines = [" " + " ".join(words[k : k + LINE_WORDS]) for k in range(0, len(words), LINE_WORDS)]
-        got = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
-        ids = np.fromiter(chain.from_iterable(x.ids for x in got), "<u4")
-        at = np.flatnonzero(self.begins[ids])
-        if len(at) != len(words) or at[0]:
-            return []
-        data, ends = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
-        return [data[x:y] for x, y in pairwise(ends)]
-
-    def words(self, text: str) -> list[str] | None:
-        """The words of a text that can be cut into them, as ``learn`` takes them."""
+    def text(self, text: str) -> bytes:
+        if not text:
+            return b""
         if not self.by_words or "<|" in text or any(c in text for c in (_ASCII_SPACES if text.isascii() else _SPACES)):
-            return None
+            return self.of(text)
         marked = _MARK.sub(rf" {_NO_SPACE}\1", text).replace("\n", f" {_NO_SPACE}\n {_NO_SPACE}")
         words = (_NO_SPACE + marked).split(" ")
-        return None if "" in words or _NO_SPACE in words else words  # white space side by side, or at an end
-
-    def texts(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; each word of these texts is looked up once, and words that are new are learnt together."""
-        cut = [self.words(t) if t else [] for t in texts]
-        here = set().union(*(words for words in cut if words))
-        known = {w: x for w, x in zip(here, map(self.new.get, here), strict=True) if x is not None}
-        if len(known) < len(here):
-            known |= self.learn(list(here.difference(known)))
-        return [self.of(t) if words is None else b"".join(map(known.__getitem__, words)) for t, words in zip(texts, cut, strict=True)]
-
-    def text(self, text: str) -> bytes:
-        return self.texts([text])[0]
+        if "" in words or _NO_SPACE in words:  # white space side by side, or at an end
+            return self.of(text)
+        got = list(map(self.new.get, words))
+        if None in got:
+            found = self.learn(list({w for x, w in zip(got, words, strict=True) if x is None}))
+            got = [found[w] if x is None else x for x, w in zip(got, words, strict=True)]
+        return b"".join(got)
 
 
 def _bytes(ids: list[int]) -> bytes:
@@ -141,8 +115,14 @@ def _bytes(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
-#: The character that stands for the byte of a space in a byte-level vocabulary.
-_SPACE_BYTE = "\u0120"
+def _byte_letters() -> dict[int, str]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, others from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    return dict(zip([b for b in range(256) if b not in plain], map(chr, range(0x100, 0x200)), strict=False))
+
+
+_BYTES = _byte_letters()
+_SPACE_BYTE = _BYTES[0x20]
 
 
 def splits_at_spaces(file: dict) -> bool:
@@ -155,8 +135,10 @@ def splits_at_spaces(file: dict) -> bool:
 
 #: Before a word that no space precedes; texts with this character itself are not cut.
 _NO_SPACE = "\r"
-#: A mark that ends a word, after a plain letter or digit.
-_MARK = re.compile(r"([.,!?;:])(?=[ \n]|\Z)(?<=[0-9A-Za-zÀ-ÖØ-öø-ɏ].)")
+#: A mark that ends a word, after a plain letter or digit; marks are searched for first, which is quicker.
+_MARK = re.compile(r"([.,!?;:])(?=[ \n]|\Z)(?<=[0-9A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F].)")
+#: A word of plain letters.
+_LETTERS = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+")
 #: White space other than spaces and line feeds.
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _ASCII_SPACES = [c for c in _SPACES if c.isascii()]
@@ -266,18 +248,6 @@ def get(uri: str) -> bytes:
         return f.read()
 
 
-def _encoded(enc: Encoder, column: pa.Array):
-    """The ids of each text, some texts at a time."""
-    texts, n = [], 0
-    for x in column:
-        texts.append(x.as_py() or "")
-        n += len(texts[-1])
-        if n >= TEXT_CHARS:
-            yield from enc.texts(texts)
-            texts, n = [], 0
-    yield from enc.texts(texts)
-
-
 def _write(batches, base: str, tokenizer: str, end_id: int, file_tokens: int):
     enc, part, seq, keys, ids, n = encoder(tokenizer), TaskContext.get().partitionId(), 0, [], [], 0
     end = np.array([end_id], "<u4").tobytes()
@@ -288,8 +258,8 @@ def _write(batches, base: str, tokenizer: str, end_id: int, file_tokens: int):
         return pa.RecordBatch.from_pydict({"part": [part], "seq": [seq], "uri": [uri], "n_docs": [len(keys)], "n_tokens": [n]}, schema=pa.schema([("part", pa.int64()), ("seq", pa.int64()), ("uri", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
     for b in batches:
-        for key, data in zip(b.column(0).to_pylist(), _encoded(enc, b.column(1)), strict=True):
-            got = np.frombuffer(data + end, "<u4")
+        for key, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            got = np.frombuffer(enc.text(text.as_py() or "") + end, "<u4")
             if keys and n + len(got) > file_tokens:
                 yield flush()
                 keys, ids, n, seq = [], [], 0, seq + 1
