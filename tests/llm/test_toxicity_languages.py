@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 
+import corpus_pipeline
 from tidegauge.llm import queries, toxicity
 from tidegauge.llm.common import table
 
@@ -101,3 +102,17 @@ def test_long_texts_and_clashing_columns(spark):
 def test_words():
     for t in ("It's a “test” — naïve_1 x²", "plain ASCII, text!", "ÄÖ\u00a0ß", "", None, "\ud800 bad"):
         assert toxicity.words(t) == [w.encode("utf-8", "replace") for w in re.findall(r"\w+", (t or "").lower())]
+
+
+def test_driver_unpacks_no_model(spark, monkeypatch):
+    """The query and the pipeline's stage fit in an executor; the driver builds neither terms nor model."""
+    d = "/root/testdata/sf0.001"
+
+    def refuse(*_):
+        raise AssertionError("built on the driver")
+
+    for kind, name in ((toxicity.Model, "__init__"), (toxicity.Terms, "__init__"), (toxicity.BlockMaxIndex, "__setstate__")):
+        monkeypatch.setattr(kind, name, refuse)
+    docs = table(spark, d, "documents")
+    n = docs.count()
+    assert queries.op2_toxicity(spark, d).count() == n > corpus_pipeline.drop_toxic(spark, docs, d).count() > 0

@@ -18,7 +18,7 @@ def op1_simhash(spark, d):
 
 def op2_toxicity(spark, d):
     docs = table(spark, d, "documents")
-    found = toxicity.score(docs, toxicity.fit(docs, table(spark, d, "labels")))
+    found = toxicity.score(docs, toxicity.train(docs, table(spark, d, "labels")))
     predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
     return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted.alias("predicted"), "neighbours", "cosines")
 

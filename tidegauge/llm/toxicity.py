@@ -15,6 +15,9 @@ Neighbours vote with weights that rise with the cosine, corrected for the sampli
 isotonic regression on the examples themselves, each left out in turn. A text without any term gets the share of label 1
 among such examples. Evidence: the neighbours' ids and cosines.
 
+Terms are gathered and the model is fitted in one task of an executor, over the bounded sample; the driver only passes the
+pickled model on (``train``), since examples, words and index unpacked there would stay in its memory.
+
 Defined cases: null and empty texts have no terms; a text of any length is read whole (but one over ``EXAMPLE_CHARS`` is no
 example); a null label or id is not learned from; rows with equal ids are scored each by its own text, and the label counts 1
 if any of the id's labels is 1; with no label 1 or no label 0 to learn from, every score is the share of label 1 (0 if there
@@ -24,6 +27,8 @@ of the documents, whatever their names, never enter a score.
 
 from __future__ import annotations
 
+import ctypes
+import pickle
 import re
 from collections import Counter
 from functools import partial
@@ -36,7 +41,7 @@ from pyspark.sql import functions as F
 from tidegauge.llm.common import Saved, bounded_batches
 
 PER_CLASS = 4000
-#: Longer texts are not taken as examples, which bounds what the driver collects.
+#: Longer texts are not taken as examples, which bounds the task that fits.
 EXAMPLE_CHARS = 1 << 18
 NEIGHBOURS = 15
 BLOCK = 32
@@ -82,6 +87,19 @@ class Terms:
         return np.fromiter(count, np.int64, len(count)), np.fromiter(count.values(), float, len(count))
 
 
+class Packed:
+    """A pickled value that is passed on as it is: whoever unpickles this gets the value, as workers do from a broadcast."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+
+    def __reduce__(self):
+        return pickle.loads, (self.data,)
+
+    def value(self):
+        return pickle.loads(self.data)
+
+
 class BlockMaxIndex:
     """Exact top-k cosine over sparse unit vectors ``(terms, weights)``."""
 
@@ -163,7 +181,7 @@ class BlockMaxIndex:
 
 
 class Model:
-    """Fitted on the driver from the bounded sample. ``examples`` are ``(id, label, terms, counts)`` with terms as numbers."""
+    """Fitted from the bounded sample. ``examples`` are ``(id, label, terms, counts)`` with terms as numbers."""
 
     def __init__(self, terms: Terms, frequency: np.ndarray, n_docs: int, examples: list[tuple[int, int, np.ndarray, np.ndarray]], totals: tuple[float, float], k: int):
         self.terms, self.k = terms, k
@@ -255,7 +273,44 @@ def _frequencies(batches, terms):
     yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, some]), pa.array(np.r_[n, seen[some]])], names=["term", "n"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k: int = NEIGHBOURS) -> Model:
+def _release() -> None:
+    """Give freed memory back to the system, where the C library can; a worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def _vocabulary(batches):
+    """The pickled terms of all examples."""
+    seen: set[bytes] = set()
+    for b in batches:
+        for ws in b.column(2):
+            seen.update(ws.as_py().split(b"\n"))
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Terms(sorted(seen - {b""})))], pa.binary())], names=["data"])
+
+
+def _fitted(batches, terms, found: tuple[np.ndarray, np.ndarray], totals: tuple[float, float], k: int):
+    """The pickled model; ``found``: terms by number with their document frequency, and at -1 the number of documents."""
+    number, (at, n) = terms.value.number, found
+    frequency = np.zeros(len(number))
+    frequency[at[at >= 0]] = n[at >= 0]
+    rows = [(i.as_py(), y.as_py(), ws.as_py().split(b"\n"), c.as_py()) for b in batches for i, y, ws, c in zip(*b.columns, strict=True)]
+    rows.sort()
+    examples = [(i, y, np.array([number[w] for w in ws if w], np.int32), np.frombuffer(c, "<i4").astype(np.float32)) for i, y, ws, c in rows]
+    del rows
+    data = pickle.dumps(Model(terms.value, frequency, int(n[at < 0].sum()), examples, totals, k))
+    del examples
+    _release()
+    yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["data"])
+
+
+def _packed(rows: DataFrame) -> Packed:
+    return Packed(rows.toArrow().column(0)[0].as_py())
+
+
+def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k: int = NEIGHBOURS) -> Packed:
+    """The model, pickled by the task that fitted it."""
     spark = docs.sparkSession
     bounded_batches(spark)
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("y"))
@@ -265,21 +320,21 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k: int =
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= EXAMPLE_CHARS)
     sample = sample.join(F.broadcast(some[0].union(some[1])), "doc_id")
     once = sample.groupBy("y", F.sha2("text", 256).alias("h")).agg(F.first("text").alias("text"), F.min("doc_id").alias("doc_id"))
-    rows = once.select("doc_id", "y", "text").mapInArrow(_counted, "doc_id long, y int, words binary, counts binary").toArrow()
-    held = sorted(zip(*(c.to_pylist() for c in rows.columns), strict=True))
-    del rows
-    terms = Terms(sorted({w for r in held for w in r[2].split(b"\n") if w}))
-    frequency, n_docs = np.zeros(len(terms.number)), 0
-    if terms.number:
-        shared = spark.sparkContext.broadcast(terms)
-        counted = docs.select("text").mapInArrow(partial(_frequencies, terms=shared), "term long, n long")
-        found = counted.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-        at, n = (found[c].to_numpy() for c in ("term", "n"))
-        frequency[at[at >= 0]] = n[at >= 0]
-        n_docs = int(n[at < 0].sum())
-    examples = [(i, y, np.array([terms.number[w] for w in ws.split(b"\n") if w], np.int32), np.frombuffer(c, "<i4").astype(np.float32)) for i, y, ws, c in held]
-    del held
-    return Model(terms, frequency, n_docs, examples, (float(totals.get(0, 0)), float(totals.get(1, 0))), k)
+    rows = once.select("doc_id", "y", "text").mapInArrow(_counted, "doc_id long, y int, words binary, counts binary")
+    rows = Saved(rows, "examples").df.coalesce(1)
+    shared = spark.sparkContext.broadcast(_packed(rows.mapInArrow(_vocabulary, "data binary")))
+    counted = docs.select("text").mapInArrow(partial(_frequencies, terms=shared), "term long, n long")
+    found = counted.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    found = tuple(found[c].to_numpy() for c in ("term", "n"))
+    totals = float(totals.get(0, 0)), float(totals.get(1, 0))
+    model = _packed(rows.mapInArrow(partial(_fitted, terms=shared, found=found, totals=totals, k=k), "data binary"))
+    shared.unpersist()
+    return model
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k: int = NEIGHBOURS) -> Model:
+    """The model itself, unpacked where this is called."""
+    return train(docs, labels, per_class, k).value()
 
 
 def _scores(batches, model, text: int, below: float | None):
@@ -292,7 +347,7 @@ def _scores(batches, model, text: int, below: float | None):
             yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*b.schema.names, "score", "neighbours", "cosines"])
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
+def score(docs: DataFrame, model: Model | Packed) -> DataFrame:
     """``(doc_id, score, neighbours, cosines)`` for every row."""
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -301,7 +356,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return out.drop("text")
 
 
-def keep_below(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+def keep_below(docs: DataFrame, model: Model | Packed, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, whose score is under the threshold."""
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
